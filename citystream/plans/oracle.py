@@ -192,6 +192,25 @@ SELECT ward_id AS key, meter_id, ward_id, kwh_reading, voltage, power_factor, ev
 FROM meter_readings""", "meter_readings")
 
 
+def _q_gridlock() -> str:
+    return with_views(f"""
+SELECT 'TRAFFIC_GRIDLOCK' AS incident_type, 'HIGH' AS severity, junction_id, zone,
+       w3 AS wait_1, w2 AS wait_2, w AS wait_3, '{GRIDLOCK_MESSAGE}' AS message,
+       event_id, (epoch_us(event_time) // 1000) AS event_ms
+FROM (
+  SELECT *, r - coalesce(max(CASE WHEN NOT high THEN r END)
+                           OVER (PARTITION BY junction_id ORDER BY r
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS pos,
+         lag(w, 1) OVER (PARTITION BY junction_id ORDER BY r) AS w2,
+         lag(w, 2) OVER (PARTITION BY junction_id ORDER BY r) AS w3
+  FROM (SELECT *, coalesce(avg_wait_sec, 0e0) AS w,
+               coalesce(avg_wait_sec, 0e0) > 180 AS high,
+               row_number() OVER (PARTITION BY junction_id
+                                  ORDER BY event_time, event_id) AS r
+        FROM traffic_signals))
+WHERE high AND pos % 3 = 0""", "traffic_signals")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_ward_energy": _q_ward_energy(),
@@ -206,4 +225,5 @@ def oracle_sql() -> dict[str, str]:
         "q_advisory_totals": _q_advisory_totals(),
         "q_advisory_preview": _q_advisory_preview(),
         "q_json_roundtrip": _q_json_roundtrip(),
+        "q_gridlock": _q_gridlock(),
     }

@@ -17,6 +17,7 @@ from citystream.functions.time import epoch_millis, event_time
 from citystream.operators import quality as Q
 from citystream.operators.advisories import advisories, zone_advisories
 from citystream.operators.enrich import enrich
+from citystream.operators.gridlock import gridlock
 from citystream.operators.incidents import aqi_emergencies
 from citystream.operators.summary import (advisory_preview, advisory_summary,
                                           advisory_totals)
@@ -135,6 +136,15 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        epoch_millis(event_time("timestamp")).alias("event_ms"))
 
 
+def q_gridlock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junctions whose wait exceeds 180 s on 3 consecutive cycles."""
+    g = gridlock(Fixtures(spark, sf_dir).traffic())
+    w = F.col("consecutive_wait_times")
+    return g.select("incident_type", "severity", "junction_id", "zone",
+                    w[0].alias("wait_1"), w[1].alias("wait_2"), w[2].alias("wait_3"),
+                    "message", "event_id", epoch_millis("event_time").alias("event_ms"))
+
+
 QUERIES = {
     "q_ward_energy": q_ward_energy,
     "q_aqi_advisories": q_aqi_advisories,
@@ -148,4 +158,5 @@ QUERIES = {
     "q_advisory_totals": q_advisory_totals,
     "q_advisory_preview": q_advisory_preview,
     "q_json_roundtrip": q_json_roundtrip,
+    "q_gridlock": q_gridlock,
 }
