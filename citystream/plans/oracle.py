@@ -211,6 +211,64 @@ FROM (
 WHERE high AND pos % 3 = 0""", "traffic_signals")
 
 
+def _q_bunching() -> str:
+    body = """
+SELECT 'BUS_BUNCHING' AS incident_type, 'MEDIUM' AS severity, f.route_id,
+       CASE WHEN fa.fn < fb.fn THEN f.b1 ELSE f.b2 END AS bus_1,
+       CASE WHEN fa.fn < fb.fn THEN f.b2 ELSE f.b1 END AS bus_2,
+       round(p.d, 2) AS distance_meters,
+       (epoch_us(ga.t) - epoch_us(gp.t)) // 1000000 AS duration_seconds,
+       ga.e AS event_id, epoch_us(ga.t) // 1000 AS event_ms
+FROM fold f
+JOIN g ga ON ga.route_id = f.route_id AND ga.n = f.n
+JOIN g gp ON gp.route_id = f.route_id AND gp.n = f.prev
+JOIN near p ON p.route_id = f.route_id AND p.b1 = f.b1 AND p.b2 = f.b2
+           AND p.s <= f.n AND f.n < p.f
+JOIN first_seen fa ON fa.route_id = f.route_id AND fa.bus_id = f.b1
+JOIN first_seen fb ON fb.route_id = f.route_id AND fb.bus_id = f.b2"""
+    extra = """
+g AS (
+  SELECT route_id, bus_id, lat, lon, event_time AS t, event_id AS e,
+         row_number() OVER (PARTITION BY route_id ORDER BY event_time, event_id) AS n
+  FROM bus_gps WHERE lat BETWEEN 18.5 AND 19.5 AND lon BETWEEN 72.5 AND 73.5),
+first_seen AS (SELECT route_id, bus_id, min(n) AS fn FROM g GROUP BY route_id, bus_id),
+iv AS (
+  SELECT *, coalesce(lead(n) OVER (PARTITION BY route_id, bus_id ORDER BY n),
+                     9000000000000000000) AS n2 FROM g),
+p0 AS (
+  SELECT a.route_id, a.bus_id AS b1, b.bus_id AS b2,
+         greatest(a.n, b.n) AS s, least(a.n2, b.n2) AS f,
+         pow(sin(radians(b.lat - a.lat) / 2), 2)
+         + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2) AS x
+  FROM iv a JOIN iv b ON a.route_id = b.route_id AND a.bus_id < b.bus_id
+                     AND a.n < b.n2 AND b.n < a.n2),
+near AS (
+  SELECT route_id, b1, b2, s, f, d FROM (
+    SELECT *, 6371000e0 * 2 * atan2(sqrt(x), sqrt(1 - x)) AS d FROM p0) WHERE d <= 200),
+p2 AS (
+  SELECT *, CASE WHEN lag(f) OVER (PARTITION BY route_id, b1, b2 ORDER BY s) = s
+                 THEN 0 ELSE 1 END AS h FROM near),
+p3 AS (SELECT *, sum(h) OVER (PARTITION BY route_id, b1, b2 ORDER BY s) AS k FROM p2),
+isl AS (SELECT route_id, b1, b2, k, min(s) AS s, max(f) AS f FROM p3
+        GROUP BY route_id, b1, b2, k),
+tk AS (
+  SELECT i.route_id, i.b1, i.b2, i.k, i.s AS st, g.n, g.t
+  FROM isl i JOIN g ON g.route_id = i.route_id AND g.n >= i.s AND g.n < i.f),
+nx AS (
+  SELECT a.*, (SELECT min(z.n) FROM tk z
+               WHERE z.route_id = a.route_id AND z.b1 = a.b1 AND z.b2 = a.b2 AND z.k = a.k
+                 AND z.n > a.n AND z.t >= a.t + INTERVAL '300 seconds') AS nn
+  FROM tk a),
+fold AS (
+  SELECT route_id, b1, b2, k, n AS prev, nn AS n FROM nx WHERE n = st AND nn IS NOT NULL
+  UNION ALL
+  SELECT x.route_id, x.b1, x.b2, x.k, x.n, x.nn
+  FROM fold f JOIN nx x ON x.route_id = f.route_id AND x.b1 = f.b1 AND x.b2 = f.b2
+                       AND x.k = f.k AND x.n = f.n
+  WHERE x.nn IS NOT NULL)"""
+    return "WITH RECURSIVE " + with_views(body, "bus_gps", extra=extra.strip())[5:]
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_ward_energy": _q_ward_energy(),
@@ -226,4 +284,5 @@ def oracle_sql() -> dict[str, str]:
         "q_advisory_preview": _q_advisory_preview(),
         "q_json_roundtrip": _q_json_roundtrip(),
         "q_gridlock": _q_gridlock(),
+        "q_bunching": _q_bunching(),
     }

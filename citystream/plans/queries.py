@@ -16,6 +16,7 @@ from citystream.functions.json import parse_events, to_kv
 from citystream.functions.time import epoch_millis, event_time
 from citystream.operators import quality as Q
 from citystream.operators.advisories import advisories, zone_advisories
+from citystream.operators.bunching import bunching
 from citystream.operators.enrich import enrich
 from citystream.operators.gridlock import gridlock
 from citystream.operators.incidents import aqi_emergencies
@@ -145,6 +146,18 @@ def q_gridlock(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "message", "event_id", epoch_millis("event_time").alias("event_ms"))
 
 
+def _valid_gps(fx: Fixtures) -> DataFrame:
+    return Q.valid_records(Q.validate(fx.gps(), Q.BUS_GPS))
+
+
+def q_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buses of one route within 200 m for 300 s (validated GPS rows)."""
+    b = bunching(_valid_gps(Fixtures(spark, sf_dir)))
+    return b.select("incident_type", "severity", "route_id", "bus_1", "bus_2",
+                    "distance_meters", "duration_seconds", "event_id",
+                    epoch_millis("event_time").alias("event_ms"))
+
+
 QUERIES = {
     "q_ward_energy": q_ward_energy,
     "q_aqi_advisories": q_aqi_advisories,
@@ -159,4 +172,5 @@ QUERIES = {
     "q_advisory_preview": q_advisory_preview,
     "q_json_roundtrip": q_json_roundtrip,
     "q_gridlock": q_gridlock,
+    "q_bunching": q_bunching,
 }
