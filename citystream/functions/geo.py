@@ -40,13 +40,21 @@ def sphere_cells(lat, lon, radius_m: float) -> list[Column]:
 
 NEIGHBOUR_OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1)
                      for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
+# The cell itself plus the 13 offsets that are lexicographically positive:
+# every unordered pair of adjacent cells (c, d) has exactly one of d - c and
+# c - d in this set, so joining each point's forward cells to the other
+# points' own cells meets every nearby pair once (twice within one cell).
+FORWARD_OFFSETS = [o for o in NEIGHBOUR_OFFSETS if o >= (0, 0, 0)]
 
 
-def neighbour_cells(cx: Column, cy: Column, cz: Column) -> Column:
-    """Array of the 27 cells around (and including) a cell, as structs."""
+def neighbour_cells(cx: Column, cy: Column, cz: Column, forward: bool = False) -> Column:
+    """Array of neighbour cells as structs (cx, cy, cz, own): all 27, or the
+    14 forward ones; ``own`` marks the cell itself."""
+    offs = FORWARD_OFFSETS if forward else NEIGHBOUR_OFFSETS
     return F.array(*[F.struct((cx + dx).alias("cx"), (cy + dy).alias("cy"),
-                              (cz + dz).alias("cz"))
-                     for dx, dy, dz in NEIGHBOUR_OFFSETS])
+                              (cz + dz).alias("cz"),
+                              F.lit((dx, dy, dz) == (0, 0, 0)).alias("own"))
+                     for dx, dy, dz in offs])
 
 
 def haversine_py(lat1, lon1, lat2, lon2) -> float:

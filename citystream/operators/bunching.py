@@ -12,7 +12,7 @@ Batch form, without gathering a route in one place:
  1. each position is valid from its tick to the bus's next tick
     (``keyed_neighbor`` over (route, bus), sliced by time);
  2. near pairs: positions are bucketed by (route, time bucket, sphere cell),
-    one side widened to the 27 neighbour cells, equi-joined, then filtered
+    one side widened to the 14 forward neighbour cells, equi-joined, then filtered
     on exact interval overlap and haversine distance.  No pair further than
     two cells apart is ever formed;
  3. touching near segments of a pair merge into islands (sliced lag/fill);
@@ -45,13 +45,32 @@ def _tick(t: str = "t", e: str = "e"):
     return order_key(t, e)
 
 
+def pair_bucket_seconds(g: DataFrame) -> int:
+    """Time-bucket width for the pair join: about two typical position gaps.
+
+    Copies of a position interval grow as interval / width, and candidate
+    pairs per (route, bucket, cell) grow with width * rate; two gaps keeps
+    both near a handful per bus.  One small aggregate job (approximate
+    distinct count is enough for sizing).
+    """
+    r = g.agg(F.count(F.lit(1)).alias("n"),
+              F.approx_count_distinct(F.concat_ws("\u0001", "route_id", "bus_id")).alias("b"),
+              (F.max(epoch_micros("t")) - F.min(epoch_micros("t"))).alias("us")).first()
+    if not r or not r["n"]:
+        return 3600
+    gap = r["us"] / 1e6 * max(r["b"], 1) / r["n"]
+    return int(min(max(2 * gap, 1), 86400))
+
+
 def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
-                  seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
+                  seconds: int = DEFAULT_SPLIT_SECONDS,
+                  pair_seconds: int | None = None) -> DataFrame:
     """Maximal tick ranges over which two buses of a route are within radius.
 
     In: route_id, bus_id, lat, lon, t, e.  Out: route_id, bus_a < bus_b,
     s (first tick), f (exclusive end tick, null = open), dist.
     """
+    pb_w = pair_seconds or pair_bucket_seconds(g)
     pos = keyed_neighbor(g, ["route_id", "bus_id"], "t", "e", ["t", "e"], "nx",
                          step=1, seconds=seconds)
     last = small_side(g.groupBy("route_id").agg(F.max(_tick()).alias("_last")))
@@ -60,25 +79,32 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
     cx, cy, cz = sphere_cells(F.col("lat"), F.col("lon"), radius_m)
     pos = pos.select(
         "route_id", "bus_id", "lat", "lon", _tick().alias("s"), F.col("nx").alias("f"),
-        F.explode(F.sequence(split_id("t", seconds), split_id(end_t, seconds))).alias("_pb"),
+        F.explode(F.sequence(split_id("t", pb_w), split_id(end_t, pb_w))).alias("_pb"),
         cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
-    a = (pos.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz")))
-                    .alias("_nc"))
+    # Both sides of the self-join read this once from the shared checkpoint
+    # folder instead of recomputing the scan and the per-bus window twice.
+    pos = pos.checkpoint(eager=True)
+    p = (pos.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
+                                                   forward=True)).alias("_nc"))
             .select("route_id", "_pb", F.col("_nc.cx").alias("cx"), F.col("_nc.cy").alias("cy"),
-                    F.col("_nc.cz").alias("cz"), F.col("bus_id").alias("bus_a"),
-                    F.col("lat").alias("lat_a"), F.col("lon").alias("lon_a"),
-                    F.col("s").alias("s_a"), F.col("f").alias("f_a")))
-    b = pos.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_b"),
-                   F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b"),
-                   F.col("s").alias("s_b"), F.col("f").alias("f_b"))
-    j = a.join(b, ["route_id", "_pb", "cx", "cy", "cz"]).where(F.col("bus_a") < F.col("bus_b"))
-    s = F.greatest("s_a", "s_b")
-    f = F.least("f_a", "f_b")  # least skips nulls: null only when both are open
-    j = j.select("route_id", "bus_a", "bus_b", "_pb", s.alias("s"), f.alias("f"),
-                 haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+                    F.col("_nc.cz").alias("cz"), F.col("_nc.own").alias("own"),
+                    F.col("bus_id").alias("bus_p"),
+                    F.col("lat").alias("lat_p"), F.col("lon").alias("lon_p"),
+                    F.col("s").alias("s_p"), F.col("f").alias("f_p")))
+    q = pos.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_q"),
+                   F.col("lat").alias("lat_q"), F.col("lon").alias("lon_q"),
+                   F.col("s").alias("s_q"), F.col("f").alias("f_q"))
+    j = (p.join(q, ["route_id", "_pb", "cx", "cy", "cz"])
+          .where((F.col("bus_p") < F.col("bus_q"))
+                 | (~F.col("own") & (F.col("bus_p") > F.col("bus_q")))))
+    s = F.greatest("s_p", "s_q")
+    f = F.least("f_p", "f_q")  # least skips nulls: null only when both are open
+    j = j.select("route_id", F.least("bus_p", "bus_q").alias("bus_a"),
+                 F.greatest("bus_p", "bus_q").alias("bus_b"), "_pb", s.alias("s"), f.alias("f"),
+                 haversine_m(F.col("lat_p"), F.col("lon_p"), F.col("lat_q"), F.col("lon_q"))
                  .alias("dist"))
     return (j.where((F.col("f").isNull() | (F.col("s") < F.col("f")))
-                    & (F.col("_pb") == split_id(F.col("s.t"), seconds))
+                    & (F.col("_pb") == split_id(F.col("s.t"), pb_w))
                     & (F.col("dist") <= F.lit(float(radius_m))))
              .drop("_pb"))
 
