@@ -269,6 +269,32 @@ fold AS (
     return "WITH RECURSIVE " + with_views(body, "bus_gps", extra=extra.strip())[5:]
 
 
+def _q_incidents() -> str:
+    return f"""
+SELECT incident_type, severity, sensor_id AS entity_id, zone, event_ms AS timestamp, event_id
+FROM ({_q_aqi_emergency()})
+UNION ALL
+SELECT incident_type, severity, junction_id, zone, event_ms, event_id
+FROM ({_q_gridlock()})
+UNION ALL
+SELECT incident_type, severity, route_id, CAST(NULL AS VARCHAR), event_ms, event_id
+FROM ({_q_bunching()})"""
+
+
+def _q_stream_ward_energy() -> str:
+    """Append mode emits a window once the watermark (max event time - 45 min)
+    has passed its end; windows still open at the end of input stay out."""
+    return f"""
+SELECT * FROM ({_q_ward_energy()})
+WHERE CAST(window_end AS TIMESTAMP)
+      <= (SELECT max(ts) FROM events) - INTERVAL '45 minutes'"""
+
+
+def _q_paced_stream() -> str:
+    return with_views("SELECT junction_id, zone, avg_wait_sec, event_id FROM traffic_signals",
+                      "traffic_signals")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_ward_energy": _q_ward_energy(),
@@ -285,4 +311,10 @@ def oracle_sql() -> dict[str, str]:
         "q_json_roundtrip": _q_json_roundtrip(),
         "q_gridlock": _q_gridlock(),
         "q_bunching": _q_bunching(),
+        "q_incidents": _q_incidents(),
+        "q_stream_ward_energy": _q_stream_ward_energy(),
+        "q_stream_advisories": _q_advisories(10, 2),
+        "q_stream_gridlock": _q_gridlock(),
+        "q_stream_bunching": _q_bunching(),
+        "q_paced_stream": _q_paced_stream(),
     }

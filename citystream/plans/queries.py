@@ -19,7 +19,7 @@ from citystream.operators.advisories import advisories, zone_advisories
 from citystream.operators.bunching import bunching
 from citystream.operators.enrich import enrich
 from citystream.operators.gridlock import gridlock
-from citystream.operators.incidents import aqi_emergencies
+from citystream.operators.incidents import aqi_emergencies, incident_envelope, incidents
 from citystream.operators.summary import (advisory_preview, advisory_summary,
                                           advisory_totals)
 from citystream.operators.windows import rolling_aqi, ward_energy
@@ -158,6 +158,16 @@ def q_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
                     epoch_millis("event_time").alias("event_ms"))
 
 
+def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three detectors in one incident table (common envelope)."""
+    fx = Fixtures(spark, sf_dir)
+    allx = incidents(incident_envelope(aqi_emergencies(fx.air()), "sensor_id", "zone"),
+                     incident_envelope(gridlock(fx.traffic()), "junction_id", "zone"),
+                     incident_envelope(bunching(_valid_gps(fx)), "route_id"))
+    return allx.select("incident_type", "severity", "entity_id", "zone", "timestamp",
+                       "event_id")
+
+
 QUERIES = {
     "q_ward_energy": q_ward_energy,
     "q_aqi_advisories": q_aqi_advisories,
@@ -173,4 +183,13 @@ QUERIES = {
     "q_json_roundtrip": q_json_roundtrip,
     "q_gridlock": q_gridlock,
     "q_bunching": q_bunching,
+    "q_incidents": q_incidents,
 }
+
+
+def _register_streams() -> None:
+    from citystream.streaming.jobs import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_register_streams()
