@@ -199,3 +199,19 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
         F.col("at.t").alias("event_time"),
         F.struct("route_id", bus_1.alias("bus_1"), bus_2.alias("bus_2"),
                  dist.alias("distance_meters"), dur.alias("duration_seconds")).alias("details"))
+
+
+def latest_positions(gps: DataFrame, t: str = "event_time", e: str = "event_id") -> DataFrame:
+    """Last known position of every bus on every route (ties by event id).
+
+    ``max_by`` over a (time, id) struct is an aggregate with a map-side
+    partial step, so a bus with many rows is never gathered in one place.
+    Rows with a null coordinate are skipped.
+    """
+    g = gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    last = F.max_by(F.struct("lat", "lon", F.col(t).alias("t"), F.col(e).alias("e")),
+                    order_key(t, e))
+    return (g.groupBy("route_id", "bus_id").agg(last.alias("_p"))
+             .select("route_id", "bus_id", F.col("_p.lat").alias("lat"),
+                     F.col("_p.lon").alias("lon"), F.col("_p.e").alias("event_id"),
+                     F.col("_p.t").alias("event_time")))

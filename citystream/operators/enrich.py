@@ -35,3 +35,26 @@ def enrich(events: DataFrame, lookup: DataFrame, on: str | Sequence[str] = "rout
     cols = list(columns) if columns else [c for c in lookup.columns if c not in keys]
     dim = small_side(lookup.select(*keys, *cols))
     return events.join(dim, keys, "left")
+
+
+def enrich_json(raw: DataFrame, lookup: DataFrame, key: str = "route_id",
+                value_col: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
+    """Enrich schemaless JSON records, keeping every field as it came.
+
+    The record is parsed to ``map<string, variant>`` (fields the producer
+    sent, explicit nulls included), the lookup is joined on the record's
+    ``key`` field, and the lookup columns are added to the map only for
+    matched records.  Output: the input columns plus ``enriched`` (JSON
+    text).  Unparseable records give a null map and pass through unchanged.
+    """
+    cols = list(columns) if columns else [c for c in lookup.columns if c != key]
+    text = F.col(value_col).cast("string")
+    parsed = raw.withColumn("_k", F.try_variant_get(F.try_parse_json(text), f"$.{key}", "string"))
+    add = F.from_json(F.to_json(F.struct(*[F.col(c) for c in cols])), "map<string, variant>")
+    dim = small_side(lookup.select(F.col(key).alias("_k"), add.alias("_add")))
+    joined = parsed.join(dim, "_k", "left")
+    as_map = F.from_json(text, "map<string, variant>")
+    # Lookup values replace fields of the same name, as a dict update would.
+    kept = F.map_filter(as_map, lambda k, v: ~k.isin(*cols))
+    merged = F.when(F.col("_add").isNull(), as_map).otherwise(F.map_concat(kept, F.col("_add")))
+    return joined.withColumn("enriched", F.to_json(merged)).drop("_k", "_add")

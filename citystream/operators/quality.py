@@ -104,3 +104,16 @@ def error_counts(validated: DataFrame) -> DataFrame:
     return (validated.select(r).rollup("reason").agg(F.count(F.lit(1)).alias("n"))
             .select(F.coalesce("reason", F.lit("TOTAL_SCANNED")).alias("error_reason"),
                     F.col("n").alias("records")))
+
+
+def observe_scan(validated: DataFrame, name: str = "dlq_scan"):
+    """Attach running totals (records scanned, records failed) as observed
+    metrics: collected with the query's own pass, no extra job.  Returns the
+    frame and, for batch frames, the ``Observation`` to read after an action
+    (streams report them in ``StreamingQueryProgress.observedMetrics``)."""
+    from pyspark.sql import Observation
+    metrics = [F.count(F.lit(1)).alias("scanned"), F.count("error_reason").alias("failed")]
+    if validated.isStreaming:
+        return validated.observe(name, *metrics), None
+    obs = Observation(name)
+    return validated.observe(obs, *metrics), obs

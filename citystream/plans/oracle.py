@@ -295,6 +295,22 @@ def _q_paced_stream() -> str:
                       "traffic_signals")
 
 
+def _q_latest_positions() -> str:
+    return with_views("""
+SELECT route_id, bus_id, lat, lon, event_id, epoch_us(event_time) // 1000 AS event_ms
+FROM bus_gps WHERE lat BETWEEN 18.5 AND 19.5 AND lon BETWEEN 72.5 AND 73.5
+QUALIFY row_number() OVER (PARTITION BY route_id, bus_id
+                           ORDER BY event_time DESC, event_id DESC) = 1""", "bus_gps")
+
+
+def _q_open_enrichment() -> str:
+    return with_views("""
+SELECT g.event_id, g.route_id, r.route_name, r.terminal, r.scheduled_arrival_time,
+       CASE WHEN r.route_id IS NULL THEN 5 ELSE 8 END AS n_fields, true AS lon_key_kept
+FROM bus_gps g LEFT JOIN route_schedule r ON g.route_id = r.route_id""",
+                      "bus_gps", "route_schedule")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q_ward_energy": _q_ward_energy(),
@@ -312,6 +328,10 @@ def oracle_sql() -> dict[str, str]:
         "q_gridlock": _q_gridlock(),
         "q_bunching": _q_bunching(),
         "q_incidents": _q_incidents(),
+        "q_aqi_rolling_sql": _q_advisories(10, 1),
+        "q_aqi_advisories_join_first": _q_advisories(10, 2),
+        "q_latest_positions": _q_latest_positions(),
+        "q_open_enrichment": _q_open_enrichment(),
         "q_stream_ward_energy": _q_stream_ward_energy(),
         "q_stream_advisories": _q_advisories(10, 2),
         "q_stream_gridlock": _q_gridlock(),

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from citystream.functions.json import parse_events, to_kv
 from citystream.functions.time import epoch_millis, event_time
 from citystream.operators import quality as Q
-from citystream.operators.advisories import advisories, zone_advisories
-from citystream.operators.bunching import bunching
-from citystream.operators.enrich import enrich
+from citystream.operators.advisories import (advisories, advisories_sql, zone_advisories,
+                                             zone_advisories_join_first)
+from citystream.operators.bunching import bunching, latest_positions
+from citystream.operators.enrich import enrich, enrich_json
 from citystream.operators.gridlock import gridlock
 from citystream.operators.incidents import aqi_emergencies, incident_envelope, incidents
 from citystream.operators.summary import (advisory_preview, advisory_summary,
@@ -168,6 +169,43 @@ def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "event_id")
 
 
+def q_aqi_rolling_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling join written as SQL over chained temp views."""
+    fx = Fixtures(spark, sf_dir)
+    return _text_window(advisories_sql(fx.air(), fx.zones(), "10 minutes", "1 minute"))
+
+
+def q_aqi_advisories_join_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10/2 advisories with the join before the aggregation (JN2 plan)."""
+    fx = Fixtures(spark, sf_dir)
+    return _text_window(zone_advisories_join_first(fx.air(), fx.zones()))
+
+
+def q_latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last valid position of each bus on each route."""
+    p = latest_positions(_valid_gps(Fixtures(spark, sf_dir)))
+    return p.select("route_id", "bus_id", "lat", "lon", "event_id",
+                    epoch_millis("event_time").alias("event_ms"))
+
+
+def q_open_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemaless GPS JSON (explicit nulls kept) enriched with route fields."""
+    fx = Fixtures(spark, sf_dir)
+    g = fx.gps()
+    raw = g.select("event_id", F.to_json(F.struct("bus_id", "route_id", "lat", "lon", "event_id"),
+                                         {"ignoreNullFields": "false"}).alias("value"))
+    out = enrich_json(raw, fx.routes(), "route_id")
+    keys = F.json_object_keys("enriched")
+    return out.select(
+        "event_id",
+        F.get_json_object("enriched", "$.route_id").alias("route_id"),
+        F.get_json_object("enriched", "$.route_name").alias("route_name"),
+        F.get_json_object("enriched", "$.terminal").alias("terminal"),
+        F.get_json_object("enriched", "$.scheduled_arrival_time").alias("scheduled_arrival_time"),
+        F.size(keys).alias("n_fields"),
+        F.array_contains(keys, "lon").alias("lon_key_kept"))
+
+
 QUERIES = {
     "q_ward_energy": q_ward_energy,
     "q_aqi_advisories": q_aqi_advisories,
@@ -184,6 +222,10 @@ QUERIES = {
     "q_gridlock": q_gridlock,
     "q_bunching": q_bunching,
     "q_incidents": q_incidents,
+    "q_aqi_rolling_sql": q_aqi_rolling_sql,
+    "q_aqi_advisories_join_first": q_aqi_advisories_join_first,
+    "q_latest_positions": q_latest_positions,
+    "q_open_enrichment": q_open_enrichment,
 }
 
 
