@@ -33,6 +33,7 @@ from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
 from citystream.operators.joins import small_side
 from citystream.plans import chain
 from citystream.plans.sequence import DEFAULT_SPLIT_SECONDS, keyed_fill, keyed_neighbor, order_key
+from citystream.session import cut
 
 # Bunching radius (metres, inclusive) and hold time (seconds).
 RADIUS_M = 200.0
@@ -83,7 +84,7 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
         cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
     # Both sides of the self-join read this once from the shared checkpoint
     # folder instead of recomputing the scan and the per-bus window twice.
-    pos = pos.checkpoint(eager=True)
+    pos = cut(pos)
     p = (pos.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
                                                    forward=True)).alias("_nc"))
             .select("route_id", "_pb", F.col("_nc.cx").alias("cx"), F.col("_nc.cy").alias("cy"),
@@ -149,8 +150,8 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                     F.col("lon").cast("double").alias("lon"),
                     F.col(t).alias("t"), F.col(e).alias("e")))
     # Reliable checkpoints (shared folder) cut the lineage between phases.
-    seg = near_segments(g, radius_m, seconds).checkpoint(eager=True)
-    isl = islands(seg, seconds).checkpoint(eager=True)
+    seg = cut(near_segments(g, radius_m, seconds))
+    isl = cut(islands(seg, seconds))
 
     spark = gps.sparkSession
     last = g.groupBy("route_id").agg(F.max("t").alias("_lt"))

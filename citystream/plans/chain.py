@@ -17,9 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+from citystream.session import cut as _cut
 
 
 def jump_tables(succ: DataFrame, levels: int) -> list[DataFrame]:

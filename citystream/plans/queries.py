@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from citystream.functions.json import parse_events, to_kv
 from citystream.functions.time import epoch_millis, event_time
@@ -130,7 +131,7 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                "power_factor", "timestamp", "event_id")
     wire = kv.select(F.col("key").cast("binary").alias("key"),
                      F.col("value").cast("binary").alias("value"))
-    schema = SMART_METERS.add("event_id", "long")
+    schema = StructType(SMART_METERS.fields + [StructField("event_id", LongType())])
     back = parse_events(wire.withColumn("key", F.col("key").cast("string")), schema,
                         keep=("key",))
     return back.select("key", "meter_id", "ward_id", "kwh_reading", "voltage",

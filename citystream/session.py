@@ -70,6 +70,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/citystream/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cut(df):
+    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir``.
+
+    The frame is persisted while the checkpoint is written, so the plan runs
+    once (an RDD checkpoint otherwise recomputes its input to write it); the
+    cache is released afterwards.  If an executor is lost meanwhile, its
+    cached blocks are rebuilt from lineage; after the cut, from the files.
+    """
+    from pyspark import StorageLevel
+    checkpoint_root(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -113,9 +113,13 @@ def q_stream_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
+# Files (days) per micro-batch of the paced consumer.
+PACED_FILES_PER_TRIGGER = 4
+
+
 def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two consumers of one signal stream: an unthrottled one and a paced one
-    (one file per micro-batch).  Pacing changes batching, not results: the
+    (a few day files per micro-batch).  Pacing changes batching, not results: the
     paced query's rows are returned, and must equal the unpaced read."""
     days = scratch_path(spark, "signals_by_day")
     ev = fx.table(spark, sf_dir, "events")
@@ -124,7 +128,7 @@ def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = ev.schema
     fast_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet")
     slow_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet",
-                           maxFilesPerTrigger=1)
+                           maxFilesPerTrigger=PACED_FILES_PER_TRIGGER)
     cols = ("junction_id", "zone", "avg_wait_sec", "event_id")
     fast_out, slow_out = scratch_path(spark, "fast"), scratch_path(spark, "slow")
     fast = to_parquet(fx.traffic_signals(fast_src).select(*cols), fast_out,

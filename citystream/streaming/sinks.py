@@ -25,7 +25,14 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                partition_by: Sequence[str] = (), trigger: dict | None = None,
                name: str | None = None) -> StreamingQuery:
     """Exactly-once file sink (the ``_spark_metadata`` log lists committed
-    files).  Append mode on an aggregate needs a watermark."""
+    files).  Append mode on an aggregate needs a watermark.
+
+    With ``partition_by``, rows are first hash-partitioned on those columns,
+    so each output folder is written by one task per micro-batch (few large
+    files instead of one small file per task and folder).
+    """
+    if partition_by:
+        df = df.repartition(*partition_by)
     w = (df.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode(mode))
     if partition_by:

@@ -34,3 +34,9 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_queries_are_repeatable(spark, sf_dir):
+    for name in ("q_json_roundtrip", "q_aqi_rolling_sql"):
+        a = queries()[name](spark, sf_dir).count()
+        assert queries()[name](spark, sf_dir).count() == a

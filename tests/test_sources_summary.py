@@ -54,3 +54,32 @@ def test_summary_over_stored_parquet(spark, tmp_path):
     assert read_stored_parquet(spark, str(tmp_path / "missing")) is None
     (tmp_path / "empty").mkdir()
     assert read_stored_parquet(spark, str(tmp_path / "empty")) is None
+
+
+def test_open_enrichment_keeps_explicit_nulls(spark):
+    from citystream.operators.enrich import enrich_json
+    raw = spark.createDataFrame(
+        [('{"bus_id":"B1","route_id":"R1","lat":null,"route_name":"old"}',),
+         ('{"bus_id":"B2","route_id":"R9"}',), ("not json",), ("{}",)], "value string")
+    rt = spark.createDataFrame([("R1", "First", "T1", "18:00:00")], ROUTE_SCHEDULE)
+    out = [r.enriched for r in enrich_json(raw, rt).collect()]
+    first = json.loads(out[0])
+    assert first["lat"] is None and first["route_name"] == "First" and first["terminal"] == "T1"
+    assert json.loads(out[1]) == {"bus_id": "B2", "route_id": "R9"}
+    assert out[2] is None and json.loads(out[3]) == {}
+
+
+def test_observed_scan_totals(spark):
+    from citystream.operators import quality as Q
+    df = spark.createDataFrame([(None,), (10.0,), (900.0,)], "aqi double")
+    v, obs = Q.observe_scan(Q.validate(df, Q.AIR_QUALITY))
+    v.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"scanned": 3, "failed": 2}
+
+
+def test_kafka_options():
+    from citystream.sources.streams import kafka_options
+    o = kafka_options(["a", "b"], "h:1", max_per_trigger=100, min_partitions=24)
+    assert o == {"kafka.bootstrap.servers": "h:1", "subscribe": "a,b",
+                 "startingOffsets": "latest", "maxOffsetsPerTrigger": "100",
+                 "minPartitions": "24"}
