@@ -39,6 +39,10 @@ from citystream.session import cut
 RADIUS_M = 200.0
 HOLD_SEC = 300
 
+# Largest route (rows) folded inside one task.  Above it the distributed plan
+# runs; a route at this size is ~100 MB of pandas columns in one task.
+MAX_ROUTE_ROWS_PER_TASK = 1_000_000
+
 PAIR = ["route_id", "bus_a", "bus_b"]
 
 
@@ -136,19 +140,49 @@ def successors(g: DataFrame, hold_s: int = HOLD_SEC,
     return filled.where(F.col("_k") == 0).select("x", "y")
 
 
+def _route_fold(g: DataFrame, radius_m: float, hold_s: int) -> DataFrame:
+    """Small-route plan: each route's events folded in one task (Arrow
+    batches, same rule code as the streaming processor)."""
+    from citystream.functions.time import micros_to_ntz
+    from citystream.streaming.stateful import ALERT_COLUMNS, BUNCHING_OUT, bunch_events
+    hold_us = hold_s * 1_000_000
+
+    def fold(pdf):
+        import pandas as pd
+        rows = bunch_events(pdf["route_id"].iloc[0], pdf, [], [], [], {}, radius_m, hold_us)
+        return pd.DataFrame(rows, columns=ALERT_COLUMNS)
+
+    src = g.select("route_id", "bus_id", "lat", "lon", F.col("e").alias("event_id"),
+                   epoch_micros("t").alias("_us"))
+    out = src.groupBy("route_id").applyInPandas(fold, BUNCHING_OUT)
+    return out.select("route_id", "bus_1", "bus_2", "distance_meters", "duration_seconds",
+                      F.struct(micros_to_ntz(F.col("event_us")).alias("t"),
+                               F.col("event_id").alias("e")).alias("at"))
+
+
 def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
              t: str = "event_time", e: str = "event_id",
-             seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
+             seconds: int = DEFAULT_SPLIT_SECONDS,
+             max_route_rows: int | None = MAX_ROUTE_ROWS_PER_TASK) -> DataFrame:
     """Bunching incidents from a batch of GPS rows.
 
     Out: incident_type, severity, route_id, bus_1, bus_2 (bus_1 = the one seen
     first on the route), distance_meters (2 dp), duration_seconds, event_id,
     event_time (the alert tick), details (struct).
+
+    Plan choice, like a checked broadcast: one aggregate measures the largest
+    route; when every route has at most ``max_route_rows`` rows, each route is
+    folded in one task.  Otherwise (or with ``max_route_rows=None``) the
+    distributed plan below runs, which never gathers a route.
     """
     g = (gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
             .select("route_id", "bus_id", F.col("lat").cast("double").alias("lat"),
                     F.col("lon").cast("double").alias("lon"),
                     F.col(t).alias("t"), F.col(e).alias("e")))
+    if max_route_rows:
+        biggest = g.groupBy("route_id").count().agg(F.max("count")).first()[0]
+        if biggest is not None and biggest <= max_route_rows:
+            return _finish(_route_fold(g, radius_m, hold_s))
     # Reliable checkpoints (shared folder) cut the lineage between phases.
     seg = cut(near_segments(g, radius_m, seconds))
     isl = cut(islands(seg, seconds))
@@ -164,8 +198,10 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
             "bus_2 string, distance_meters double, duration_seconds bigint, "
             "event_id bigint, event_time timestamp_ntz")
     if span is None or span < hold_s * 1_000_000:
-        return empty.withColumn("details", F.struct("route_id", "bus_1", "bus_2",
-                                                    "distance_meters", "duration_seconds"))
+        return _finish(empty.select("route_id", "bus_1", "bus_2", "distance_meters",
+                                    "duration_seconds",
+                                    F.struct(F.col("event_time").alias("t"),
+                                             F.col("event_id").alias("e")).alias("at")))
     levels = max(1, int(span // (hold_s * 1_000_000)).bit_length())
     tables = chain.jump_tables(successors(g, hold_s, seconds), levels)
     steps = chain.walk(isl, tables, PAIR + ["s"])
@@ -188,18 +224,25 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     fb = first.select("route_id", F.col("bus_id").alias("bus_b"), F.col("_first").alias("_fb"))
     alerts = alerts.join(fa, ["route_id", "bus_a"]).join(fb, ["route_id", "bus_b"])
     a_first = F.col("_fa") < F.col("_fb")
-    bus_1 = F.when(a_first, F.col("bus_a")).otherwise(F.col("bus_b"))
-    bus_2 = F.when(a_first, F.col("bus_b")).otherwise(F.col("bus_a"))
-    dist = F.round("_d", 2)
     dur = ((epoch_micros(F.col("at.t")) - epoch_micros(F.col("prev.t"))) / F.lit(1_000_000)
            ).cast("long")
+    return _finish(alerts.select(
+        "route_id", F.when(a_first, F.col("bus_a")).otherwise(F.col("bus_b")).alias("bus_1"),
+        F.when(a_first, F.col("bus_b")).otherwise(F.col("bus_a")).alias("bus_2"),
+        F.col("_d").alias("distance_meters"), dur.alias("duration_seconds"), "at"))
+
+
+def _finish(alerts: DataFrame) -> DataFrame:
+    """Common output shape: (route_id, bus_1, bus_2, distance, duration, at)."""
+    dist = F.round("distance_meters", 2)
     return alerts.select(
         F.lit(BUS_BUNCHING).alias("incident_type"), F.lit(MEDIUM).alias("severity"),
-        "route_id", bus_1.alias("bus_1"), bus_2.alias("bus_2"), dist.alias("distance_meters"),
-        dur.alias("duration_seconds"), F.col("at.e").alias("event_id"),
-        F.col("at.t").alias("event_time"),
-        F.struct("route_id", bus_1.alias("bus_1"), bus_2.alias("bus_2"),
-                 dist.alias("distance_meters"), dur.alias("duration_seconds")).alias("details"))
+        "route_id", "bus_1", "bus_2", dist.alias("distance_meters"),
+        F.col("duration_seconds").cast("long").alias("duration_seconds"),
+        F.col("at.e").alias("event_id"), F.col("at.t").alias("event_time"),
+        F.struct("route_id", "bus_1", "bus_2", dist.alias("distance_meters"),
+                 F.col("duration_seconds").cast("long").alias("duration_seconds"))
+        .alias("details"))
 
 
 def latest_positions(gps: DataFrame, t: str = "event_time", e: str = "event_id") -> DataFrame:

@@ -327,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
         "q_json_roundtrip": _q_json_roundtrip(),
         "q_gridlock": _q_gridlock(),
         "q_bunching": _q_bunching(),
+        "q_bunching_distributed": _q_bunching(),
         "q_incidents": _q_incidents(),
         "q_aqi_rolling_sql": _q_advisories(10, 1),
         "q_aqi_advisories_join_first": _q_advisories(10, 2),

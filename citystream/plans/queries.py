@@ -207,6 +207,14 @@ def q_open_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_contains(keys, "lon").alias("lon_key_kept"))
 
 
+def q_bunching_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``q_bunching`` forced onto the distributed plan (no route gathered)."""
+    b = bunching(_valid_gps(Fixtures(spark, sf_dir)), max_route_rows=None)
+    return b.select("incident_type", "severity", "route_id", "bus_1", "bus_2",
+                    "distance_meters", "duration_seconds", "event_id",
+                    epoch_millis("event_time").alias("event_ms"))
+
+
 QUERIES = {
     "q_ward_energy": q_ward_energy,
     "q_aqi_advisories": q_aqi_advisories,
@@ -222,6 +230,7 @@ QUERIES = {
     "q_json_roundtrip": q_json_roundtrip,
     "q_gridlock": q_gridlock,
     "q_bunching": q_bunching,
+    "q_bunching_distributed": q_bunching_distributed,
     "q_incidents": q_incidents,
     "q_aqi_rolling_sql": q_aqi_rolling_sql,
     "q_aqi_advisories_join_first": q_aqi_advisories_join_first,

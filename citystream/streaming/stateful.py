@@ -80,60 +80,77 @@ def _haversine_np(lat1, lon1, lat2, lon2):
     return EARTH_RADIUS_M * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
 
 
+def bunch_events(route, pdf: pd.DataFrame, buses: list, lat: list, lon: list,
+                 timers: dict, radius: float, hold_us: int) -> list[tuple]:
+    """Run the bunching rule over one route's events, in (time, id) order.
+
+    ``buses``/``lat``/``lon`` (insertion order = first sighting) and
+    ``timers`` ((i, j) slot pair -> timer start, us) are the route's state and
+    are updated in place.  Distances to the moving bus are vectorised; pairs
+    without the moving bus keep their state and only their timers are
+    checked.  Returns alerts (route, bus_1, bus_2, distance, duration_s,
+    event_id, event_us) with the raw distance.
+    """
+    slot = {b: i for i, b in enumerate(buses)}
+    rows = []
+    pdf = pdf.sort_values(["_us", "event_id"])
+    for bus, la, lo, eid, us in zip(pdf["bus_id"], pdf["lat"], pdf["lon"],
+                                    pdf["event_id"], pdf["_us"]):
+        if la is None or lo is None or np.isnan(la) or np.isnan(lo):
+            continue
+        us = int(us)
+        if bus not in slot:
+            slot[bus] = len(buses)
+            buses.append(bus)
+            lat.append(float(la))
+            lon.append(float(lo))
+        i = slot[bus]
+        lat[i], lon[i] = float(la), float(lo)
+        if len(buses) < 2:
+            continue
+        d = _haversine_np(np.array(lat), np.array(lon), lat[i], lon[i])
+        for k in range(len(buses)):
+            if k == i:
+                continue
+            p = (min(i, k), max(i, k))
+            if d[k] <= radius:
+                if p not in timers:
+                    timers[p] = us
+            else:
+                timers.pop(p, None)
+        for p, start in list(timers.items()):
+            if us - start >= hold_us:          # a timer set now has 0 elapsed
+                a, b = p
+                dist = float(_haversine_np(lat[a], lon[a], lat[b], lon[b]))
+                rows.append((route, buses[a], buses[b], dist, (us - start) // 1_000_000,
+                             int(eid), us))
+                timers[p] = us
+    return rows
+
+
+ALERT_COLUMNS = ["route_id", "bus_1", "bus_2", "distance_meters", "duration_seconds",
+                 "event_id", "event_us"]
+
+
 def _bunching_fn(radius: float, hold_us: int, timeout_ms: int | None):
     def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        route = key[0]
-        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["_us", "event_id"])
+        pdf = pd.concat(list(frames), ignore_index=True)
         if state.exists:
             buses, lat, lon, pi, pj, tm = state.get
             buses, lat, lon = list(buses), list(lat), list(lon)
             timers = {(int(a), int(b)): int(c) for a, b, c in zip(pi, pj, tm)}
         else:
             buses, lat, lon, timers = [], [], [], {}
-        slot = {b: i for i, b in enumerate(buses)}
-        rows = []
-        for bus, la, lo, eid, us in zip(pdf["bus_id"], pdf["lat"], pdf["lon"],
-                                        pdf["event_id"], pdf["_us"]):
-            if la is None or lo is None or np.isnan(la) or np.isnan(lo):
-                continue
-            if bus not in slot:
-                slot[bus] = len(buses)
-                buses.append(bus)
-                lat.append(float(la))
-                lon.append(float(lo))
-            i = slot[bus]
-            lat[i], lon[i] = float(la), float(lo)
-            if len(buses) < 2:
-                continue
-            # Only pairs with the moving bus change distance; others keep
-            # their near/far state and only their timers are checked.
-            d = _haversine_np(np.array(lat), np.array(lon), lat[i], lon[i])
-            for k in range(len(buses)):
-                if k == i:
-                    continue
-                p = (min(i, k), max(i, k))
-                if d[k] <= radius:
-                    if p not in timers:
-                        timers[p] = int(us)
-                else:
-                    timers.pop(p, None)
-            for p, start in list(timers.items()):
-                if int(us) - start >= hold_us:     # a timer set now has 0 elapsed
-                    a, b = p
-                    dist = float(_haversine_np(lat[a], lon[a], lat[b], lon[b]))
-                    rows.append((route, buses[a], buses[b], round(dist, 2),
-                                 (int(us) - start) // 1_000_000, int(eid), int(us)))
-                    timers[p] = int(us)
+        rows = bunch_events(key[0], pdf, buses, lat, lon, timers, radius, hold_us)
         items = sorted(timers.items())
         state.update((buses, lat, lon, [a for (a, _), _ in items],
                       [b for (_, b), _ in items], [v for _, v in items]))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame(rows, columns=["route_id", "bus_1", "bus_2", "distance_meters",
-                                          "duration_seconds", "event_id", "event_us"])
+        yield pd.DataFrame(rows, columns=ALERT_COLUMNS)
     return fn
 
 
@@ -142,6 +159,7 @@ def bunching_stream(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HO
     """Bunching alerts from a stream (append mode), keyed by route."""
     src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "_us")
     tconf = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
-    return src.groupBy("route_id").applyInPandasWithState(
+    out = src.groupBy("route_id").applyInPandasWithState(
         _bunching_fn(radius_m, hold_s * 1_000_000, timeout_ms), BUNCHING_OUT,
         BUNCHING_STATE, "append", tconf)
+    return out.withColumn("distance_meters", F.round("distance_meters", 2))
