@@ -338,4 +338,5 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_gridlock": _q_gridlock(),
         "q_stream_bunching": _q_bunching(),
         "q_paced_stream": _q_paced_stream(),
+        "q_stream_error_counts": _q_error_counts(),
     }

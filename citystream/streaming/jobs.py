@@ -113,6 +113,27 @@ def q_stream_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
+def stream_error_counts(validated: DataFrame, path: str, checkpoint: str,
+                        trigger: dict | None = None):
+    """Running dead-letter counts (per reason + scanned total) as a complete-
+    mode streaming aggregate, e.g. ``trigger={"processingTime": "30 seconds"}``
+    for a periodic summary.  Each epoch's full table goes to ``path/epoch=N``."""
+    return fan_out(Q.error_counts(validated), [epoch_writer(path)], checkpoint,
+                   mode="complete", trigger=trigger)
+
+
+def q_stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both validated topics merged into one stream; the last complete table."""
+    air = Q.validate(fx.air_quality(event_stream(spark, sf_dir)), Q.AIR_QUALITY)
+    gps = Q.validate(fx.bus_gps(event_stream(spark, sf_dir)), Q.BUS_GPS)
+    merged = air.select("error_reason").unionByName(gps.select("error_reason"))
+    path = scratch_path(spark, "error_counts")
+    _run(stream_error_counts(merged, path, scratch_path(spark, "error_counts_ckpt")))
+    back = spark.read.parquet(path)
+    last = back.agg(F.max("epoch").alias("epoch"))
+    return back.join(last, "epoch").select("error_reason", "records")
+
+
 # Files (days) per micro-batch of the paced consumer.
 PACED_FILES_PER_TRIGGER = 4
 
@@ -148,6 +169,7 @@ STREAM_QUERIES = {
     "q_stream_gridlock": q_stream_gridlock,
     "q_stream_bunching": q_stream_bunching,
     "q_paced_stream": q_paced_stream,
+    "q_stream_error_counts": q_stream_error_counts,
 }
 
 
