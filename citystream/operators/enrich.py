@@ -49,12 +49,12 @@ def enrich_json(raw: DataFrame, lookup: DataFrame, key: str = "route_id",
     """
     cols = list(columns) if columns else [c for c in lookup.columns if c != key]
     text = F.col(value_col).cast("string")
-    parsed = raw.withColumn("_k", F.try_variant_get(F.try_parse_json(text), f"$.{key}", "string"))
+    parsed = raw.withColumn("_m", F.from_json(text, "map<string, variant>"))
+    parsed = parsed.withColumn("_k", F.try_variant_get(F.col("_m").getItem(key), "$", "string"))
     add = F.from_json(F.to_json(F.struct(*[F.col(c) for c in cols])), "map<string, variant>")
     dim = small_side(lookup.select(F.col(key).alias("_k"), add.alias("_add")))
     joined = parsed.join(dim, "_k", "left")
-    as_map = F.from_json(text, "map<string, variant>")
     # Lookup values replace fields of the same name, as a dict update would.
-    kept = F.map_filter(as_map, lambda k, v: ~k.isin(*cols))
-    merged = F.when(F.col("_add").isNull(), as_map).otherwise(F.map_concat(kept, F.col("_add")))
-    return joined.withColumn("enriched", F.to_json(merged)).drop("_k", "_add")
+    kept = F.map_filter("_m", lambda k, v: ~k.isin(*cols))
+    merged = F.when(F.col("_add").isNull(), F.col("_m")).otherwise(F.map_concat(kept, F.col("_add")))
+    return joined.withColumn("enriched", F.to_json(merged)).drop("_m", "_k", "_add")

@@ -20,7 +20,8 @@ from citystream.operators.windows import ward_energy
 from citystream.session import scratch_path
 from citystream.sources import fixtures as fx
 from citystream.sources.streams import read_stream
-from citystream.streaming.sinks import epoch_writer, fan_out, to_parquet
+from citystream.streaming.sinks import (await_all, epoch_writer, fan_out, kv_json_writer,
+                                        to_parquet)
 from citystream.streaming.stateful import bunching_stream, gridlock_stream
 
 
@@ -68,16 +69,19 @@ def q_stream_ward_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Advisories as a stream in update mode (10-minute watermark), written
-    once per epoch through foreachBatch; the last update per (zone, window)
-    is the result."""
+    """Advisories as a stream in update mode (10-minute watermark).  One
+    query fans each micro-batch out to two sinks: a per-epoch Parquet table
+    and the message-sink shape (key = zone, JSON of all fields).  The last
+    update per (zone, window) of the table is the result."""
     air = _utc(fx.air_quality(event_stream(spark, sf_dir)))
     zones = fx.zone_profile(fx.table(spark, sf_dir, "nation"))
     adv = zone_advisories(air, zones, "10 minutes", "2 minutes", delay="10 minutes")
     adv = (adv.withColumn("window_start", utc_to_ntz("window_start").cast("string"))
               .withColumn("window_end", utc_to_ntz("window_end").cast("string")))
     path = scratch_path(spark, "advisories")
-    _run(fan_out(adv, [epoch_writer(path)], scratch_path(spark, "advisories_ckpt"), "update"))
+    _run(fan_out(adv, [epoch_writer(path), kv_json_writer(scratch_path(spark, "advisories_kv"),
+                                                          "zone")],
+                 scratch_path(spark, "advisories_ckpt"), "update"))
     back = spark.read.parquet(path)
     cols = [c for c in adv.columns if c not in ("zone", "window_start")]
     last = F.max_by(F.struct(*cols), F.col("epoch"))
@@ -156,8 +160,7 @@ def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       scratch_path(spark, "fast_ckpt"))
     slow = to_parquet(fx.traffic_signals(slow_src).select(*cols), slow_out,
                       scratch_path(spark, "slow_ckpt"))
-    _run(fast)
-    _run(slow)
+    await_all(spark, [fast, slow])
     return spark.read.schema(", ".join(
         ["junction_id string", "zone string", "avg_wait_sec double", "event_id long"])
     ).parquet(slow_out)

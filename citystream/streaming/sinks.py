@@ -56,6 +56,30 @@ def epoch_writer(path: str, partition_by: Sequence[str] = ()) -> Callable[[DataF
     return write
 
 
+def kv_json_writer(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body writing the message-sink shape (key, JSON value of
+    all columns) as JSON files under ``path/epoch=N``: what the Kafka sink
+    would receive, for deployments or tests without a broker."""
+    from citystream.functions.json import to_kv
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        to_kv(batch, key).write.mode("overwrite").json(f"{path.rstrip('/')}/epoch={epoch}")
+    return write
+
+
+def await_all(spark, queries: Sequence[StreamingQuery]) -> None:
+    """Block until every query has ended, waking on each termination
+    (``awaitAnyTermination``); the first failure is raised."""
+    pending = list(queries)
+    while pending:
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        for q in [q for q in pending if not q.isActive]:
+            pending.remove(q)
+            if q.exception():
+                raise RuntimeError(str(q.exception()))
+
+
 def fan_out(df: DataFrame, writers: Sequence[Callable[[DataFrame, int], None]],
             checkpoint: str, mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
     """One query feeding several sinks: each micro-batch is computed once,
