@@ -24,6 +24,8 @@ Batch form, without gathering a route in one place:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +69,11 @@ def pair_bucket_seconds(g: DataFrame) -> int:
     return int(min(max(2 * gap, 1), 86400))
 
 
+# Fan-out of the bucket levels: an interval lives on the level where it spans
+# at most this many buckets (widths W, W*K, W*K^2, ...).
+LEVEL_FANOUT = 16
+
+
 def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
                   seconds: int = DEFAULT_SPLIT_SECONDS,
                   pair_seconds: int | None = None) -> DataFrame:
@@ -74,44 +81,72 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
 
     In: route_id, bus_id, lat, lon, t, e.  Out: route_id, bus_a < bus_b,
     s (first tick), f (exclusive end tick, null = open), dist.
+
+    Each position is valid from its tick to its bus's next tick.  Intervals
+    are matched through an equi-join on (route, time bucket, sphere cell).
+    So that a long interval (a silent bus, a final open position) does not
+    become one copy per fine bucket, intervals are put on levels: level k
+    uses buckets of width W*K^k and holds intervals spanning at most K+1 of
+    them.  The join at level j pairs level-j intervals with every interval of
+    level <= j (copied into level-j buckets: at most K+1 copies each), and a
+    pair is kept at level max(level_p, level_q) only, in the bucket holding
+    the start of its overlap: every overlapping pair exactly once.
     """
     pb_w = pair_seconds or pair_bucket_seconds(g)
+    k = LEVEL_FANOUT
     pos = keyed_neighbor(g, ["route_id", "bus_id"], "t", "e", ["t", "e"], "nx",
                          step=1, seconds=seconds)
     last = small_side(g.groupBy("route_id").agg(F.max(_tick()).alias("_last")))
     pos = pos.join(last, "route_id")
-    end_t = F.coalesce(F.col("nx.t"), F.col("_last.t"))
+    s_us = epoch_micros("t")
+    end_us = epoch_micros(F.coalesce(F.col("nx.t"), F.col("_last.t")))
+    span = (end_us - s_us).cast("double")
+    base = float(pb_w) * 1e6 * k
+    level = F.when(span <= F.lit(base), F.lit(0)).otherwise(
+        F.ceil(F.log(span / F.lit(base)) / F.lit(math.log(k)) + F.lit(1e-9))).cast("int")
     cx, cy, cz = sphere_cells(F.col("lat"), F.col("lon"), radius_m)
-    pos = pos.select(
+    pos = cut(pos.select(
         "route_id", "bus_id", "lat", "lon", _tick().alias("s"), F.col("nx").alias("f"),
-        F.explode(F.sequence(split_id("t", pb_w), split_id(end_t, pb_w))).alias("_pb"),
-        cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
-    # Both sides of the self-join read this once from the shared checkpoint
-    # folder instead of recomputing the scan and the per-bus window twice.
-    pos = cut(pos)
-    p = (pos.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
-                                                   forward=True)).alias("_nc"))
-            .select("route_id", "_pb", F.col("_nc.cx").alias("cx"), F.col("_nc.cy").alias("cy"),
-                    F.col("_nc.cz").alias("cz"), F.col("_nc.own").alias("own"),
-                    F.col("bus_id").alias("bus_p"),
-                    F.col("lat").alias("lat_p"), F.col("lon").alias("lon_p"),
-                    F.col("s").alias("s_p"), F.col("f").alias("f_p")))
-    q = pos.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_q"),
-                   F.col("lat").alias("lat_q"), F.col("lon").alias("lon_q"),
-                   F.col("s").alias("s_q"), F.col("f").alias("f_q"))
-    j = (p.join(q, ["route_id", "_pb", "cx", "cy", "cz"])
-          .where((F.col("bus_p") < F.col("bus_q"))
-                 | (~F.col("own") & (F.col("bus_p") > F.col("bus_q")))))
-    s = F.greatest("s_p", "s_q")
-    f = F.least("f_p", "f_q")  # least skips nulls: null only when both are open
-    j = j.select("route_id", F.least("bus_p", "bus_q").alias("bus_a"),
-                 F.greatest("bus_p", "bus_q").alias("bus_b"), "_pb", s.alias("s"), f.alias("f"),
-                 haversine_m(F.col("lat_p"), F.col("lon_p"), F.col("lat_q"), F.col("lon_q"))
-                 .alias("dist"))
-    return (j.where((F.col("f").isNull() | (F.col("s") < F.col("f")))
-                    & (F.col("_pb") == split_id(F.col("s.t"), pb_w))
-                    & (F.col("dist") <= F.lit(float(radius_m))))
-             .drop("_pb"))
+        s_us.alias("_su"), end_us.alias("_eu"), level.alias("_lv"),
+        cx.alias("cx"), cy.alias("cy"), cz.alias("cz")))
+    levels = sorted(r[0] for r in pos.select("_lv").distinct().collect())
+    parts = []
+    for lv in levels:
+        width = int(pb_w * 1_000_000 * k ** lv)
+        rows = pos.where(F.col("_lv") <= lv).withColumn(
+            "_pb", F.explode(F.sequence(F.floor(F.col("_su") / width),
+                                        F.floor(F.col("_eu") / width))))
+        p = (rows.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
+                                                        forward=True)).alias("_nc"))
+                 .select("route_id", "_pb", F.col("_nc.cx").alias("cx"),
+                         F.col("_nc.cy").alias("cy"), F.col("_nc.cz").alias("cz"),
+                         F.col("_nc.own").alias("own"), F.col("bus_id").alias("bus_p"),
+                         F.col("lat").alias("lat_p"), F.col("lon").alias("lon_p"),
+                         F.col("s").alias("s_p"), F.col("f").alias("f_p"),
+                         F.col("_lv").alias("lv_p")))
+        q = rows.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_q"),
+                        F.col("lat").alias("lat_q"), F.col("lon").alias("lon_q"),
+                        F.col("s").alias("s_q"), F.col("f").alias("f_q"),
+                        F.col("_lv").alias("lv_q"))
+        j = (p.join(q, ["route_id", "_pb", "cx", "cy", "cz"])
+              .where(((F.col("bus_p") < F.col("bus_q"))
+                      | (~F.col("own") & (F.col("bus_p") > F.col("bus_q"))))
+                     & (F.greatest("lv_p", "lv_q") == lv)))
+        s = F.greatest("s_p", "s_q")
+        f = F.least("f_p", "f_q")  # least skips nulls: null only when both are open
+        j = j.select("route_id", F.least("bus_p", "bus_q").alias("bus_a"),
+                     F.greatest("bus_p", "bus_q").alias("bus_b"), "_pb", s.alias("s"),
+                     f.alias("f"),
+                     haversine_m(F.col("lat_p"), F.col("lon_p"), F.col("lat_q"), F.col("lon_q"))
+                     .alias("dist"))
+        parts.append(j.where((F.col("f").isNull() | (F.col("s") < F.col("f")))
+                             & (F.col("_pb") == F.floor(epoch_micros(F.col("s.t")) / width))
+                             & (F.col("dist") <= F.lit(float(radius_m))))
+                      .drop("_pb"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def islands(seg: DataFrame, seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
@@ -163,7 +198,8 @@ def _route_fold(g: DataFrame, radius_m: float, hold_s: int) -> DataFrame:
 def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
              t: str = "event_time", e: str = "event_id",
              seconds: int = DEFAULT_SPLIT_SECONDS,
-             max_route_rows: int | None = MAX_ROUTE_ROWS_PER_TASK) -> DataFrame:
+             max_route_rows: int | None = MAX_ROUTE_ROWS_PER_TASK,
+             pair_seconds: int | None = None) -> DataFrame:
     """Bunching incidents from a batch of GPS rows.
 
     Out: incident_type, severity, route_id, bus_1, bus_2 (bus_1 = the one seen
@@ -184,7 +220,7 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
         if biggest is not None and biggest <= max_route_rows:
             return _finish(_route_fold(g, radius_m, hold_s))
     # Reliable checkpoints (shared folder) cut the lineage between phases.
-    seg = cut(near_segments(g, radius_m, seconds))
+    seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
     isl = cut(islands(seg, seconds))
 
     spark = gps.sparkSession

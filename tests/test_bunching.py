@@ -50,6 +50,25 @@ def test_edges(spark):
     assert _batch(spark, rows, seconds=60) == expect
 
 
+def test_long_silent_bus_uses_levels(spark):
+    # B1 parks for a long time; others pass by it much later.  With 10-second
+    # pair buckets its interval spans hundreds of buckets and lands on a
+    # higher level; results must not change.
+    s = 1_000_000
+    rows = [("R1", "B1", 0, 1, 19.0, 72.9), ("R1", "B2", 5 * s, 2, 19.01, 72.9)]
+    eid = 3
+    for i in range(1, 60):
+        rows.append(("R1", "B2", (5 + 100 * i) * s, eid, 19.0 + (i % 7) * 40 * M_LAT, 72.9))
+        eid += 1
+        rows.append(("R1", "B3", (50 + 100 * i) * s, eid, 19.0 + (i % 5) * 70 * M_LAT, 72.9))
+        eid += 1
+    expect = bunching_fold(rows)
+    assert len(expect) > 3
+    got = bunching(_frame(spark, rows), max_route_rows=None, pair_seconds=10).collect()
+    assert sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
+                   r.event_id) for r in got) == expect
+
+
 def test_random_routes_match_fold(spark):
     rnd = random.Random(7)
     rows, eid = [], 0
