@@ -34,7 +34,8 @@ from citystream.functions.time import epoch_micros, split_id
 from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
 from citystream.operators.joins import small_side
 from citystream.plans import chain
-from citystream.plans.sequence import DEFAULT_SPLIT_SECONDS, keyed_fill, keyed_neighbor, order_key
+from citystream.plans.sequence import (DEFAULT_SPLIT_SECONDS, keyed_fill, keyed_neighbor,
+                                      order_key, slice_seconds)
 from citystream.session import cut
 
 # Bunching radius (metres, inclusive) and hold time (seconds).
@@ -197,7 +198,7 @@ def _route_fold(g: DataFrame, radius_m: float, hold_s: int) -> DataFrame:
 
 def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
              t: str = "event_time", e: str = "event_id",
-             seconds: int = DEFAULT_SPLIT_SECONDS,
+             seconds: int | None = None,
              max_route_rows: int | None = MAX_ROUTE_ROWS_PER_TASK,
              pair_seconds: int | None = None) -> DataFrame:
     """Bunching incidents from a batch of GPS rows.
@@ -219,6 +220,8 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
         biggest = g.groupBy("route_id").count().agg(F.max("count")).first()[0]
         if biggest is not None and biggest <= max_route_rows:
             return _finish(_route_fold(g, radius_m, hold_s))
+    # Slices sized for the busiest route, the widest key of every scan below.
+    seconds = seconds or slice_seconds(g, ["route_id"], "t")
     # Reliable checkpoints (shared folder) cut the lineage between phases.
     seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
     isl = cut(islands(seg, seconds))
@@ -255,7 +258,7 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                         split_id("_t", seconds), F.col("dist"), "_d")
     alerts = filled.where(F.col("_k") == 1)
 
-    first = g.groupBy("route_id", "bus_id").agg(F.min(_tick()).alias("_first"))
+    first = small_side(g.groupBy("route_id", "bus_id").agg(F.min(_tick()).alias("_first")))
     fa = first.select("route_id", F.col("bus_id").alias("bus_a"), F.col("_first").alias("_fa"))
     fb = first.select("route_id", F.col("bus_id").alias("bus_b"), F.col("_first").alias("_fb"))
     alerts = alerts.join(fa, ["route_id", "bus_a"]).join(fb, ["route_id", "bus_b"])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citystream.operators.incidents import GRIDLOCK_MESSAGE, HIGH, TRAFFIC_GRIDLOCK
-from citystream.plans.sequence import DEFAULT_SPLIT_SECONDS, SPLIT, order_key, with_slice
+from citystream.plans.sequence import SPLIT, order_key, slice_seconds, with_slice
 
 # Wait limit (seconds, strict) and run length.
 WAIT_LIMIT_SEC = 180.0
@@ -28,13 +28,16 @@ RUN_LENGTH = 3
 
 def gridlock(signals: DataFrame, limit: float = WAIT_LIMIT_SEC, key: str = "junction_id",
              wait_col: str = "avg_wait_sec", t: str = "event_time", e: str = "event_id",
-             seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
+             seconds: int | None = None) -> DataFrame:
     """Gridlock incidents from a batch of signal cycles.
 
     Out: incident_type, severity, junction_id, zone, consecutive_wait_times
     (oldest first), message, event_id, event_time, details (struct).
+    ``seconds`` is the time-slice width; by default it is sized from the data
+    so the busiest junction holds about a million rows per slice.
     """
     n = RUN_LENGTH
+    seconds = seconds or slice_seconds(signals, [key], t)
     d = with_slice(signals.withColumn("_w", F.coalesce(F.col(wait_col).cast("double"),
                                                        F.lit(0.0))), t, seconds)
     d = d.withColumn("_high", F.col("_w") > F.lit(float(limit)))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citystream.functions.time import split_id
+from citystream.functions.time import epoch_micros, split_id
 
 # Width of a time slice.  A slice of one key must fit a task comfortably:
 # at the design rates (a few thousand events/s over all keys) an hour of even
@@ -29,6 +29,30 @@ DEFAULT_SPLIT_SECONDS = 3600
 
 SPLIT = "_slice"
 
+# Rows of the busiest key per slice that a task should see.
+TARGET_SLICE_ROWS = 1_000_000
+MAX_SLICE_SECONDS = 7 * 86400
+
+
+def slice_seconds(df: DataFrame, keys: Sequence[str], t: str,
+                  target_rows: int = TARGET_SLICE_ROWS) -> int:
+    """Slice width so the busiest key holds about ``target_rows`` per slice.
+
+    One aggregate job (partial counts before the shuffle): the largest key
+    count and the time span.  Assumes the busiest key's rows are spread over
+    the span; bursts only make some slices larger, not unbounded.
+    """
+    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                               F.min(epoch_micros(t)).alias("lo"),
+                               F.max(epoch_micros(t)).alias("hi"))
+           .agg(F.max("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+           .first())
+    if not r or not r["n"]:
+        return DEFAULT_SPLIT_SECONDS
+    span_s = max((r["hi"] - r["lo"]) / 1e6, 1.0)
+    width = span_s * target_rows / r["n"]
+    return int(min(max(width, 1), MAX_SLICE_SECONDS))
+
 
 def with_slice(df: DataFrame, t: str, seconds: int) -> DataFrame:
     return df.withColumn(SPLIT, split_id(t, seconds))

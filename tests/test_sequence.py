@@ -46,3 +46,15 @@ def test_fill_both_directions(spark):
         for r in pdf.itertuples():
             assert gf[r.e] == (None if pd.isna(r.ff) else r.ff)
             assert gb[r.e] == (None if pd.isna(r.bf) else r.bf)
+
+
+def test_slice_width_bounds_the_hot_key(spark):
+    from citystream.plans.sequence import slice_seconds
+    # one key holds 3,000 of 4,000 rows over ~3,000 s
+    rows = [("hot", T0 + dt.timedelta(seconds=i), i, 1.0) for i in range(3000)]
+    rows += [(f"k{i % 50}", T0 + dt.timedelta(seconds=3 * i), 10_000 + i, 1.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, e long, v double")
+    w = slice_seconds(df, ["k"], "t", target_rows=100)
+    per_slice = (df.where("k = 'hot'").groupBy(split_id("t", w)).count()
+                   .agg(F.max("count")).first()[0])
+    assert 50 <= w <= 200 and per_slice <= 2 * 100
