@@ -36,20 +36,46 @@ def ward_energy(df: DataFrame, window: str = "15 minutes", delay: str | None = N
         "total_kwh_consumed", "avg_power_factor", "peak_voltage")
 
 
+def _seconds(interval: str) -> int:
+    n, unit = interval.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult
+
+
 def rolling_aqi(df: DataFrame, window: str = "10 minutes", slide: str = "1 minute",
                 delay: str | None = None, time_col: str = "event_time",
                 key: str = "zone") -> DataFrame:
     """Sliding-window mean AQI per zone over non-null readings.
 
     Out: window_start, window_end, zone, rolling_avg_aqi (unrounded),
-    readings.  Each reading falls in window/slide windows (Spark expands rows
-    before the partial aggregate, so the shuffle still carries one row per
-    window and zone per input partition).
+    readings.
+
+    Batch input is pre-aggregated per slide-sized pane (sum, count; partial
+    aggregation before the shuffle), and only the panes are expanded into the
+    window/slide windows that contain them.  That is 1 row per pane instead
+    of window/slide rows per reading.  Streams use ``window()`` directly,
+    which watermarks and append mode need.
     """
-    agg = (_watermarked(df.where(F.col("aqi").isNotNull()), time_col, delay)
-           .groupBy(F.window(time_col, window, slide).alias("w"), key)
-           .agg(F.avg("aqi").alias("rolling_avg_aqi"),
-                F.count("aqi").alias("readings")))
-    return agg.select(F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), key,
-                      "rolling_avg_aqi", "readings")
+    src = df.where(F.col("aqi").isNotNull())
+    size, step = _seconds(window), _seconds(slide)
+    if df.isStreaming or size % step != 0:
+        agg = (_watermarked(src, time_col, delay)
+               .groupBy(F.window(time_col, window, slide).alias("w"), key)
+               .agg(F.avg("aqi").alias("rolling_avg_aqi"),
+                    F.count("aqi").alias("readings")))
+        return agg.select(F.col("w.start").alias("window_start"),
+                          F.col("w.end").alias("window_end"), key,
+                          "rolling_avg_aqi", "readings")
+    panes = (src.groupBy(F.window(time_col, slide).alias("p"), key)
+                .agg(F.sum("aqi").alias("_s"), F.count("aqi").alias("_n")))
+    k = size // step
+    start = F.col("p.start") - F.make_dt_interval(secs=F.col("_i") * F.lit(step))
+    expanded = (panes.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+                     .select(start.alias("window_start"), key, "_s", "_n"))
+    agg = expanded.groupBy("window_start", key).agg(F.sum("_s").alias("_s"),
+                                                    F.sum("_n").alias("readings"))
+    return agg.select(
+        "window_start",
+        (F.col("window_start") + F.make_dt_interval(secs=F.lit(size))).alias("window_end"),
+        key, (F.col("_s").cast("double") / F.col("readings")).alias("rolling_avg_aqi"),
+        "readings")
