@@ -212,7 +212,8 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     folded in one task.  Otherwise (or with ``max_route_rows=None``) the
     distributed plan below runs, which never gathers a route.
     """
-    g = (gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    g = (gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
+                   & F.col(t).isNotNull())
             .select("route_id", "bus_id", F.col("lat").cast("double").alias("lat"),
                     F.col("lon").cast("double").alias("lon"),
                     F.col(t).alias("t"), F.col(e).alias("e")))

@@ -37,6 +37,7 @@ def gridlock(signals: DataFrame, limit: float = WAIT_LIMIT_SEC, key: str = "junc
     so the busiest junction holds about a million rows per slice.
     """
     n = RUN_LENGTH
+    signals = signals.where(F.col(t).isNotNull())  # no event time: no place in the order
     seconds = seconds or slice_seconds(signals, [key], t)
     d = with_slice(signals.withColumn("_w", F.coalesce(F.col(wait_col).cast("double"),
                                                        F.lit(0.0))), t, seconds)

@@ -58,3 +58,15 @@ def test_slice_width_bounds_the_hot_key(spark):
     per_slice = (df.where("k = 'hot'").groupBy(split_id("t", w)).count()
                    .agg(F.max("count")).first()[0])
     assert 50 <= w <= 200 and per_slice <= 2 * 100
+
+
+def test_hot_key_spreads_over_tasks(spark):
+    # One key with 3,000 rows over 50 minutes: sliced by 5 minutes, its rows
+    # are handled by several tasks, and the result still equals a plain lead.
+    rows = [("hot", T0 + dt.timedelta(seconds=i), i, 1.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, e long, v double")
+    out = keyed_neighbor(df, ["k"], "t", "e", ["e"], "n", 1, 300)
+    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+    got = {r[0]: r[1] for r in out.select("e", "n.e").collect()}
+    assert all(got[i] == (i + 1 if i < 2999 else None) for i in range(3000))
