@@ -50,18 +50,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a shared file system) and is
-    only read here.  Only where it is unset (local tests) do we pick a fresh
-    folder under the system temp dir.
+    only read here.  Where it is unset (local tests), the context's
+    checkpoint folder is used, and only if that is unset too is a fresh one
+    created under the system temp dir (the config itself cannot be changed
+    at run time, so ``setCheckpointDir`` is used).
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="citystream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="citystream-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
