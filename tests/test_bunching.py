@@ -105,3 +105,20 @@ def test_stream_form_matches_fold(spark, tmp_path):
     got = sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
                   r.event_id) for r in spark.table("bb_test").collect())
     assert got == bunching_fold(rows)
+
+
+def test_random_ties_and_radius_edges_distributed(spark):
+    for seed in (11, 23, 42):
+        rnd = random.Random(seed)
+        rows = []
+        for eid in range(160):
+            route = rnd.choice(["R1", "R2"])
+            t = rnd.choice(range(0, 3600, 30)) * 1_000_000         # many equal times
+            metres = rnd.choice([0, 150, 199.9, 200.1, 260, 390, 600])
+            lat = None if rnd.random() < 0.03 else 19.0 + metres * M_LAT
+            rows.append((route, f"B{rnd.randint(1, 6)}", t, eid, lat, 72.9))
+        expect = bunching_fold(rows)
+        got = bunching(_frame(spark, rows), max_route_rows=None, seconds=400,
+                       pair_seconds=20).collect()
+        assert sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
+                       r.event_id) for r in got) == expect, seed
