@@ -35,7 +35,7 @@ from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
 from citystream.operators.joins import small_side
 from citystream.plans import chain
 from citystream.plans.sequence import (DEFAULT_SPLIT_SECONDS, keyed_fill, keyed_neighbor,
-                                      order_key, slice_seconds)
+                                      order_key)
 from citystream.session import cut
 
 # Bunching radius (metres, inclusive) and hold time (seconds).
@@ -53,23 +53,42 @@ def _tick(t: str = "t", e: str = "e"):
     return order_key(t, e)
 
 
-def pair_bucket_seconds(g: DataFrame) -> int:
+def route_stats(g: DataFrame) -> dict:
+    """One aggregate job sizing every later step: rows of the largest route,
+    rows, buses (approximate distinct is enough for sizing) and time span."""
+    per_route = g.groupBy("route_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct("bus_id").alias("b"),
+        F.min(epoch_micros("t")).alias("lo"), F.max(epoch_micros("t")).alias("hi"))
+    r = per_route.agg(F.max("n").alias("max_route"), F.sum("n").alias("n"),
+                      F.sum("b").alias("b"), F.min("lo").alias("lo"),
+                      F.max("hi").alias("hi")).first()
+    return r.asDict() if r and r["n"] else {"max_route": 0, "n": 0, "b": 0, "lo": 0, "hi": 0}
+
+
+def pair_bucket_seconds(g: DataFrame, stats: dict | None = None) -> int:
     """Time-bucket width for the pair join: about two typical position gaps.
 
     Copies of a position interval grow as interval / width, and candidate
     pairs per (route, bucket, cell) grow with width * rate; two gaps keeps
-    both near a handful per bus.  One small aggregate job (approximate
-    distinct count is enough for sizing).
+    both near a handful per bus.
     """
-    r = g.agg(F.count(F.lit(1)).alias("n"),
-              F.approx_count_distinct(F.concat_ws("\u0001", "route_id", "bus_id")).alias("b"),
-              (F.max(epoch_micros("t")) - F.min(epoch_micros("t"))).alias("us")).first()
-    if not r or not r["n"]:
+    r = stats or route_stats(g)
+    if not r["n"]:
         return 3600
-    gap = r["us"] / 1e6 * max(r["b"], 1) / r["n"]
+    gap = (r["hi"] - r["lo"]) / 1e6 * max(r["b"], 1) / r["n"]
     return int(min(max(2 * gap, 1), 86400))
 
 
+def slice_seconds_for(stats: dict) -> int:
+    """Scan slice width so the busiest route holds ~TARGET_SLICE_ROWS per slice."""
+    from citystream.plans.sequence import MAX_SLICE_SECONDS, TARGET_SLICE_ROWS
+    if not stats["max_route"]:
+        return DEFAULT_SPLIT_SECONDS
+    span = max((stats["hi"] - stats["lo"]) / 1e6, 1.0)
+    return int(min(max(span * TARGET_SLICE_ROWS / stats["max_route"], 1), MAX_SLICE_SECONDS))
+
+
 # Fan-out of the bucket levels: an interval lives on the level where it spans
 # at most this many buckets (widths W, W*K, W*K^2, ...).
 LEVEL_FANOUT = 16
@@ -217,12 +236,12 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
             .select("route_id", "bus_id", F.col("lat").cast("double").alias("lat"),
                     F.col("lon").cast("double").alias("lon"),
                     F.col(t).alias("t"), F.col(e).alias("e")))
-    if max_route_rows:
-        biggest = g.groupBy("route_id").count().agg(F.max("count")).first()[0]
-        if biggest is not None and biggest <= max_route_rows:
-            return _finish(_route_fold(g, radius_m, hold_s))
+    stats = route_stats(g)
+    if max_route_rows and stats["max_route"] <= max_route_rows:
+        return _finish(_route_fold(g, radius_m, hold_s))
     # Slices sized for the busiest route, the widest key of every scan below.
-    seconds = seconds or slice_seconds(g, ["route_id"], "t")
+    seconds = seconds or slice_seconds_for(stats)
+    pair_seconds = pair_seconds or pair_bucket_seconds(g, stats)
     # Reliable checkpoints (shared folder) cut the lineage between phases.
     seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
     isl = cut(islands(seg, seconds))
