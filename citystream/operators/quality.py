@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from citystream.functions.time import epoch_millis
 
-# Topic names, reasons and rule bounds.
-AIR_QUALITY = "urbanpulse.air_quality"
-BUS_GPS = "urbanpulse.bus_gps"
+# Reasons and rule bounds; topic names are this deployment's.
+AIR_QUALITY = "air_quality"
+BUS_GPS = "bus_gps"
 NULL_AQI_VALUE = "NULL_AQI_VALUE"
 OUT_OF_RANGE_AQI = "OUT_OF_RANGE_AQI"
 IMPOSSIBLE_GPS_COORDINATES = "IMPOSSIBLE_GPS_COORDINATES"

@@ -93,14 +93,14 @@ WHERE r.mean > {threshold}"""
 
 _VALIDATED = """
 validated AS (
-  SELECT 'urbanpulse.air_quality' AS original_topic, sensor_id AS entity_id, event_id,
+  SELECT 'air_quality' AS original_topic, sensor_id AS entity_id, event_id,
          event_time,
          CASE WHEN aqi IS NULL THEN 'NULL_AQI_VALUE'
               WHEN NOT (CAST(aqi AS DOUBLE) BETWEEN 0 AND 500) THEN 'OUT_OF_RANGE_AQI'
          END AS error_reason
   FROM air_quality
   UNION ALL
-  SELECT 'urbanpulse.bus_gps', bus_id, event_id, event_time,
+  SELECT 'bus_gps', bus_id, event_id, event_time,
          CASE WHEN NOT (coalesce(lat, 0e0) BETWEEN 18.5 AND 19.5
                         AND coalesce(lon, 0e0) BETWEEN 72.5 AND 73.5)
               THEN 'IMPOSSIBLE_GPS_COORDINATES' END
