@@ -8,10 +8,10 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-# The text layouts the producers write (UTC when no zone is
-# given; a trailing Z is honoured as UTC).
-TEXT_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ssX",
-                "yyyy-MM-dd'T'HH:mm:ss")
+# The text layouts the producers write ('yyyy-MM-dd HH:mm:ss'
+# in UTC, and ISO 'yyyy-MM-ddTHH:mm:ssZ').  Text without a zone is UTC.
+TEXT_FORMATS = ("yyyy-MM-dd HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ssX",
+                "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXXX")
 
 
 def _c(c) -> Column:
@@ -22,19 +22,16 @@ def event_time(c) -> Column:
     """Parse an event timestamp given as epoch milliseconds or text.
 
     Accepts a number (epoch ms), digit-only text (epoch ms), or one of
-    ``TEXT_FORMATS``.  Anything else gives null.  Result: TIMESTAMP_NTZ in UTC
-    wall time, so no session time zone leaks into results.
+    ``TEXT_FORMATS`` with or without a zone (no zone = UTC).  Anything else
+    gives null.  Result: TIMESTAMP_NTZ in UTC wall time; the session time
+    zone plays no part (zone-less text is given an explicit 'Z').
     """
     col = _c(c)
     s = F.trim(col.cast("string"))
     as_ms = F.when(s.rlike(r"^-?[0-9]{1,18}$"), s.cast("long"))
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TEXT_FORMATS])
-    # try_to_timestamp gives a session-zone TIMESTAMP; a layout without a zone
-    # is read in the session zone, which the session pins to UTC.
-    return F.coalesce(
-        micros_to_ntz(as_ms * F.lit(1000)),
-        utc_to_ntz(parsed),
-    )
+    zoned = F.when(s.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"), s).otherwise(F.concat(s, F.lit("Z")))
+    parsed = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f)) for f in TEXT_FORMATS])
+    return F.coalesce(micros_to_ntz(as_ms * F.lit(1000)), utc_to_ntz(parsed))
 
 
 def epoch_micros(c) -> Column:

@@ -16,6 +16,17 @@ def test_event_time_formats(spark):
     assert got == [base, base, base, base, None, None, base + 123000]
 
 
+def test_event_time_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-01-01 00:00:00",), ("2024-01-01T00:00:00Z",),
+                                    ("2024-01-01T05:30:00+05:30",)], "s string")
+        got = [r[0] for r in df.select(epoch_micros(event_time("s"))).collect()]
+        assert got == [1704067200000000] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_event_time_numeric_epoch_ms(spark):
     df = spark.createDataFrame([(1704067200000,)], "ms long")
     assert df.select(epoch_micros(event_time("ms"))).first()[0] == 1704067200000000
