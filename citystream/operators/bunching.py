@@ -208,7 +208,7 @@ def _route_fold(g: DataFrame, radius_m: float, hold_s: int) -> DataFrame:
         return pd.DataFrame(rows, columns=ALERT_COLUMNS)
 
     src = g.select("route_id", "bus_id", "lat", "lon", F.col("e").alias("event_id"),
-                   epoch_micros("t").alias("_us"))
+                   epoch_micros("t").alias("ts_us"))
     out = src.groupBy("route_id").applyInPandas(fold, BUNCHING_OUT)
     return out.select("route_id", "bus_1", "bus_2", "distance_meters", "duration_seconds",
                       F.struct(micros_to_ntz(F.col("event_us")).alias("t"),

@@ -10,6 +10,7 @@ rows, the output equals the batch operators in ``operators.gridlock`` and
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,13 @@ from citystream.functions.geo import EARTH_RADIUS_M
 from citystream.operators.bunching import HOLD_SEC, RADIUS_M
 from citystream.operators.gridlock import RUN_LENGTH, WAIT_LIMIT_SEC
 
+# The state functions run in Python workers.  Pickling this module's code by
+# value ships it with each task, so workers need only pandas/numpy, not this
+# package on their path (on a cluster, --py-files works as well).
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GRIDLOCK_OUT = ("junction_id string, zone string, wait_1 double, wait_2 double, "
                 "wait_3 double, event_id long, event_us long")
 GRIDLOCK_STATE = "run long, w1 double, w2 double"
@@ -33,7 +41,7 @@ BUNCHING_STATE = ("buses array<string>, lat array<double>, lon array<double>, "
 
 
 def _with_us(df: DataFrame, t: str) -> DataFrame:
-    return df.withColumn("_us", F.unix_micros(F.col(t)))
+    return df.withColumn("ts_us", F.unix_micros(F.col(t)))
 
 
 def _gridlock_fn(limit: float, timeout_ms: int | None):
@@ -41,7 +49,7 @@ def _gridlock_fn(limit: float, timeout_ms: int | None):
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["_us", "event_id"])
+        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts_us", "event_id"])
         run, w1, w2 = state.get if state.exists else (0, np.nan, np.nan)
         w = pdf["avg_wait_sec"].astype("float64").fillna(0.0).to_numpy()
         high = w > limit
@@ -52,14 +60,14 @@ def _gridlock_fn(limit: float, timeout_ms: int | None):
         pos = np.where(last_low >= 0, idx - last_low, idx + 1 + run)
         alert = high & (pos % RUN_LENGTH == 0)
         prev = np.concatenate([[w2, w1], w])          # waits with two carried in front
-        out = pdf.loc[alert, ["junction_id", "zone", "event_id", "_us"]].copy()
+        out = pdf.loc[alert, ["junction_id", "zone", "event_id", "ts_us"]].copy()
         ai = idx[alert] + 2
         out["wait_1"], out["wait_2"], out["wait_3"] = prev[ai - 2], prev[ai - 1], prev[ai]
         last_run = int(pos[-1] % RUN_LENGTH) if high[-1] else 0
         state.update((last_run, float(prev[-1]), float(prev[-2])))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        yield out.rename(columns={"_us": "event_us"})[
+        yield out.rename(columns={"ts_us": "event_us"})[
             ["junction_id", "zone", "wait_1", "wait_2", "wait_3", "event_id", "event_us"]]
     return fn
 
@@ -67,7 +75,7 @@ def _gridlock_fn(limit: float, timeout_ms: int | None):
 def gridlock_stream(signals: DataFrame, limit: float = WAIT_LIMIT_SEC,
                     t: str = "event_time", timeout_ms: int | None = None) -> DataFrame:
     """Gridlock alerts from a stream (append mode).  ``t`` must be TIMESTAMP."""
-    src = _with_us(signals, t).select("junction_id", "zone", "avg_wait_sec", "event_id", "_us")
+    src = _with_us(signals, t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
     tconf = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     return src.groupBy("junction_id").applyInPandasWithState(
         _gridlock_fn(limit, timeout_ms), GRIDLOCK_OUT, GRIDLOCK_STATE, "append", tconf)
@@ -93,9 +101,9 @@ def bunch_events(route, pdf: pd.DataFrame, buses: list, lat: list, lon: list,
     """
     slot = {b: i for i, b in enumerate(buses)}
     rows = []
-    pdf = pdf.sort_values(["_us", "event_id"])
+    pdf = pdf.sort_values(["ts_us", "event_id"])
     for bus, la, lo, eid, us in zip(pdf["bus_id"], pdf["lat"], pdf["lon"],
-                                    pdf["event_id"], pdf["_us"]):
+                                    pdf["event_id"], pdf["ts_us"]):
         if la is None or lo is None or np.isnan(la) or np.isnan(lo):
             continue
         us = int(us)
@@ -157,9 +165,104 @@ def _bunching_fn(radius: float, hold_us: int, timeout_ms: int | None):
 def bunching_stream(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                     t: str = "event_time", timeout_ms: int | None = None) -> DataFrame:
     """Bunching alerts from a stream (append mode), keyed by route."""
-    src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "_us")
+    src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
     tconf = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     out = src.groupBy("route_id").applyInPandasWithState(
         _bunching_fn(radius_m, hold_s * 1_000_000, timeout_ms), BUNCHING_OUT,
         BUNCHING_STATE, "append", tconf)
     return out.withColumn("distance_meters", F.round("distance_meters", 2))
+
+
+# --- transformWithStateInPandas forms (Spark 4 API, state TTL) --------------
+
+def _gridlock_step(pdf: pd.DataFrame, run: int, w1: float, w2: float, limit: float):
+    """Vectorised gridlock rule over one key's batch; returns (alerts, state)."""
+    pdf = pdf.sort_values(["ts_us", "event_id"])
+    w = pdf["avg_wait_sec"].astype("float64").fillna(0.0).to_numpy()
+    high = w > limit
+    idx = np.arange(len(w))
+    last_low = np.maximum.accumulate(np.where(~high, idx, -1))
+    pos = np.where(last_low >= 0, idx - last_low, idx + 1 + run)
+    alert = high & (pos % RUN_LENGTH == 0)
+    prev = np.concatenate([[w2, w1], w])
+    out = pdf.loc[alert, ["junction_id", "zone", "event_id", "ts_us"]].copy()
+    ai = idx[alert] + 2
+    out["wait_1"], out["wait_2"], out["wait_3"] = prev[ai - 2], prev[ai - 1], prev[ai]
+    state = (int(pos[-1] % RUN_LENGTH) if high[-1] else 0, float(prev[-1]), float(prev[-2]))
+    return out.rename(columns={"ts_us": "event_us"})[
+        ["junction_id", "zone", "wait_1", "wait_2", "wait_3", "event_id", "event_us"]], state
+
+
+class GridlockProcessor:
+    """Keyed by junction: ValueState (run position mod 3, last two waits),
+    expiring after ``ttl_ms`` without updates."""
+
+    def __new__(cls, limit: float = WAIT_LIMIT_SEC, ttl_ms: int | None = None):
+        from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+        class _P(StatefulProcessor):
+            def init(self, handle):
+                self.state = handle.getValueState("gridlock", GRIDLOCK_STATE, ttl_ms)
+
+            def handleInputRows(self, key, rows, timerValues):
+                pdf = pd.concat(list(rows), ignore_index=True)
+                run, w1, w2 = self.state.get() if self.state.exists() else (0, np.nan, np.nan)
+                out, new = _gridlock_step(pdf, run, w1, w2, limit)
+                self.state.update(new)
+                yield out
+
+            def close(self):
+                pass
+        return _P()
+
+
+class BunchingProcessor:
+    """Keyed by route: ValueState (buses in first-sighting order, positions,
+    pair timers), expiring after ``ttl_ms`` without updates."""
+
+    def __new__(cls, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
+                ttl_ms: int | None = None):
+        from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+        hold_us = hold_s * 1_000_000
+
+        class _P(StatefulProcessor):
+            def init(self, handle):
+                self.state = handle.getValueState("bunching", BUNCHING_STATE, ttl_ms)
+
+            def handleInputRows(self, key, rows, timerValues):
+                pdf = pd.concat(list(rows), ignore_index=True)
+                if self.state.exists():
+                    buses, lat, lon, pi, pj, tm = self.state.get()
+                    buses, lat, lon = list(buses), list(lat), list(lon)
+                    timers = {(int(a), int(b)): int(c) for a, b, c in zip(pi, pj, tm)}
+                else:
+                    buses, lat, lon, timers = [], [], [], {}
+                out = bunch_events(key[0], pdf, buses, lat, lon, timers, radius_m, hold_us)
+                items = sorted(timers.items())
+                self.state.update((buses, lat, lon, [a for (a, _), _ in items],
+                                   [b for (_, b), _ in items], [v for _, v in items]))
+                yield pd.DataFrame(out, columns=ALERT_COLUMNS)
+
+            def close(self):
+                pass
+        return _P()
+
+
+def gridlock_stream_tws(signals: DataFrame, limit: float = WAIT_LIMIT_SEC,
+                        t: str = "event_time", ttl_ms: int | None = None) -> DataFrame:
+    """Gridlock through ``transformWithStateInPandas`` (needs the RocksDB
+    state store); state of a silent junction expires after ``ttl_ms``."""
+    src = _with_us(signals, t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
+    return src.groupBy("junction_id").transformWithStateInPandas(
+        GridlockProcessor(limit, ttl_ms), GRIDLOCK_OUT, "append",
+        "ProcessingTime" if ttl_ms else "None")
+
+
+def bunching_stream_tws(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
+                        t: str = "event_time", ttl_ms: int | None = None) -> DataFrame:
+    """Bunching through ``transformWithStateInPandas``, keyed by route."""
+    src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
+    out = src.groupBy("route_id").transformWithStateInPandas(
+        BunchingProcessor(radius_m, hold_s, ttl_ms), BUNCHING_OUT, "append",
+        "ProcessingTime" if ttl_ms else "None")
+    return out.withColumn("distance_meters", F.round("distance_meters", 2))

@@ -40,3 +40,14 @@ def bunching_fold(rows, radius=200.0, hold_us=300_000_000):
                 else:
                     timers.pop(k, None)
     return sorted(out)
+
+
+def wait_for_input(q, timeout_s: float = 90.0) -> None:
+    """Stop a processing-time query once a batch with input has committed."""
+    import time
+    start = time.time()
+    while time.time() - start < timeout_s:
+        if any(p["numInputRows"] > 0 for p in q.recentProgress):
+            break
+        time.sleep(0.5)
+    q.stop()
