@@ -95,17 +95,19 @@ def keyed_fill(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """
     keys = list(keys)
     names = [f"_o{i}" for i in range(len(order))]
-    d = (df.withColumn(SPLIT, slice_col).withColumn("_v", value)
-           .select("*", *[o.alias(n) for o, n in zip(order, names)]))
+    base = (df.withColumn(SPLIT, slice_col).withColumn("_v", value)
+              .select("*", *[o.alias(n) for o, n in zip(order, names)]))
     sort = [F.col(n).desc() if descending else F.col(n).asc() for n in names]
     w = (Window.partitionBy(*keys, SPLIT).orderBy(*sort)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_f", F.last("_v", ignorenulls=True).over(w))
+    d = base.withColumn("_f", F.last("_v", ignorenulls=True).over(w))
     # Last non-null value of each slice in scan order; rows with a null value
-    # are skipped by max_by/min_by (their ordering key is null).
+    # are skipped by max_by/min_by (their ordering key is null).  Computed from
+    # the rows before the window, so it aggregates map-side and shuffles only
+    # one partial row per (key, slice) and task.
     rank = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(n) for n in names]))
     pick = F.min_by("_v", rank) if descending else F.max_by("_v", rank)
-    summ = d.groupBy(*keys, SPLIT).agg(pick.alias("_edge"))
+    summ = base.groupBy(*keys, SPLIT).agg(pick.alias("_edge"))
     ws = (Window.partitionBy(*keys)
           .orderBy(F.col(SPLIT).desc() if descending else F.col(SPLIT).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
