@@ -83,3 +83,23 @@ def test_kafka_options():
     assert o == {"kafka.bootstrap.servers": "h:1", "subscribe": "a,b",
                  "startingOffsets": "latest", "maxOffsetsPerTrigger": "100",
                  "minPartitions": "24"}
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from citystream.operators.joins import small_side
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
+
+    def plan(d):
+        return fact.join(d, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(small_side(dim, max_rows=100)).lower()
+    assert "broadcast" not in plan(small_side(dim, max_rows=10)).lower()
+
+
+def test_unkeyed_messages_and_rate_source(spark, tmp_path):
+    from citystream.sources.streams import read_stream
+    df = spark.createDataFrame([("a", 1)], "x string, y int")
+    row = to_kv(df, None).first()
+    assert row.key is None and json.loads(row.value) == {"x": "a", "y": 1}
+    s = read_stream(spark, "rate", rowsPerSecond=5, numPartitions=1)
+    assert s.isStreaming and set(s.columns) == {"timestamp", "value"}
