@@ -129,6 +129,7 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
         "route_id", "bus_id", "lat", "lon", _tick().alias("s"), F.col("nx").alias("f"),
         s_us.alias("_su"), end_us.alias("_eu"), level.alias("_lv"),
         cx.alias("cx"), cy.alias("cy"), cz.alias("cz")))
+    # Distinct levels: a few small integers (log_K of the longest interval).
     levels = sorted(r[0] for r in pos.select("_lv").distinct().collect())
     parts = []
     for lv in levels:
