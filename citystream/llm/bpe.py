@@ -17,7 +17,7 @@ import numpy as np
 
 #: Pieces kept by one worker before its table is cut back to the frequent ones
 #: (memory bound; the ids do not depend on it).
-MAX_PIECES = 1_200_000
+MAX_PIECES = 400_000
 
 
 def load(path: str):
@@ -51,10 +51,10 @@ class PieceTable:
         self.first: dict[str, int] = {}
         self.rest: dict[str, int] = {} if self.spaced else self.first
         self.n = self.used = 0
-        self.start = np.zeros(1024, np.int64)
-        self.count = np.zeros(1024, np.int64)
+        self.start = np.zeros(1024, np.int32)
+        self.count = np.zeros(1024, np.int32)
         self.odd = np.zeros(1024, bool)
-        self.hits = np.zeros(1024, np.int64)
+        self.hits = np.zeros(1024, np.int32)
         self.flat = np.zeros(4096, np.int32)
 
     def seed(self, words: list[str], counts: np.ndarray, flat: np.ndarray) -> None:
@@ -121,24 +121,29 @@ class PieceTable:
         return at
 
     def _shrink(self) -> None:
-        """Begin anew with the pieces that were seen more than once."""
-        keep = [(d, p, i) for d in ({id(self.first): self.first, id(self.rest): self.rest}
-                                    .values()) for p, i in d.items()
-                if self.hits[i] > 1 and not self.odd[i]]
-        keep = sorted(keep, key=lambda x: -self.hits[x[2]])[:MAX_PIECES // 3]
-        at = np.fromiter((i for _, _, i in keep), np.int64, len(keep))
-        lens = self.count[at]
+        """Begin anew with the pieces seen most often, at most half the table."""
+        hits = self.hits[:self.n]
+        least = 2
+        while (hits >= least).sum() > MAX_PIECES // 2:
+            least *= 2
+        keep = (hits >= least) & ~self.odd[:self.n]
+        at = np.flatnonzero(keep)
+        lens = self.count[at].astype(np.int64)
         offs = np.cumsum(lens) - lens
         flat = self.flat[np.repeat(self.start[at] - offs, lens) + np.arange(lens.sum())]
-        spaced = [d is self.rest for d, _, _ in keep]
+        new = np.cumsum(keep) - 1
+        first = {p: int(new[i]) for p, i in self.first.items() if keep[i]}
+        rest = ({p: int(new[i]) for p, i in self.rest.items() if keep[i]}
+                if self.spaced else first)
+        old = hits[at] // 2
         self.clear()
-        self._room(len(keep), len(flat))
-        self.start[:len(keep)] = offs
-        self.count[:len(keep)] = lens
+        self.first, self.rest = first, rest
+        self._room(len(at), len(flat))
+        self.start[:len(at)] = offs
+        self.count[:len(at)] = lens
+        self.hits[:len(at)] = old
         self.flat[:len(flat)] = flat
-        for i, ((_, p, _), r) in enumerate(zip(keep, spaced)):
-            (self.rest if r else self.first)[p] = i
-        self.n, self.used = len(keep), len(flat)
+        self.n, self.used = len(at), len(flat)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per text) of whole texts."""
@@ -164,6 +169,7 @@ class PieceTable:
         else:
             at = self._find(pieces, self.rest, "")
         lens = self.count[at]
+        lens = lens.astype(np.int64)
         offs = np.cumsum(lens) - lens
         total = int(lens.sum())
         ids = self.flat[np.repeat(self.start[at] - offs, lens) + np.arange(total)]

@@ -21,9 +21,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of whole texts: Python tasks then take them in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound a Python worker's memory: at most 1,000 texts, 16 MB, in a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def width(spark: SparkSession) -> int:
     """The session's shuffle width."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm import bpe
-from citystream.llm.common import read, stored
+from citystream.llm.common import read, small_batches, stored
 
 #: Most words in the shipped table: about 10 MB packed.
 TABLE_WORDS = 250_000
@@ -71,7 +71,7 @@ def word_table(docs: DataFrame, tokenizer: str, limit: int = TABLE_WORDS) -> Dat
             .mapInArrow(_encode_words(tokenizer), "word string, ids array<int>"))
 
 
-def _encoder(tokenizer: str, shipped, text: int):
+def _encoder(tokenizer: str, shipped, text: int, by_id=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tab = bpe.table(tokenizer)
         words, counts, flat = shipped.value
@@ -83,13 +83,22 @@ def _encoder(tokenizer: str, shipped, text: int):
             for lo, hi in bpe.slices(texts):
                 ids, n = tab.encode(texts[lo:hi])
                 offs = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(lo, hi - lo) for c in b.columns),
-                     pa.ListArray.from_arrays(pa.array(offs), pa.array(ids, pa.int32()))],
-                    [*b.schema.names, "ids"])
+                cols = [*(c.slice(lo, hi - lo) for c in b.columns),
+                        pa.ListArray.from_arrays(pa.array(offs), pa.array(ids, pa.int32()))]
+                names = [*b.schema.names, "ids"]
+                if by_id is not None:
+                    cols.append(_join_pieces(ids, offs, by_id.value))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(cols, names)
     return run
 
 
+def _join_pieces(ids: np.ndarray, offs: np.ndarray, by_id: list) -> pa.Array:
+    """ids -> text: the join with the id-to-piece table, one lookup a position."""
+    found = list(map(by_id.__getitem__, ids.tolist()))
+    return pa.array([" ".join(found[i:j]) for i, j in zip(offs, offs[1:])], pa.string())
+
+
 class _Shipped:
     """A broadcast of the packed table with an id that workers compare."""
 
@@ -114,17 +123,20 @@ def ship(table: DataFrame) -> _Shipped:
     return _Shipped(table.sparkSession, words, counts, flat)
 
 
+def _fields(df: DataFrame, *more: str) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + list(more))
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text",
-           table: DataFrame | None = None) -> DataFrame:
-    """``docs`` plus ``ids`` (array<int>), the library's ids of the whole text."""
+           table: DataFrame | None = None, decoded: bool = False) -> DataFrame:
+    """``docs`` plus ``ids`` (array<int>), the library's ids of the whole text;
+    with ``decoded`` also what ``decode`` adds, in the same pass."""
     table = table if table is not None else word_table(
         docs.select(F.col(text).alias("text")), tokenizer)
-    shipped = ship(table)
-    names = docs.columns
-    at = names.index(text)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_encoder(tokenizer, shipped, at),
-                           f"{fields}, `ids` array<int>")
+    by_id = _shipped_pieces(docs.sparkSession, tokenizer) if decoded else None
+    more = ["`ids` array<int>"] + ["`decoded` string"] * decoded
+    return docs.mapInArrow(_encoder(tokenizer, ship(table), docs.columns.index(text), by_id),
+                           _fields(docs, *more))
 
 
 def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -133,18 +145,20 @@ def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
     return spark.createDataFrame([(i, p) for p, i in vocab.items()], "id int, piece string")
 
 
-def _joiner(by_id):
-    """ids -> text: the join with the id-to-piece table, one lookup a position."""
+def _shipped_pieces(spark: SparkSession, tokenizer: str):
+    tok = bpe.load(tokenizer)
+    size = max(tok.get_vocab(with_added_tokens=True).values()) + 1
+    return spark.sparkContext.broadcast([tok.id_to_token(i) or "" for i in range(size)])
+
+
+def _decoder(by_id, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = by_id.value.__getitem__
         for b in batches:
-            col = b.column(b.schema.get_field_index("ids"))
-            flat = col.flatten().to_pylist()
+            col = b.column(at)
             offs = np.concatenate([[0], np.cumsum(col.value_lengths().fill_null(0).to_numpy())])
-            flat = list(map(get, flat))
-            out = [" ".join(flat[i:j]) for i, j in zip(offs, offs[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())],
-                                             [*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, _join_pieces(col.flatten().to_numpy(zero_copy_only=False), offs,
+                                          by_id.value)], [*b.schema.names, "decoded"])
     return run
 
 
@@ -152,12 +166,9 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``encoded`` plus ``decoded``: pieces of ``ids`` joined by one blank (the
     vocabulary file names no decoder).  The id-to-piece table is as large as
     the vocabulary, so every task holds it: a map-side join by id."""
-    tok = bpe.load(tokenizer)
-    size = max(tok.get_vocab(with_added_tokens=True).values()) + 1
-    table = encoded.sparkSession.sparkContext.broadcast(
-        [tok.id_to_token(i) or "" for i in range(size)])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(_joiner(table), f"{fields}, `decoded` string")
+    return encoded.mapInArrow(
+        _decoder(_shipped_pieces(encoded.sparkSession, tokenizer), encoded.columns.index("ids")),
+        _fields(encoded, "`decoded` string"))
 
 
 def decode_by_join(encoded: DataFrame, tokenizer: str, key: str) -> DataFrame:
@@ -169,28 +180,15 @@ def decode_by_join(encoded: DataFrame, tokenizer: str, key: str) -> DataFrame:
             .select(key, F.concat_ws(" ", F.col("p.piece")).alias("decoded")))
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sha = hashlib.sha256
-    for b in batches:
-        col = b.column(1)
-        lens = col.value_lengths().to_numpy()
-        text = list(map(str, col.flatten().to_pylist()))
-        offs = np.concatenate([[0], np.cumsum(lens)])
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(lens.astype(np.int64)),
-             pa.array([sha(" ".join(text[i:j]).encode()).hexdigest()
-                       for i, j in zip(offs, offs[1:])], pa.string()),
-             pa.array([sha(t.encode()).hexdigest() for t in b.column(2).to_pylist()],
-                      pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    both = decode(encode(docs.select(F.col("doc_id").cast("long"), "text"), tokenizer)
-                  .select("doc_id", "ids"), tokenizer)
-    return both.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, "
-                                     "decoded_sha256 string")
+    small_batches(docs.sparkSession)
+    both = encode(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
+                  tokenizer, decoded=True)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
