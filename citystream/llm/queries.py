@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from citystream.llm.neardup import op1_near_duplicates
 from citystream.llm.tokens import op2_token_binary
 from citystream.llm.wordbpe import op6_word_bpe
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_token_binary": op2_token_binary,
     "op6_word_bpe": op6_word_bpe,
 }
