@@ -4,7 +4,10 @@ files on the shared file system, packed-array hashing and connected components.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +29,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their
+    Python workers can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="citystream-code-"), "citystream_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound a Python worker's memory: at most 1,000 texts, 16 MB, in a batch."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from citystream.llm.langid import op9_language_id
 from citystream.llm.neardup import op1_near_duplicates
 from citystream.llm.tokens import op2_token_binary
+from citystream.llm.topk import TOP_K_SQL, op4_exact_top_k
+from citystream.llm.toxicity import op10_toxicity
 from citystream.llm.wordbpe import op6_word_bpe
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_token_binary": op2_token_binary,
+    "op4_exact_top_k": op4_exact_top_k,
     "op6_word_bpe": op6_word_bpe,
+    "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: Queries that SQL can express on whole tables; the others are tested against
+#: brute force, exact round trips or held-out accuracy in tests/llm.
+ORACLE = {
+    "op4_exact_top_k": TOP_K_SQL,
+}
