@@ -380,5 +380,57 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.unionByName(empty).withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
+def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``docs`` with one document of each component; of rows that repeat a
+    doc_id with its text one stays, rows without a doc_id stay."""
+    marked = stored(near_duplicates(docs, percent), "near-duplicates")
+    gone = marked.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    out = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    seen = marked.where("kept and doc_id is not null").agg(
+        F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
+    if seen["n"] > seen["ids"]:
+        named = out.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+        out = named.unionByName(out.where("doc_id is null"))
+    return out
+
+
+#: DuckDB twin: shingles of whole texts, links through an inverted index,
+#: components by walking links from every document.
+NEAR_DUPLICATE_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[])
+           WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3),
+                               lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
+  FROM w),
+n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
+cls AS (SELECT doc_id, md5(array_to_string(list_sort(sh), chr(10))) AS c, n_shingles AS n
+        FROM s JOIN n USING (doc_id) WHERE n_shingles > 0),
+rep AS (SELECT c, min(doc_id) AS doc_id, min(n) AS n FROM cls GROUP BY c),
+inv AS (SELECT r.doc_id, r.n, unnest(s.sh) AS g FROM rep r JOIN s USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM inv a JOIN inv b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM rep
+  UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x),
+comp AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT n.doc_id, n.n_shingles, coalesce(comp.low, n.doc_id) AS component_id,
+       coalesce(comp.low, n.doc_id) = n.doc_id AS kept
+FROM n LEFT JOIN cls ON n.doc_id = cls.doc_id LEFT JOIN rep ON cls.c = rep.c
+LEFT JOIN comp ON comp.a = rep.doc_id
+"""
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from citystream.llm.chat import CHAT_SQL, op5_chat_format
+from citystream.llm.decontam import op8_decontamination
+from citystream.llm.htmlmain import op7_html_text
 from citystream.llm.langid import op9_language_id
-from citystream.llm.neardup import op1_near_duplicates
+from citystream.llm.neardup import NEAR_DUPLICATE_SQL, op1_near_duplicates
 from citystream.llm.tokens import op2_token_binary
 from citystream.llm.topk import TOP_K_SQL, op4_exact_top_k
 from citystream.llm.toxicity import op10_toxicity
+from citystream.llm.warc import WARC_SQL, op3_warc
 from citystream.llm.wordbpe import op6_word_bpe
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_token_binary": op2_token_binary,
+    "op3_warc": op3_warc,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_chat_format": op5_chat_format,
     "op6_word_bpe": op6_word_bpe,
+    "op7_html_text": op7_html_text,
+    "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }
@@ -21,5 +29,8 @@ QUERIES = {
 #: Queries that SQL can express on whole tables; the others are tested against
 #: brute force, exact round trips or held-out accuracy in tests/llm.
 ORACLE = {
+    "op1_near_duplicates": NEAR_DUPLICATE_SQL,
+    "op3_warc": WARC_SQL,
+    "op5_chat_format": CHAT_SQL,
     "op4_exact_top_k": TOP_K_SQL,
 }
