@@ -237,8 +237,8 @@ WITH c AS (
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 f AS (
   SELECT *, length(regexp_replace(text,
-           '(\|<</SYS>>|\[/INST\]|\[/ROLE\]|\[/TURN\]|<<SYS>>|\[INST\]|\[ROLE\]|</s>|<s>)',
-           '\\1', 'g'))
+           '(\\|<</SYS>>|\[/INST\]|\[/ROLE\]|\[/TURN\]|<<SYS>>|\[INST\]|\[ROLE\]|</s>|<s>)',
+           '\\\1', 'g'))
          + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
            ELSE 20 + length(role) END AS chars,
          lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS prev,

@@ -283,8 +283,9 @@ def _extractor(weights: dict[str, float], at: int):
 
 
 def extract(pages: DataFrame, weights: dict[str, float], page: str = "html") -> DataFrame:
-    """``pages`` plus ``main_text``."""
+    """``pages`` plus ``main_text`` (a column of that name is replaced)."""
     small_batches(pages.sparkSession)
+    pages = pages.drop("main_text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
     return pages.mapInArrow(_extractor(weights, pages.columns.index(page)),
                             f"{fields}, `main_text` string")

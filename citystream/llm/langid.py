@@ -285,7 +285,7 @@ def label(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray, list[li
 _SPANS = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
 
-def _labeller(model, text: int):
+def _labeller(model, text: int, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(model.value)
         for b in batches:
@@ -295,19 +295,21 @@ def _labeller(model, text: int):
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(lo, hi - lo) for c in b.columns), pa.array(names, pa.string()),
                      pa.array(score, pa.float64()), pa.array(spans, _SPANS)],
-                    [*b.schema.names, "lang_pred", "lang_score", "lang_spans"])
+                    [*b.schema.names, f"{out}_pred", f"{out}_score", f"{out}_spans"])
     return run
 
 
-def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_pred``, ``lang_score`` and ``lang_spans``."""
+def identify(docs: DataFrame, model: dict, text: str = "text", out: str = "lang") -> DataFrame:
+    """``docs`` plus ``lang_pred``, ``lang_score`` and ``lang_spans`` (prefix
+    ``out``; columns of these names are replaced)."""
     small_batches(docs.sparkSession)
+    docs = docs.drop(f"{out}_pred", f"{out}_score", f"{out}_spans")
     shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(
-        _labeller(shipped, docs.columns.index(text)),
-        f"{fields}, `lang_pred` string, `lang_score` double, "
-        "`lang_spans` array<struct<lang: string, words: bigint>>")
+        _labeller(shipped, docs.columns.index(text), out),
+        f"{fields}, `{out}_pred` string, `{out}_score` double, "
+        f"`{out}_spans` array<struct<lang: string, words: bigint>>")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

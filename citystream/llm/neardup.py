@@ -400,15 +400,15 @@ NEAR_DUPLICATE_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                     'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
            lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT doc_id, list_distinct(CASE
-           WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[])
-           WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           WHEN len(ws) = 0 THEN CAST([] AS UBIGINT[])
+           WHEN len(ws) < 5 THEN [hash(array_to_string(ws, ' '))]
            ELSE list_transform(range(1, len(ws) - 3),
-                               lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
+                               lambda i: hash(array_to_string(ws[i:i + 4], ' '))) END) AS sh
   FROM w),
 n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
 cls AS (SELECT doc_id, md5(array_to_string(list_sort(sh), chr(10))) AS c, n_shingles AS n

@@ -329,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     return model
 
 
-def _scorer(model, text: int):
+def _scorer(model, text: int, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(model.value)
         for b in batches:
@@ -338,18 +338,20 @@ def _scorer(model, text: int):
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(lo, hi - lo) for c in b.columns),
                      pa.array(score(own, texts[lo:hi]), pa.float64())],
-                    [*b.schema.names, "toxicity"])
+                    [*b.schema.names, out])
     return run
 
 
-def score_documents(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """``docs`` plus ``toxicity``.  The model (one weight for each subsequence,
+def score_documents(docs: DataFrame, model: dict, text: str = "text",
+                    out: str = "toxicity") -> DataFrame:
+    """``docs`` plus the score ``out`` (a column of that name is replaced).  The model (one weight for each subsequence,
     under 1 MB whatever the data) goes to every task."""
     small_batches(docs.sparkSession)
+    docs = docs.drop(out)
     shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_scorer(shipped, docs.columns.index(text)),
-                           f"{fields}, `toxicity` double")
+    return docs.mapInArrow(_scorer(shipped, docs.columns.index(text), out),
+                           f"{fields}, `{out}` double")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

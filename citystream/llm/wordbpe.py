@@ -130,9 +130,11 @@ def _fields(df: DataFrame, *more: str) -> str:
 def encode(docs: DataFrame, tokenizer: str, text: str = "text",
            table: DataFrame | None = None, decoded: bool = False) -> DataFrame:
     """``docs`` plus ``ids`` (array<int>), the library's ids of the whole text;
-    with ``decoded`` also what ``decode`` adds, in the same pass."""
+    with ``decoded`` also what ``decode`` adds, in the same pass.  Columns of
+    these names are replaced."""
     table = table if table is not None else word_table(
         docs.select(F.col(text).alias("text")), tokenizer)
+    docs = docs.drop("ids", "decoded")
     by_id = _shipped_pieces(docs.sparkSession, tokenizer) if decoded else None
     more = ["`ids` array<int>"] + ["`decoded` string"] * decoded
     return docs.mapInArrow(_encoder(tokenizer, ship(table), docs.columns.index(text), by_id),
@@ -166,6 +168,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``encoded`` plus ``decoded``: pieces of ``ids`` joined by one blank (the
     vocabulary file names no decoder).  The id-to-piece table is as large as
     the vocabulary, so every task holds it: a map-side join by id."""
+    encoded = encoded.drop("decoded")
     return encoded.mapInArrow(
         _decoder(_shipped_pieces(encoded.sparkSession, tokenizer), encoded.columns.index("ids")),
         _fields(encoded, "`decoded` string"))
