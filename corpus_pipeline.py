@@ -26,16 +26,16 @@ def _base(docs: DataFrame) -> list[str]:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches the operator's threshold go."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    return (toxicity.score_documents(docs, model)
-            .where(F.col("toxicity") < toxicity.THRESHOLD).select(*_base(docs)))
+    return (toxicity.score_documents(docs, model, out="__toxicity")
+            .where(F.col("__toxicity") < toxicity.THRESHOLD).select(*_base(docs)))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of no language the model knows, go."""
     model = langid.train(docs)
-    return (langid.identify(docs, model)
-            .where((F.col("lang_pred") != langid.UNKNOWN)
-                   & (F.col("lang_score") >= LANGUAGE_SCORE)).select(*_base(docs)))
+    return (langid.identify(docs, model, out="__lang")
+            .where((F.col("__lang_pred") != langid.UNKNOWN)
+                   & (F.col("__lang_score") >= LANGUAGE_SCORE)).select(*_base(docs)))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
