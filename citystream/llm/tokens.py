@@ -153,8 +153,7 @@ def _index_builder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for b in batches:
         at = b.column(0).to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
-        cols = [b.column(i).fill_null(NULL_KEY).to_numpy() if i == 1
-                else b.column(i).to_numpy() for i in range(1, 6)]
+        cols = [b.column(i).to_numpy() for i in range(1, 6)]
         for lo, hi in zip(cuts, cuts[1:]):
             if lo == hi:
                 continue
@@ -167,10 +166,15 @@ def _index_builder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield flush(bucket, parts)
 
 
+def _key(name: str):
+    """doc_id as a key: null is a key of its own."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(NULL_KEY))
+
+
 def _bucket(n: int):
     def run(doc_id, occ):
         import pandas as pd
-        h = key_hash(doc_id.fillna(NULL_KEY).to_numpy().astype(np.int64), occ.to_numpy())
+        h = key_hash(doc_id.to_numpy(), occ.to_numpy())
         return pd.Series((mix64(h) % np.uint64(n)).astype(np.int32))
     import pandas as pd
     run.__annotations__ = {"doc_id": pd.Series, "occ": pd.Series, "return": pd.Series}
@@ -198,7 +202,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
                            "doc_id long, occ int, shard int, at long, n long"))
     entries = stored(entries, "token-entries")
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
-    (entries.withColumn("bucket", _bucket(buckets)("doc_id", "occ"))
+    (entries.withColumn("doc_id", _key("doc_id"))
+     .withColumn("bucket", _bucket(buckets)("doc_id", "occ"))
      .select("bucket", "doc_id", "occ", "shard", "at", "n")
      .repartition(min(buckets, 4 * width(spark)), "bucket").sortWithinPartitions("bucket")
      .mapInArrow(_index_builder, "bucket int, levels array<binary>, prints binary, "
@@ -216,8 +221,7 @@ def _find(left, right):
     if len(left) and len(right):
         r = right.iloc[0]
         prints = np.frombuffer(r["prints"], "<u4")
-        d = left["doc_id"].fillna(NULL_KEY).to_numpy().astype(np.int64)
-        h = key_hash(d, left["occ"].to_numpy())
+        h = key_hash(left["doc_id"].to_numpy(), left["occ"].to_numpy())
         slot = mph_find(list(r["levels"]), h)
         ok = slot >= 0
         ok[ok] = prints[slot[ok]] == (h[ok] >> np.uint64(32)).astype("<u4")
@@ -232,11 +236,12 @@ def _find(left, right):
 def find_tokens(spark: SparkSession, about: dict, keys: DataFrame) -> DataFrame:
     """Entries (doc_id, occ, shard, at, n) of ``keys`` (doc_id, occ); keys that
     were never written have none."""
-    keys = (keys.select(F.col("doc_id").cast("long"), F.col("occ").cast("int"))
+    keys = (keys.select(_key("doc_id").alias("doc_id"), F.col("occ").cast("int"))
             .withColumn("bucket", _bucket(about["buckets"])("doc_id", "occ")))
     index = spark.read.parquet(f"{about['folder']}/index")
     return (keys.groupBy("bucket").cogroup(index.groupBy("bucket"))
-            .applyInPandas(_find, "doc_id long, occ int, shard int, at long, n long"))
+            .applyInPandas(_find, "doc_id long, occ int, shard int, at long, n long")
+            .withColumn("doc_id", F.when(F.col("doc_id") != NULL_KEY, F.col("doc_id"))))
 
 
 def _ranges(folder: str, dtype: str):
