@@ -11,13 +11,13 @@ similarity bound differs in Binomial(65, 0.15) symbols: 10 of 65 expected, and
 more than 25 about once in a million.  Every link is confirmed on full sets.
 
 Large buckets (a group of copies may hold a third of all rows) are never
-paired off.  All members are first compared with their bucket's smallest
-class, which joins a group of near copies with one link a member.  What is
-still in different components then meets in blocks of bounded size: inside a
-block, distances are taken without emitting pairs, and for each member and
-other component the closest few pairs come out first, more in each further
-round and all of them in the last, until no untested pair is left.  No pair
-is dropped.
+paired off.  First all members are compared with their bucket's smallest class,
+which joins most of a group with one link a member.  Buckets that still hold
+several components go on: small ones (``SMALL`` members) give their pairs of
+different components within the radius; the members of larger ones are packed,
+signatures and full sets, into blocks, and the block pairs that share a bucket
+are compared block against block, where candidates are confirmed on the spot
+and only the links that join something leave.  No pair is dropped.
 
 Defined results: null or word-less text -- empty set, ``n_shingles`` 0, a
 component of its own; fewer than five words -- one shingle of the whole
@@ -43,10 +43,10 @@ CHUNKS, PER_CHUNK, ERRORS = 13, 5, 1
 SYMBOLS = CHUNKS * PER_CHUNK
 #: Largest signature distance that the keys guarantee to find.
 RADIUS = CHUNKS * (ERRORS + 1) - 1
-#: Members in one block of a bucket.
-BLOCK = 512
-#: Closest pairs to each other component, by round; the last has no limit.
-QUOTAS = (4, 64, None)
+#: Members of a bucket up to which its open pairs are listed.
+SMALL = 32
+#: Classes, and bytes of full sets, in one block of larger buckets.
+BLOCK, BLOCK_BYTES = 256, 4 << 20
 
 _rng = np.random.default_rng(20240)
 _BYTE = _rng.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -183,72 +183,143 @@ def _confirm(percent: int):
     return run
 
 
-def _cross_block(cls, label, sig, side, quota):
-    """Untested pairs of one block pair: different labels, distance within
-    RADIUS, the ``quota`` closest for each member and other label."""
-    order = np.argsort(label, kind="stable")
-    cls, label, sig, side = cls[order], label[order], sig[order], side[order]
-    names, first = np.unique(label, return_index=True)
-    if len(names) < 2:
-        return []
-    ends = np.append(first[1:], len(label))
-    big = int(np.argmax(ends - first))
-    out = []
-    for g in range(len(names)):
-        if g == big:
-            continue
-        mine = np.arange(first[g], ends[g])
-        # Each pair of labels once: with the largest one, and with later ones.
-        for o in [big, *(x for x in range(g + 1, len(names)) if x != big)]:
-            other = np.arange(first[o], ends[o])
-            for lo in range(0, len(mine), 64):
-                m = mine[lo:lo + 64]
-                d = (sig[m][:, None, :] != sig[other][None, :, :]).sum(2)
-                ok = (d <= RADIUS) & ((side[m][:, None] | side[other][None, :]) == 3)
-                if not ok.any():
-                    continue
-                if quota is None:
-                    i, j = np.nonzero(ok)
-                else:
-                    d = np.where(ok, d, 999)
-                    k = min(quota, d.shape[1])
-                    j = np.argpartition(d, k - 1, axis=1)[:, :k].ravel()
-                    i = np.repeat(np.arange(len(m)), k)
-                    use = ok[i, j]
-                    i, j = i[use], j[use]
-                out.append((cls[m[i]], cls[other[j]]))
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Symbols in which signatures differ, all against all."""
+    out = np.empty((len(x), len(y)), np.int16)
+    for lo in range(0, len(x), 64):
+        out[lo:lo + 64] = (x[lo:lo + 64, None, :] != y[None, :, :]).sum(2)
     return out
 
 
-def _cross(quota):
+def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, cls, label, sig) sorted by key: pairs of a bucket that differ
+    in label and are within the radius."""
     def flush(parts):
-        cls, label, sig, side = (np.concatenate(x) for x in zip(*parts))
-        return _cross_block(cls, label, sig, side, quota)
+        cls, label, sig = (np.concatenate(x) for x in zip(*parts))
+        i, j = np.nonzero(np.triu((_distances(sig, sig) <= RADIUS)
+                                  & (label[:, None] != label[None, :])))
+        return [(cls[i], cls[j])] if len(i) else []
+
+    last, parts = None, []
+    for b in batches:
+        key, cls, label = (b.column(k).to_numpy() for k in range(3))
+        sig = _sig_array(b.column(3))
+        cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+        out = []
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo == hi:
+                continue
+            if key[lo] != last and parts:
+                out += flush(parts)
+                parts = []
+            last = key[lo]
+            parts.append((cls[lo:hi], label[lo:hi], sig[lo:hi]))
+        if out:
+            yield _pairs(out)
+    if parts and (out := flush(parts)):
+        yield _pairs(out)
+
+
+def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cls, label, sig, sh) in block order -> blocks, arrays packed."""
+    def pack(rows):
+        cls, label, sig, sh = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([min(cls)]), pa.array([min(label)]), pa.array([max(label)]),
+             pa.array([np.array(cls, "<i8").tobytes()], pa.binary()),
+             pa.array([np.array(label, "<i8").tobytes()], pa.binary()),
+             pa.array([b"".join(sig)], pa.binary()),
+             pa.array([np.array([len(x) // 8 for x in sh], "<i8").tobytes()], pa.binary()),
+             pa.array([b"".join(sh)], pa.binary())], _BLOCK_NAMES)
+
+    rows, size = [], 0
+    for b in batches:
+        for row in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if rows and (len(rows) == BLOCK or size + len(row[3]) > BLOCK_BYTES):
+                yield pack(rows)
+                rows, size = [], 0
+            rows.append(row)
+            size += len(row[3])
+    if rows:
+        yield pack(rows)
+
+
+_BLOCK_NAMES = ["block", "lo", "hi", "cs", "ls", "sigs", "ns", "shs"]
+_BLOCK_TYPE = ("block long, lo long, hi long, cs binary, ls binary, sigs binary, ns binary, "
+               "shs binary")
 
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for block, cs in zip(b.column(0).to_pylist(), b.column(1)):
+            own = np.frombuffer(cs.as_buffer(), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array(own)],
+                                             ["block", "cls"])
+
+
+class _Block:
+    def __init__(self, cs, ls, sigs, ns, shs):
+        self.cls = np.frombuffer(cs.as_buffer(), "<i8")
+        self.label = np.frombuffer(ls.as_buffer(), "<i8")
+        self.sig = np.frombuffer(sigs.as_buffer(), "<u2").reshape(-1, SYMBOLS)
+        self.n = np.frombuffer(ns.as_buffer(), "<i8")
+        self.sh = np.frombuffer(shs.as_buffer(), "<u8")
+        self.end = np.cumsum(self.n)
+
+    def set_of(self, i: int) -> np.ndarray:
+        return self.sh[self.end[i] - self.n[i]:self.end[i]]
+
+
+def _common(x: _Block, y: _Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets of pairs (i, j)."""
+    if len(i) > 200:
+        # Many pairs: count over the shingles that both blocks have, at once.
+        both = np.intersect1d(x.sh, y.sh)
+        if len(both) * (len(x.n) + len(y.n)) <= 4e7:
+            dense = []
+            for b in (x, y):
+                at = np.searchsorted(both, b.sh)
+                at[at == len(both)] = 0
+                hit = both[at] == b.sh if len(both) else np.zeros(len(b.sh), bool)
+                m = np.zeros((len(b.n), len(both)), np.float32)
+                m[np.repeat(np.arange(len(b.n)), b.n)[hit], at[hit]] = 1
+                dense.append(m)
+            return (dense[0] @ dense[1].T)[i, j].astype(np.int64)
+    out = np.empty(len(i), np.int64)
+    for k, (p, q) in enumerate(zip(i, j)):
+        z = np.sort(np.concatenate([x.set_of(p), y.set_of(q)]), kind="stable")
+        out[k] = (z[1:] == z[:-1]).sum()
+    return out
+
+
+def _block_links(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (key, i, j, side, cls, label, sig) sorted by key, i, j."""
-        last, parts = None, []
+        """Block pairs -> confirmed links that join components of the pair."""
         for b in batches:
-            ids = np.stack([b.column(k).to_numpy().astype(np.int64) for k in range(3)])
-            side = b.column(3).to_numpy()
-            cls, label = b.column(4).to_numpy(), b.column(5).to_numpy()
-            sig = _sig_array(b.column(6))
-            cut = np.flatnonzero((np.diff(ids, axis=1) != 0).any(0)) + 1
-            cuts = [0, *cut.tolist(), b.num_rows]
-            out = []
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
+            for row in zip(*b.columns):
+                x, y = _Block(*row[:5]), _Block(*row[5:])
+                ok = (_distances(x.sig, y.sig) <= RADIUS) & (x.label[:, None] != y.label[None, :])
+                if x.cls[0] == y.cls[0]:
+                    ok = np.triu(ok)
+                i, j = np.nonzero(ok)
+                if not len(i):
                     continue
-                group = tuple(ids[:, lo])
-                if group != last and parts:
-                    out += flush(parts)
-                    parts = []
-                last = group
-                parts.append((cls[lo:hi], label[lo:hi], sig[lo:hi], side[lo:hi]))
-            if out:
-                yield _pairs(out)
-        if parts and (out := flush(parts)):
-            yield _pairs(out)
+                c = _common(x, y, i, j)
+                good = 100 * c >= percent * (x.n[i] + y.n[j] - c)
+                up: dict[int, int] = {}
+
+                def top(v):
+                    while up.get(v, v) != v:
+                        v = up[v]
+                    return v
+                out = []
+                for p, q in zip(i[good].tolist(), j[good].tolist()):
+                    a, z = top(int(x.label[p])), top(int(y.label[q]))
+                    if a != z:
+                        up[max(a, z)] = min(a, z)
+                        out.append((int(x.cls[p]), int(y.cls[q])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*out)], ["a", "b"])
     return run
 
 
@@ -259,20 +330,46 @@ def _pairs(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _blocks(live: DataFrame, labels: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Members of buckets with more than one label, dealt to block pairs."""
+def _rest_links(live: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataFrame,
+                confirmed, percent: int) -> DataFrame:
+    """Links between different components of the same bucket."""
     at = (live.join(labels.withColumnRenamed("id", "cls"), "cls", "left")
           .withColumn("label", F.coalesce("label", "cls")))
     open_ = (at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                    F.count("*").alias("m"))
-             .where("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
-    dealt = (at.join(open_, "key").join(sigs, "cls")
-             .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
-             .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)"))))
-    return dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") == F.col("other"), 3).when(F.col("own") < F.col("other"), 1)
-        .otherwise(2).cast("int").alias("side"), "cls", "label", "sig")
+             .where("lo <> hi").select("key", "m"))
+    at = stored(at.join(open_, "key").select("key", "cls", "label", "head", "m"), "open")
+    small = (at.where(F.col("m") <= SMALL).join(sigs, "cls").select("key", "cls", "label", "sig")
+             .repartition("key").sortWithinPartitions("key")
+             .mapInArrow(_open_pairs, "a long, b long").distinct())
+    links = confirmed(small, "small")
+    large = at.where(F.col("m") > SMALL)
+    members = (large.groupBy("cls").agg(F.min("head").alias("anchor"), F.min("label").alias("label"))
+               .join(sigs, "cls").join(sets, "cls"))
+    blocks = stored(members.repartitionByRange("anchor", "label", "cls")
+                    .sortWithinPartitions("anchor", "label", "cls")
+                    .select("cls", "label", "sig", "sh").mapInArrow(_pack_blocks, _BLOCK_TYPE),
+                    "blocks")
+    of = blocks.select("block", "cs").mapInArrow(_members, "block long, cls long")
+    spots = large.select("key", "cls").join(of, "cls").select("key", "block").distinct()
+    info = blocks.select("block", "lo", "hi")
+
+    def side(name: str) -> DataFrame:
+        return info.select(F.col("block").alias(name), F.col("lo").alias(f"{name}_lo"),
+                           F.col("hi").alias(f"{name}_hi"))
+    pairs = (spots.withColumnRenamed("block", "x")
+             .join(spots.withColumnRenamed("block", "y"), "key").where("x <= y")
+             .select("x", "y").distinct().join(side("x"), "x").join(side("y"), "y")
+             # Blocks of one and the same component have nothing to add.
+             .where("not (x_lo = x_hi and y_lo = y_hi and x_lo = y_lo)").select("x", "y"))
+
+    def load(name: str) -> DataFrame:
+        return blocks.select(F.col("block").alias(name),
+                             *[F.col(c).alias(f"{name}_{c}") for c in _BLOCK_NAMES[3:]])
+    loaded = pairs.join(load("y"), "y").join(load("x"), "x")
+    big = (loaded.select(*[f"{n}_{c}" for n in "xy" for c in _BLOCK_NAMES[3:]])
+           .mapInArrow(_block_links(percent), "a long, b long"))
+    return links.unionByName(stored(big, "block-links"))
 
 
 def class_links(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -305,29 +402,21 @@ def class_links(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     star = _near(live.where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))
                  .distinct(), sigs)
     labels = components(confirmed(star, "star"), "star")
-    for round_, quota in enumerate(QUOTAS):
-        blocks = _blocks(live.select("key", "cls"), labels, sigs)
-        pairs = stored(blocks.repartition(F.col("key"), F.col("i"), F.col("j"))
-                       .sortWithinPartitions("key", "i", "j")
-                       .mapInArrow(_cross(quota), "a long, b long").distinct(),
-                       f"cross-{round_}")
-        if pairs.limit(1).count() == 0:
-            break
-        links = confirmed(pairs, f"cross-{round_}")
-        la = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
-        edges = stored(links.join(la, "a", "left").join(lb, "b", "left")
-                       .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-                       .distinct(), f"cross-{round_}-edges")
-        if edges.limit(1).count():
-            up = components(edges, f"cross-{round_}")
-            up = up.select(F.col("id").alias("label"), F.col("label").alias("top"))
-            old = labels.unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("label"))
-                                     .union(edges.select("b", "b")).distinct()
-                                     .join(labels, "id", "left_anti"))
-            labels = stored(old.join(up, "label", "left")
-                            .select("id", F.coalesce("top", "label").alias("label")),
-                            f"labels-{round_}")
+    links = _rest_links(live, labels, sigs, sets, confirmed, percent)
+    la = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    edges = stored(links.join(la, "a", "left").join(lb, "b", "left")
+                   .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+                   .where("a <> b").distinct(), "rest-edges")
+    if edges.take(1):
+        # Components of components; ends that no star had reached are new ids.
+        up = components(edges, "rest").select(F.col("id").alias("label"),
+                                              F.col("label").alias("top"))
+        ends = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+        old = labels.unionByName(ends.join(labels, "id", "left_anti")
+                                 .select("id", F.col("id").alias("label")))
+        labels = stored(old.join(up, "label", "left")
+                        .select("id", F.coalesce("top", "label").alias("label")), "labels")
     return rows, labels
 
 

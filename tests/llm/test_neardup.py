@@ -4,6 +4,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from citystream.llm import neardup
 from citystream.llm.neardup import deduplicate, near_duplicates
@@ -67,8 +68,10 @@ def test_against_brute_force(spark, documents, prose):
     assert got == brute(rows)
 
 
-def test_large_group_of_near_copies(spark, documents, prose, monkeypatch):
+@pytest.mark.parametrize("small", [4, 10_000])
+def test_large_group_of_near_copies(spark, documents, prose, monkeypatch, small):
     monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "SMALL", small)
     base = prose(1, 120)
     rows = [(i, _edited(base, 37 + i % 7, f"e{i}x")) for i in range(150)]
     rows += [(500 + i, base) for i in range(40)]
