@@ -42,7 +42,7 @@ from citystream.llm.bpe import slices
 from citystream.llm.common import mix64, read, small_batches
 
 #: Most labelled rows of each class that the model is fitted on (hash order).
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 #: Nystroem landmarks: toxic witnesses, clean words.
 LANDMARKS = (160, 96)
 DECAY, SPAN = 0.6, 5
@@ -86,13 +86,14 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def distinct(letters: np.ndarray, first: np.ndarray):
-    """(padded letter matrix of the distinct words, word -> row of it)."""
+    """Padded letter matrix of the distinct words, row of each word, further
+    rows (and their owners) of long words, hash of each distinct word."""
     lens = np.diff(np.append(first, len(letters)))
     # Longer words are seen through overlapping windows (rows of the matrix).
     pos = np.arange(len(letters)) - np.repeat(first, lens)
     power = np.cumprod(np.full(int(lens.max()), _POWER))
     h = np.add.reduceat(mix64(letters) * power[pos], first) + mix64(lens)
-    _, row, word = np.unique(h, return_index=True, return_inverse=True)
+    h, row, word = np.unique(h, return_index=True, return_inverse=True)
     n = lens[row]
     m = np.full((len(row), LONG + 2), 0, np.uint8)
     m[:, 0] = BEGIN
@@ -111,7 +112,8 @@ def distinct(letters: np.ndarray, first: np.ndarray):
                 line[1 + len(piece)] = END
             extra.append(line)
             owner.append(i)
-    return m, word, (np.array(extra, np.uint8).reshape(-1, LONG + 2), np.array(owner, np.int64))
+    return (m, word, (np.array(extra, np.uint8).reshape(-1, LONG + 2),
+                      np.array(owner, np.int64)), h)
 
 
 def _spans():
@@ -195,16 +197,33 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _vocabulary(texts: list[str]):
+    """(letter matrix of all distinct words, word and text of each pair that
+    occurs), gathered slice by slice."""
+    rows, hashes, of, docs = [], [], [], []
+    for lo, hi in slices(texts, 1_000_000):
+        letters, first, doc = words(texts[lo:hi])
+        if len(first):
+            m, word, _, h = distinct(letters, first)
+            pair = np.unique(word.astype(np.int64) * (hi - lo) + doc)
+            rows.append(m)
+            hashes.append(h)
+            of.append(h[pair // (hi - lo)])
+            docs.append(pair % (hi - lo) + lo)
+    if not rows:
+        return np.zeros((0, LONG + 2), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    names, at = np.unique(np.concatenate(hashes), return_index=True)
+    return (np.concatenate(rows)[at], np.searchsorted(names, np.concatenate(of)),
+            np.concatenate(docs))
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> dict:
     """Model from labelled texts."""
     prior = float(toxic.mean()) if len(toxic) else 0.0
-    letters, first, doc = words(texts)
-    if not len(first) or toxic.min() == toxic.max():
+    m, w_of, d_of = _vocabulary(texts)
+    if not len(m) or toxic.min() == toxic.max():
         return {"table": None, "prior": prior}
-    m, word, _ = distinct(letters, first)
     n_words = len(m)
-    pair = np.unique(word.astype(np.int64) * len(texts) + doc)
-    w_of, d_of = pair // len(texts), pair % len(texts)
     bad = np.bincount(w_of, weights=toxic[d_of], minlength=n_words)
     good = np.bincount(w_of, weights=1 - toxic[d_of], minlength=n_words)
     # Labels can be wrong: a word counts as toxic only if it is five times as
@@ -273,7 +292,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
         return {"table": None, "prior": prior}
     table = _spread(marks, proj @ w)
     model = {"table": table, "bias": float(b), "prior": prior}
-    best, count = _document_scores(model, texts)
+    parts = [_document_scores(model, texts[lo:hi]) for lo, hi in slices(texts, 1_000_000)]
+    best, count = (np.concatenate(x) for x in zip(*parts))
     has = np.isfinite(best)
     model["low"] = float(best[has].min()) if has.any() else -1.0
     best = np.where(has, best, model["low"])
@@ -286,7 +306,7 @@ def _document_scores(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndar
     best = np.full(len(texts), -np.inf)
     letters, first, doc = words(texts)
     if len(first):
-        m, word, (extra, owner) = distinct(letters, first)
+        m, word, (extra, owner), _ = distinct(letters, first)
         f = np.concatenate([apply(model["table"], m[lo:lo + 16384])
                             for lo in range(0, len(m), 16384)]) + model["bias"]
         if len(owner):
@@ -317,12 +337,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
     if not n:
         return {"table": None, "prior": 0.0}
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    picked = known.where(" or ".join(
-        f"(toxic = {k} and pmod(xxhash64(doc_id), 1000000) < {int(1e6 * min(1, rows / v))})"
-        for k, v in n.items()))
+    below = {k: int(1e6 * min(1, rows / v)) for k, v in n.items()}
+    known = known.withColumn("at", place).where(" or ".join(
+        f"(toxic = {k} and at < {v})" for k, v in below.items()))
+    # Documents beyond all limits fall away in the scan, before the join.
     got = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-           .join(picked, "doc_id").where("text is not null")
-           .select("toxic", "text", place.alias("at"), "doc_id")
+           .where((place < max(below.values())) & F.col("text").isNotNull())
+           .join(known, "doc_id").select("toxic", "text", "at", "doc_id")
            .toPandas().sort_values(["at", "doc_id", "text"]))
     model = fit(got["text"].tolist(), got["toxic"].to_numpy(np.int64))
     model["prior"] = n.get(1, 0) / sum(n.values())

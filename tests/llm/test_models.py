@@ -93,7 +93,7 @@ def test_insults_with_gaps_and_insertions(prose):
 
 def test_collapsed_table_is_the_landmark_expansion(prose):
     letters, first, _ = toxicity.words([prose(5, 60)])
-    m, _, _ = toxicity.distinct(letters, first)
+    m, *_ = toxicity.distinct(letters, first)
     marks, a = m[:7], np.linspace(-1, 1, 7)
     direct = toxicity.kernel(m, marks) @ a
     assert np.allclose(direct, toxicity.apply(toxicity._spread(marks, a), m), atol=1e-3)
