@@ -3,7 +3,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from citystream.functions.geo import haversine_m, haversine_py, sphere_cells
+from citystream.functions.geo import haversine_m, sphere_cells
+from tests.folds import metres
 from citystream.functions.time import epoch_micros, event_time, ntz_to_utc, utc_to_ntz
 
 
@@ -50,7 +51,7 @@ def test_haversine_matches_python(spark):
     df = spark.createDataFrame(pts, "a double, b double, c double, d double")
     got = [r[0] for r in df.select(haversine_m(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
     for g, p in zip(got, pts):
-        assert math.isclose(g, haversine_py(*p), rel_tol=1e-12)
+        assert math.isclose(g, metres(p[:2], p[2:]), rel_tol=1e-6, abs_tol=1e-3)
 
 
 def test_sphere_cells_neighbours_cover_radius(spark):
