@@ -1,25 +1,25 @@
-"""Join helpers: broadcast only a side whose size has been checked."""
+"""Join helpers: broadcast only a side whose size is known to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension table (rows) we broadcast without asking Spark.  Zone and
-# route tables hold tens to thousands of rows; beyond this bound the join is
-# left to the planner (sort-merge or shuffle-hash, or an AQE broadcast after
-# it has measured the real size).
-MAX_BROADCAST_ROWS = 1_000_000
+# Largest side (bytes, by the plan's statistics) that is marked for broadcast.
+# Beyond it the join is left to the planner: sort-merge or shuffle-hash, or an
+# AQE broadcast once the side's real size has been measured.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def small_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``dim`` marked for broadcast if it has at most ``max_rows`` rows.
+def plan_bytes(df: DataFrame) -> int:
+    """Size estimate of the optimised plan: file sizes through projections and
+    filters; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job), so it stays
-    cheap even when the table turns out to be large.  Streaming frames are
-    returned unchanged.
-    """
-    if dim.isStreaming:
+
+def small_side(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``dim`` marked for broadcast if its plan is estimated at ``max_bytes`` or
+    less.  Streaming frames are returned unchanged."""
+    if dim.isStreaming or plan_bytes(dim) > max_bytes:
         return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim)

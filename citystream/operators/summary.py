@@ -37,7 +37,8 @@ def advisory_summary(df: DataFrame) -> DataFrame:
     keys = present(df, GROUP_COLUMNS)
     if "zone" not in keys or "rolling_avg_aqi" not in df.columns:
         return df.sparkSession.createDataFrame(
-            [], "zone string, total_advisories long, mean_aqi double, max_aqi double")
+            [], "zone string, zone_name string, total_advisories long, mean_aqi double, "
+                "max_aqi double")
     a = F.col("rolling_avg_aqi")
     return (df.dropna(subset=keys).groupBy(*keys)
             .agg(F.count(a).alias("total_advisories"),

@@ -55,9 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is set by the deployment (a shared file system) and is
     only read here.  Where it is unset (local tests), the context's
-    checkpoint folder is used, and only if that is unset too is a fresh one
-    created under the system temp dir (the config itself cannot be changed
-    at run time, so ``setCheckpointDir`` is used).
+    checkpoint folder is used, and only if that is unset too, and the master
+    is local, is a fresh one created under the system temp dir (the config
+    itself cannot be changed at run time, so ``setCheckpointDir`` is used).
+    Without a shared folder a cluster run fails here.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -68,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="citystream-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -37,12 +37,17 @@ def meter_readings(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_time"), e.alias("event_id"))
 
 
+def _or_26(k: F.Column, last: int) -> F.Column:
+    """Key numbers 1 to ``last``, and 26 (beyond ``nation``) for what is left."""
+    return F.when(k < last, k + 1).otherwise(26)
+
+
 def air_quality(events: DataFrame) -> DataFrame:
     """AQI readings; nulls, > 300 and > 500 all occur."""
     e = F.col("event_id")
     return events.select(
         F.concat(F.lit("AQI_SENS_"), _s(F.col("user_id") % 51 + 100)).alias("sensor_id"),
-        F.concat(F.lit("ZONE_"), _s(F.col("user_id") % 10 + 1)).alias("zone"),
+        F.concat(F.lit("ZONE_"), _s(_or_26(F.col("user_id") % 10, 9))).alias("zone"),
         F.when(e % 20 != 0, F.floor(F.col("value") * 3.0).cast("int")).alias("aqi"),
         F.col("ts").alias("event_time"), e.alias("event_id"))
 
@@ -52,7 +57,7 @@ def bus_gps(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     return events.select(
         F.concat(F.lit("BUS_"), _s(F.col("user_id") % 40 + 1000)).alias("bus_id"),
-        F.concat(F.lit("ROUTE_"), _s((F.col("user_id") % 5 + 1) * 101)).alias("route_id"),
+        F.concat(F.lit("ROUTE_"), _s(_or_26(F.col("user_id") % 5, 4) * 101)).alias("route_id"),
         F.when(e % 97 == 0, F.lit(0.0))
          .otherwise(F.lit(19.0) + ((e * 37) % 120).cast("double") / F.lit(1e4)).alias("lat"),
         F.when(e % 89 != 0,
@@ -69,10 +74,28 @@ def traffic_signals(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_time"), F.col("event_id"))
 
 
+def raw_messages(events: DataFrame) -> DataFrame:
+    """Air-quality and GPS records of one mixed stream, as JSON bytes: one in
+    50 is cut short, one in 70 is a bare number, one in 30 air records has a
+    text for its AQI."""
+    keep = {"ignoreNullFields": "false"}
+    e = F.col("event_id")
+    air = air_quality(events).select(
+        F.lit("air_quality").alias("topic"), e, F.to_json(F.struct(
+            "sensor_id", "zone", F.when(e % 30 == 1, F.lit("x"))
+            .otherwise(F.col("aqi").cast("string")).alias("aqi"), "event_id"), keep).alias("v"))
+    gps = bus_gps(events).select(
+        F.lit("bus_gps").alias("topic"), e,
+        F.to_json(F.struct("bus_id", "route_id", "lat", "lon", "event_id"), keep).alias("v"))
+    v = (F.when(e % 50 == 7, F.expr("substring(v, 1, length(v) - 5)"))
+         .when(e % 70 == 9, F.concat(F.lit("1"), _s(e))).otherwise(F.col("v")))
+    return air.unionByName(gps).select("topic", "event_id", v.cast("binary").alias("value"))
+
+
 def zone_profile(nation: DataFrame) -> DataFrame:
-    """ZONE_10 is left out on purpose (an inner join must drop it)."""
+    """One zone a nation; readings of ZONE_26 have none (an inner join drops them)."""
     k = F.col("n_nationkey")
-    return nation.where(k < 9).select(
+    return nation.select(
         F.concat(F.lit("ZONE_"), _s(k + 1)).alias("zone"),
         F.col("n_name").alias("zone_name"),
         (F.lit(100000) + k * 17000).alias("population"),
@@ -80,9 +103,9 @@ def zone_profile(nation: DataFrame) -> DataFrame:
 
 
 def route_schedule(nation: DataFrame) -> DataFrame:
-    """ROUTE_505 is left out on purpose (a left join must keep it)."""
+    """One route a nation; positions on ROUTE_2626 have none (a left join keeps them)."""
     k = F.col("n_nationkey")
-    return nation.where(k < 4).select(
+    return nation.select(
         F.concat(F.lit("ROUTE_"), _s((k + 1) * 101)).alias("route_id"),
         F.col("n_name").alias("route_name"),
         F.concat(F.lit("Terminal "), _s(F.col("n_regionkey"))).alias("terminal"),

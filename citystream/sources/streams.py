@@ -73,25 +73,28 @@ def read_lookup_csv(spark: SparkSession, path: str, schema: StructType, key: str
 
 
 def read_stored_parquet(spark: SparkSession, path: str,
-                        schema: StructType | str | None = None) -> DataFrame | None:
-    """All Parquet files below ``path`` (any depth) as one frame.
+                        schema: StructType | str) -> DataFrame:
+    """All Parquet files below ``path`` (any depth) as one frame of ``schema``.
 
-    Returns None when the folder is missing or holds no Parquet files, so
-    callers can report instead of failing.  Columns missing from some files
-    come back null (``mergeSchema``).
+    Files are those named ``*.parquet``; a folder without any is read by its
+    ``part-*`` files (writers that leave the suffix out).  A missing or empty
+    folder gives an empty frame of the schema.  Columns that some files lack
+    come back null.
     """
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
-    r = (spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
-         .option("pathGlobFilter", "*.parquet"))
-    if schema is not None:
-        r = r.schema(schema)
-    try:
-        return r.parquet(path)
-    except Exception as exc:  # no files below the folder
-        if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern = None
+    if fs.exists(folder):
+        files = fs.listFiles(folder, True)
+        while files.hasNext():
+            name = files.next().getPath().getName()
+            if name.endswith(".parquet"):
+                pattern = "*.parquet"
+                break
+            if name.startswith("part-"):
+                pattern = "part-*"
+    if pattern is None:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", pattern).parquet(path))

@@ -44,16 +44,25 @@ def test_summary_over_stored_parquet(spark, tmp_path):
     a.write.parquet(str(d / "batch=1"))
     a.select("window_start", "zone", "rolling_avg_aqi").where(F.col("zone") == "ZONE_2") \
         .write.parquet(str(d / "batch=2" / "nested"))
-    df = read_stored_parquet(spark, str(d))
+    df = read_stored_parquet(spark, str(d), a.schema)
     summ = [tuple(r) for r in advisory_summary(df).collect()]
     # null zone dropped; the file without zone_name gives a null zone_name group
     assert ("ZONE_1", "Core", 2, 155.5, 160.0) in summ
     tot = advisory_totals(df).first()
     assert (tot.total_advisories, tot.unique_zones) == (5, 2)
     assert advisory_preview(df).count() == 5
-    assert read_stored_parquet(spark, str(tmp_path / "missing")) is None
+    assert df.columns == a.columns
     (tmp_path / "empty").mkdir()
-    assert read_stored_parquet(spark, str(tmp_path / "empty")) is None
+    for name in ("missing", "empty"):
+        none = read_stored_parquet(spark, str(tmp_path / name), a.schema)
+        assert none.count() == 0 and none.columns == a.columns
+        assert advisory_summary(none).columns == advisory_summary(df).columns
+    # Files without a suffix are found by their part- names.
+    import shutil
+    for i, f in enumerate(sorted((d / "batch=1").glob("*.parquet"))):
+        (tmp_path / "bare").mkdir(exist_ok=True)
+        shutil.copy(f, tmp_path / "bare" / f"part-{i:05d}")
+    assert read_stored_parquet(spark, str(tmp_path / "bare"), a.schema).count() == 4
 
 
 def test_open_enrichment_keeps_explicit_nulls(spark):
@@ -92,8 +101,8 @@ def test_broadcast_only_behind_size_check(spark):
 
     def plan(d):
         return fact.join(d, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(small_side(dim, max_rows=100)).lower()
-    assert "broadcast" not in plan(small_side(dim, max_rows=10)).lower()
+    assert "broadcast" in plan(small_side(dim, max_bytes=1 << 20)).lower()
+    assert "broadcast" not in plan(small_side(dim, max_bytes=10)).lower()
 
 
 def test_unkeyed_messages_and_rate_source(spark, tmp_path):
