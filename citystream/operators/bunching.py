@@ -4,11 +4,11 @@ Rule per route, in event order: each event moves its bus; then every pair
 of buses on the route is checked at their latest positions.  Within the
 radius, a pair starts a timer at the first such event ("tick") and raises an
 incident at the first tick at least the hold time later, restarting the
-timer there; leaving the radius clears the timer.  Rows with a null
-coordinate are skipped (neither move a bus nor count as a tick); feed
-validated rows.
+timer there; leaving the radius clears the timer.  Rows without a usable
+position or time (null or NaN) are skipped: they neither move a bus nor count
+as a tick.  Feed validated rows.
 
-Batch form, without gathering a route in one place:
+Batch form, the same for every size, without gathering a route in one place:
  1. each position is valid from its tick to the bus's next tick
     (``keyed_neighbor`` over (route, bus), sliced by time);
  2. near pairs: positions are bucketed by (route, time bucket, sphere cell),
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from citystream.functions.geo import haversine_m, neighbour_cells, sphere_cells
 from citystream.functions.time import epoch_micros, split_id
 from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
-from citystream.operators.joins import small_side
 from citystream.plans import chain
 from citystream.plans.sequence import (DEFAULT_SPLIT_SECONDS, keyed_fill, keyed_neighbor,
                                       order_key)
@@ -42,10 +41,6 @@ from citystream.session import cut
 RADIUS_M = 200.0
 HOLD_SEC = 300
 
-# Largest route (rows) folded inside one task.  Above it the distributed plan
-# runs; a route at this size is ~100 MB of pandas columns in one task.
-MAX_ROUTE_ROWS_PER_TASK = 1_000_000
-
 PAIR = ["route_id", "bus_a", "bus_b"]
 
 
@@ -53,6 +48,13 @@ def _tick(t: str = "t", e: str = "e"):
     return order_key(t, e)
 
 
+def positioned(gps: DataFrame, t: str = "event_time") -> DataFrame:
+    """Rows with a time and a real position (streams use the same filter)."""
+    def real(c: str):
+        return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return gps.where(real("lat") & real("lon") & F.col(t).isNotNull())
+
+
 def route_stats(g: DataFrame) -> dict:
     """One aggregate job sizing every later step: rows of the largest route,
     rows, buses (approximate distinct is enough for sizing) and time span."""
@@ -107,16 +109,17 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
     So that a long interval (a silent bus, a final open position) does not
     become one copy per fine bucket, intervals are put on levels: level k
     uses buckets of width W*K^k and holds intervals spanning at most K+1 of
-    them.  The join at level j pairs level-j intervals with every interval of
-    level <= j (copied into level-j buckets: at most K+1 copies each), and a
-    pair is kept at level max(level_p, level_q) only, in the bucket holding
-    the start of its overlap: every overlapping pair exactly once.
+    them.  At level j two joins meet in level-j buckets (at most K+1 copies of
+    an interval): level j with levels <= j, and levels < j with level j.  One
+    side is always the few intervals of that length, so short intervals never
+    meet each other in wide buckets.  A pair is kept in the bucket holding the
+    start of its overlap: every overlapping pair exactly once.
     """
     pb_w = pair_seconds or pair_bucket_seconds(g)
     k = LEVEL_FANOUT
     pos = keyed_neighbor(g, ["route_id", "bus_id"], "t", "e", ["t", "e"], "nx",
                          step=1, seconds=seconds)
-    last = small_side(g.groupBy("route_id").agg(F.max(_tick()).alias("_last")))
+    last = g.groupBy("route_id").agg(F.max(_tick()).alias("_last"))
     pos = pos.join(last, "route_id")
     s_us = epoch_micros("t")
     end_us = epoch_micros(F.coalesce(F.col("nx.t"), F.col("_last.t")))
@@ -137,7 +140,7 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
         rows = pos.where(F.col("_lv") <= lv).withColumn(
             "_pb", F.explode(F.sequence(F.floor(F.col("_su") / width),
                                         F.floor(F.col("_eu") / width))))
-        p = (rows.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
+        spread = (rows.select("*", F.explode(neighbour_cells(F.col("cx"), F.col("cy"), F.col("cz"),
                                                         forward=True)).alias("_nc"))
                  .select("route_id", "_pb", F.col("_nc.cx").alias("cx"),
                          F.col("_nc.cy").alias("cy"), F.col("_nc.cz").alias("cz"),
@@ -145,14 +148,17 @@ def near_segments(g: DataFrame, radius_m: float = RADIUS_M,
                          F.col("lat").alias("lat_p"), F.col("lon").alias("lon_p"),
                          F.col("s").alias("s_p"), F.col("f").alias("f_p"),
                          F.col("_lv").alias("lv_p")))
-        q = rows.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_q"),
+        single = rows.select("route_id", "_pb", "cx", "cy", "cz", F.col("bus_id").alias("bus_q"),
                         F.col("lat").alias("lat_q"), F.col("lon").alias("lon_q"),
                         F.col("s").alias("s_q"), F.col("f").alias("f_q"),
                         F.col("_lv").alias("lv_q"))
-        j = (p.join(q, ["route_id", "_pb", "cx", "cy", "cz"])
-              .where(((F.col("bus_p") < F.col("bus_q"))
-                      | (~F.col("own") & (F.col("bus_p") > F.col("bus_q"))))
-                     & (F.greatest("lv_p", "lv_q") == lv)))
+        on = ["route_id", "_pb", "cx", "cy", "cz"]
+        j = spread.where(F.col("lv_p") == lv).join(single, on)
+        if lv > levels[0]:
+            j = j.unionByName(spread.where(F.col("lv_p") < lv)
+                              .join(single.where(F.col("lv_q") == lv), on))
+        j = j.where((F.col("bus_p") < F.col("bus_q"))
+                    | (~F.col("own") & (F.col("bus_p") > F.col("bus_q"))))
         s = F.greatest("s_p", "s_q")
         f = F.least("f_p", "f_q")  # least skips nulls: null only when both are open
         j = j.select("route_id", F.least("bus_p", "bus_q").alias("bus_a"),
@@ -184,42 +190,22 @@ def islands(seg: DataFrame, seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
 
 def successors(g: DataFrame, hold_s: int = HOLD_SEC,
                seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
-    """succ(x) for every tick: (x = event id, y = struct<t,e> or null)."""
+    """succ(x) for every tick: (route_id, x, y), ticks as struct<t,e>, y or null."""
     probes = g.select("route_id", F.timestamp_add("SECOND", F.lit(hold_s), F.col("t")).alias("_at"),
-                      F.lit(0).alias("_k"), F.col("e").alias("_id"), F.col("e").alias("x"))
+                      F.lit(0).alias("_k"), F.col("e").alias("_id"), _tick().alias("x"))
     ticks = g.select("route_id", F.col("t").alias("_at"), F.lit(1).alias("_k"),
-                     F.col("e").alias("_id"), F.lit(None).cast("long").alias("x"))
+                     F.col("e").alias("_id"),
+                     F.lit(None).cast("struct<t:timestamp_ntz,e:bigint>").alias("x"))
     u = probes.unionByName(ticks)
     val = F.when(F.col("_k") == 1, F.struct(F.col("_at").alias("t"), F.col("_id").alias("e")))
     filled = keyed_fill(u, ["route_id"], [F.col("_at"), F.col("_k"), F.col("_id")],
                         split_id("_at", seconds), val, "y", descending=True)
-    return filled.where(F.col("_k") == 0).select("x", "y")
-
-
-def _route_fold(g: DataFrame, radius_m: float, hold_s: int) -> DataFrame:
-    """Small-route plan: each route's events folded in one task (Arrow
-    batches, same rule code as the streaming processor)."""
-    from citystream.functions.time import micros_to_ntz
-    from citystream.streaming.stateful import ALERT_COLUMNS, BUNCHING_OUT, bunch_events
-    hold_us = hold_s * 1_000_000
-
-    def fold(pdf):
-        import pandas as pd
-        rows = bunch_events(pdf["route_id"].iloc[0], pdf, [], [], [], {}, radius_m, hold_us)
-        return pd.DataFrame(rows, columns=ALERT_COLUMNS)
-
-    src = g.select("route_id", "bus_id", "lat", "lon", F.col("e").alias("event_id"),
-                   epoch_micros("t").alias("ts_us"))
-    out = src.groupBy("route_id").applyInPandas(fold, BUNCHING_OUT)
-    return out.select("route_id", "bus_1", "bus_2", "distance_meters", "duration_seconds",
-                      F.struct(micros_to_ntz(F.col("event_us")).alias("t"),
-                               F.col("event_id").alias("e")).alias("at"))
+    return filled.where(F.col("_k") == 0).select("route_id", "x", "y")
 
 
 def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
              t: str = "event_time", e: str = "event_id",
              seconds: int | None = None,
-             max_route_rows: int | None = MAX_ROUTE_ROWS_PER_TASK,
              pair_seconds: int | None = None) -> DataFrame:
     """Bunching incidents from a batch of GPS rows.
 
@@ -227,19 +213,15 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     first on the route), distance_meters (2 dp), duration_seconds, event_id,
     event_time (the alert tick), details (struct).
 
-    Plan choice, like a checked broadcast: one aggregate measures the largest
-    route; when every route has at most ``max_route_rows`` rows, each route is
-    folded in one task.  Otherwise (or with ``max_route_rows=None``) the
-    distributed plan below runs, which never gathers a route.
+    No plan gathers a route; ``event_id`` needs to be unique only within a
+    route and time.
     """
-    g = (gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()
-                   & F.col(t).isNotNull())
+    # Cleaned rows are read by several phases: cut them once.
+    g = cut(positioned(gps, t)
             .select("route_id", "bus_id", F.col("lat").cast("double").alias("lat"),
                     F.col("lon").cast("double").alias("lon"),
-                    F.col(t).alias("t"), F.col(e).alias("e")))
+                    F.col(t).cast("timestamp_ntz").alias("t"), F.col(e).cast("long").alias("e")))
     stats = route_stats(g)
-    if max_route_rows and stats["max_route"] <= max_route_rows:
-        return _finish(_route_fold(g, radius_m, hold_s))
     # Slices sized for the busiest route, the widest key of every scan below.
     seconds = seconds or slice_seconds_for(stats)
     pair_seconds = pair_seconds or pair_bucket_seconds(g, stats)
@@ -247,23 +229,17 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
     isl = cut(islands(seg, seconds))
 
-    spark = gps.sparkSession
+    # Islands that last the hold time at all, and the ticks of their routes.
     last = g.groupBy("route_id").agg(F.max("t").alias("_lt"))
-    span = (isl.join(small_side(last), "route_id")
-               .select(F.max(epoch_micros(F.coalesce(F.col("f.t"), F.col("_lt")))
-                             - epoch_micros(F.col("s.t"))).alias("us"))
-               .first()["us"])
-    empty = spark.createDataFrame(
-        [], "incident_type string, severity string, route_id string, bus_1 string, "
-            "bus_2 string, distance_meters double, duration_seconds bigint, "
-            "event_id bigint, event_time timestamp_ntz")
-    if span is None or span < hold_s * 1_000_000:
-        return _finish(empty.select("route_id", "bus_1", "bus_2", "distance_meters",
-                                    "duration_seconds",
-                                    F.struct(F.col("event_time").alias("t"),
-                                             F.col("event_id").alias("e")).alias("at")))
-    levels = max(1, int(span // (hold_s * 1_000_000)).bit_length())
-    tables = chain.jump_tables(successors(g, hold_s, seconds), levels)
+    isl = (isl.join(last, "route_id")
+           .withColumn("_us", epoch_micros(F.coalesce(F.col("f.t"), F.col("_lt")))
+                       - epoch_micros(F.col("s.t")))
+           .where(F.col("_us") >= F.lit(hold_s * 1_000_000)))
+    longest = isl.agg(F.max("_us")).first()[0] or 0
+    levels = max(1, int(longest // (hold_s * 1_000_000)).bit_length())
+    ticks = g.join(isl.select("route_id").distinct(), "route_id", "left_semi")
+    isl = isl.drop("_lt", "_us")
+    tables = chain.jump_tables(successors(ticks, hold_s, seconds), levels)
     steps = chain.walk(isl, tables, PAIR + ["s"])
 
     # Distance at the alert tick: the pair's segment starting at or before it.
@@ -279,7 +255,7 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                         split_id("_t", seconds), F.col("dist"), "_d")
     alerts = filled.where(F.col("_k") == 1)
 
-    first = small_side(g.groupBy("route_id", "bus_id").agg(F.min(_tick()).alias("_first")))
+    first = g.groupBy("route_id", "bus_id").agg(F.min(_tick()).alias("_first"))
     fa = first.select("route_id", F.col("bus_id").alias("bus_a"), F.col("_first").alias("_fa"))
     fb = first.select("route_id", F.col("bus_id").alias("bus_b"), F.col("_first").alias("_fb"))
     alerts = alerts.join(fa, ["route_id", "bus_a"]).join(fb, ["route_id", "bus_b"])
@@ -310,9 +286,9 @@ def latest_positions(gps: DataFrame, t: str = "event_time", e: str = "event_id")
 
     ``max_by`` over a (time, id) struct is an aggregate with a map-side
     partial step, so a bus with many rows is never gathered in one place.
-    Rows with a null coordinate are skipped.
+    Rows without a usable position or time are skipped.
     """
-    g = gps.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    g = positioned(gps, t)
     last = F.max_by(F.struct("lat", "lon", F.col(t).alias("t"), F.col(e).alias("e")),
                     order_key(t, e))
     return (g.groupBy("route_id", "bus_id").agg(last.alias("_p"))

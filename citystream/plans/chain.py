@@ -1,15 +1,16 @@
 """Greedy chains over a successor table, by pointer doubling.
 
-Given ``succ(x)`` for every tick x (the first tick at least the hold time
-after x) and, per island, a start tick S and an exclusive end F, the alerts
-of the island are succ(S), succ(succ(S)), ... while they stay before F.  The
-walk is sequential per island, but it can be done in O(log m) joins, where m
-is the longest chain: build jump tables J_j = succ^(2^j) by self-joins,
-descend from the top level to find the binary decomposition of each
-island's chain length, then expand the chosen jumps back into single steps.
-Every join is on a tick id, which is unique, so no key is hot however
-skewed routes or islands are.  Each table level is checkpointed (reliable,
-in ``spark.checkpoint.dir``) so plans stay linear in the number of levels.
+Given ``succ(x)`` for every tick x of a key (the first tick of that key at
+least the hold time after x) and, per island, a start tick S and an exclusive
+end F, the alerts of the island are succ(S), succ(succ(S)), ... while they stay
+before F.  The walk is sequential per island, but it can be done in O(log m)
+joins, where m is the longest chain: build jump tables J_j = succ^(2^j) by
+self-joins, descend from the top level to find the binary decomposition of
+each island's chain length, then expand the chosen jumps back into single
+steps.  A tick is (key, time, id): ids need to be unique only within a key and
+time.  Joins are on whole ticks, so no key is hot however skewed routes or
+islands are.  Each level is checkpointed (reliable, in
+``spark.checkpoint.dir``), and levels end when no tick has a further jump.
 """
 
 from __future__ import annotations
@@ -20,33 +21,38 @@ from pyspark.sql import functions as F
 from citystream.session import cut as _cut
 
 
-def jump_tables(succ: DataFrame, levels: int) -> list[DataFrame]:
-    """[J_0 .. J_{levels-1}], each (x long, y struct<t, e>), y never null."""
-    j = _cut(succ.where(F.col("y").isNotNull()).select("x", "y"))
+def jump_tables(succ: DataFrame, levels: int, key: str = "route_id") -> list[DataFrame]:
+    """[J_0, J_1, ...], at most ``levels``; each (key, x, y), ticks as
+    struct<t, e>, y never null."""
+    j = _cut(succ.where(F.col("y").isNotNull()).select(key, "x", "y"))
     tables = [j]
     for _ in range(1, levels):
-        a, b = j.alias("a"), j.alias("b")
-        j = _cut(a.join(b, F.col("a.y.e") == F.col("b.x"))
-                 .select(F.col("a.x").alias("x"), F.col("b.y").alias("y")))
+        hop = j.select(key, F.col("x").alias("y"), F.col("y").alias("_y"))
+        j = _cut(j.join(hop, [key, "y"]).select(key, "x", F.col("_y").alias("y")))
+        if not j.take(1):
+            break
         tables.append(j)
     return tables
 
 
-def walk(starts: DataFrame, tables: list[DataFrame], id_cols: list[str]) -> DataFrame:
+def walk(starts: DataFrame, tables: list[DataFrame], id_cols: list[str],
+         key: str = "route_id") -> DataFrame:
     """Alert steps of each start: (id_cols..., prev struct<t,e>, at struct<t,e>).
 
-    ``starts`` has ``id_cols``, ``s`` (struct<t,e>, the first tick) and ``f``
-    (struct<t,e> exclusive end, null = open).  A step is taken while its
-    target is strictly before ``f``.
+    ``starts`` has ``id_cols`` (``key`` among them), ``s`` (struct<t,e>, the
+    first tick) and ``f`` (struct<t,e> exclusive end, null = open).  A step is
+    taken while its target is strictly before ``f``.
     """
-    L = len(tables)
+    def at(lv: int, tick: str) -> DataFrame:
+        return tables[lv].select(key, F.col("x").alias(tick), F.col("y").alias("_y"))
+
+    top = len(tables) - 1
     state = starts.select(*id_cols, F.col("s").alias("cur"), "f",
                           F.array().cast("array<struct<x:struct<t:timestamp_ntz,e:bigint>,lv:int>>")
                           .alias("segs"))
     # Descent: greedy binary decomposition of each chain length.
-    for lv in range(L - 1, -1, -1):
-        j = tables[lv].select(F.col("x").alias("_x"), F.col("y").alias("_y"))
-        s2 = state.join(j, F.col("cur.e") == F.col("_x"), "left")
+    for lv in range(top, -1, -1):
+        s2 = state.join(at(lv, "cur"), [key, "cur"], "left")
         take = F.col("_y").isNotNull() & (F.col("f").isNull() | (F.col("_y") < F.col("f")))
         seg = F.struct(F.col("cur").alias("x"), F.lit(lv).alias("lv"))
         state = s2.select(*id_cols, F.when(take, F.col("_y")).otherwise(F.col("cur")).alias("cur"),
@@ -56,14 +62,12 @@ def walk(starts: DataFrame, tables: list[DataFrame], id_cols: list[str]) -> Data
     rows = (state.select(*id_cols, F.explode("segs").alias("sg"))
             .select(*id_cols, F.col("sg.x").alias("x"), F.col("sg.lv").alias("lv")))
     # Expansion: a jump of 2^lv steps from x = 2^(lv-1) from x, then from J_{lv-1}(x).
-    for lv in range(L - 1, 0, -1):
-        j = tables[lv - 1].select(F.col("x").alias("_x"), F.col("y").alias("_y"))
-        hit = rows.where(F.col("lv") == lv).join(j, F.col("x.e") == F.col("_x"), "inner")
+    for lv in range(top, 0, -1):
+        hit = rows.where(F.col("lv") == lv).join(at(lv - 1, "x"), [key, "x"])
         split = hit.select(*id_cols, F.explode(F.array(F.col("x"), F.col("_y"))).alias("x"),
                            F.lit(lv - 1).alias("lv"))
         rows = rows.where(F.col("lv") != lv).unionByName(split)
         if lv % 4 == 0:
             rows = _cut(rows)
-    j0 = tables[0].select(F.col("x").alias("_x"), F.col("y").alias("at"))
-    return (rows.join(j0, F.col("x.e") == F.col("_x"), "inner")
-            .select(*id_cols, F.col("x").alias("prev"), "at"))
+    return (rows.join(at(0, "x"), [key, "x"])
+            .select(*id_cols, F.col("x").alias("prev"), F.col("_y").alias("at")))

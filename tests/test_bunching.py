@@ -16,15 +16,13 @@ def _frame(spark, rows):
               "event_time timestamp_ntz, event_id long")
 
 
+def _alerts(df):
+    return sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
+                   r.event_id) for r in df.collect())
+
+
 def _batch(spark, rows, **kw):
-    """Both plans (per-route fold and distributed) must give the fold's rows."""
-    res = []
-    for limit in (None, 10_000_000):
-        out = bunching(_frame(spark, rows), max_route_rows=limit, **kw).collect()
-        res.append(sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters,
-                           r.duration_seconds, r.event_id) for r in out))
-    assert res[0] == res[1]
-    return res[0]
+    return _alerts(bunching(_frame(spark, rows), **kw))
 
 
 def test_edges(spark):
@@ -64,7 +62,7 @@ def test_long_silent_bus_uses_levels(spark):
         eid += 1
     expect = bunching_fold(rows)
     assert len(expect) > 3
-    got = bunching(_frame(spark, rows), max_route_rows=None, pair_seconds=10).collect()
+    got = bunching(_frame(spark, rows), pair_seconds=10).collect()
     assert sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
                    r.event_id) for r in got) == expect
 
@@ -85,6 +83,60 @@ def test_random_routes_match_fold(spark):
     assert _batch(spark, rows, seconds=600) == expect
 
 
+def test_ids_repeat_across_routes_and_nan_positions(spark):
+    """Event ids need to be unique only within a route; NaN is no position."""
+    rnd = random.Random(17)
+    rows = []
+    for route in ("R1", "R2", "R3"):
+        t = 0
+        for eid in range(120):
+            t += rnd.choice([5, 40, 90, 140]) * 1_000_000
+            lat = 19.0 + rnd.randint(0, 5) * 70 * M_LAT
+            rows.append((route, f"B{rnd.randint(1, 4)}", t, eid,
+                         float("nan") if rnd.random() < 0.05 else lat, 72.9))
+    expect = bunching_fold(rows)
+    assert len(expect) > 10
+    assert _batch(spark, rows) == expect
+    assert _batch(spark, rows, seconds=500, pair_seconds=15) == expect
+
+
+def test_silent_bus_costs_no_all_pairs_join(spark):
+    """Candidate pairs grow with the pairs that can pass, not with the square
+    of the rows, when one bus stays silent."""
+    from citystream.operators.bunching import near_segments, positioned
+    def rows(n):
+        out = [("R1", "B0", 0, 0, 19.0, 72.9)]
+        for i in range(1, n):
+            out.append(("R1", f"B{i % 6 + 1}", 20_000_000 * i, i,
+                        19.0 + (i % 40) * 60 * M_LAT, 72.9))
+        return out
+    made = []
+    for n in (400, 1600):
+        g = positioned(_frame(spark, rows(n))).selectExpr(
+            "route_id", "bus_id", "lat", "lon", "event_time as t", "event_id as e")
+        seg = near_segments(g, pair_seconds=40)
+        plan = seg._jdf.queryExecution()
+        seg.collect()
+        found = 0
+        todo = [plan.executedPlan()]
+        while todo:
+            node = todo.pop()
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                todo.append(node.executedPlan())
+                continue
+            if name.endswith("QueryStage"):
+                todo.append(node.plan())
+                continue
+            if "Join" in name:
+                rows_out = node.metrics().get("numOutputRows")
+                found += int(rows_out.get().value()) if rows_out.isDefined() else 0
+            kids = node.children()
+            todo += [kids.apply(k) for k in range(kids.size())]
+        made.append(found)
+    assert 0 < made[1] <= 12 * made[0]
+
+
 def test_stream_form_matches_fold(spark, tmp_path):
     from citystream.functions.time import ntz_to_utc
     from citystream.streaming.stateful import bunching_stream
@@ -118,7 +170,7 @@ def test_random_ties_and_radius_edges_distributed(spark):
             lat = None if rnd.random() < 0.03 else 19.0 + metres * M_LAT
             rows.append((route, f"B{rnd.randint(1, 6)}", t, eid, lat, 72.9))
         expect = bunching_fold(rows)
-        got = bunching(_frame(spark, rows), max_route_rows=None, seconds=400,
+        got = bunching(_frame(spark, rows), seconds=400,
                        pair_seconds=20).collect()
         assert sorted((r.route_id, r.bus_1, r.bus_2, r.distance_meters, r.duration_seconds,
                        r.event_id) for r in got) == expect, seed

@@ -21,20 +21,21 @@ def test_walk_matches_naive(spark):
         succ[i] = j
     rows = [(i, None if j is None else tick[j]) for i, j in succ.items()]
     sdf = spark.createDataFrame(
-        [(i, None if y is None else (y[0], y[1])) for i, y in rows],
-        "x long, y struct<t:timestamp_ntz,e:long>")
+        [("R", tick[i], None if y is None else (y[0], y[1])) for i, y in rows],
+        "route_id string, x struct<t:timestamp_ntz,e:long>, y struct<t:timestamp_ntz,e:long>")
     starts = []
     for sid in range(25):
         s = rnd.randrange(n)
         f = rnd.choice([None, min(n - 1, s + rnd.randrange(1, n))])
-        starts.append((sid, tick[s], None if f is None else tick[f]))
-    st = spark.createDataFrame(starts, "sid long, s struct<t:timestamp_ntz,e:long>, "
+        starts.append(("R", sid, tick[s], None if f is None else tick[f]))
+    st = spark.createDataFrame(starts, "route_id string, sid long, s struct<t:timestamp_ntz,e:long>, "
                                        "f struct<t:timestamp_ntz,e:long>")
     levels = max(1, (n).bit_length())
-    got = chain.walk(st, chain.jump_tables(sdf, levels), ["sid"]).select(
+    got = chain.walk(st, chain.jump_tables(sdf, levels),
+                     ["route_id", "sid"]).select(
         "sid", F.col("prev.e").alias("p"), F.col("at.e").alias("a")).collect()
     want = []
-    for sid, s, f in starts:
+    for _, sid, s, f in starts:
         cur = s[1]
         while succ[cur] is not None and (f is None or succ[cur] < f[1]):
             want.append((sid, cur, succ[cur]))
