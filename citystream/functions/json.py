@@ -19,24 +19,23 @@ def parse_events(df: DataFrame, schema: StructType, value_col: str = "value",
     return df.select(*keep, data.alias("data")).select(*keep, "data.*")
 
 
-def parse_variant(df: DataFrame, value_col: str = "value",
-                  out: str = "payload") -> DataFrame:
-    """Untyped parse: VARIANT column; malformed text gives null."""
-    return df.withColumn(out, F.try_parse_json(F.col(value_col).cast("string")))
+KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def vget(v: str | Column, path: str, type_: str) -> Column:
-    """Typed field of a VARIANT value; null when absent or not convertible."""
-    col = F.col(v) if isinstance(v, str) else v
-    return F.try_variant_get(col, path, type_)
+def as_variant(struct: str | Column) -> Column:
+    """A struct as a VARIANT object; null fields stay in it as JSON nulls."""
+    return F.parse_json(F.to_json(struct, KEEP_NULLS))
 
 
-def to_kv(df: DataFrame, key: str | Column | None, *fields) -> DataFrame:
+def to_kv(df: DataFrame, key: str | Column | None, *fields,
+          keep_nulls: bool = False) -> DataFrame:
     """Pack rows as (key, value) strings for a message sink.
 
-    ``fields`` default to all columns.  ``key=None`` gives a null key.
+    ``fields`` default to all columns; VARIANT and struct fields are nested.
+    Null fields are left out, or written as JSON nulls with ``keep_nulls``
+    (nulls inside a VARIANT always stay).  ``key=None`` gives a null key.
     """
     cols = list(fields) if fields else [F.col(c) for c in df.columns]
     k = F.lit(None).cast("string") if key is None else (
         F.col(key) if isinstance(key, str) else key).cast("string")
-    return df.select(k.alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+    return df.select(k.alias("key"), F.to_json(F.struct(*cols), KEEP_NULLS if keep_nulls else {}).alias("value"))

@@ -3,8 +3,9 @@
 Stateless: AQI emergency.  Stateful (see ``gridlock`` and ``bunching``):
 junction gridlock and bus bunching.  Every detector returns flat columns
 plus a ``details`` struct; ``incident_envelope`` turns any of them into the
-common (incident_type, severity, details JSON, timestamp) shape so they can
-be unioned into one incident table.
+common (incident_type, severity, details, timestamp) shape so they can be
+unioned into one incident table.  ``details`` is a VARIANT object, packed once:
+``incident_messages`` writes it as a nested JSON object, nulls kept.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citystream.functions.json import as_variant, to_kv
 from citystream.functions.time import epoch_millis
 
 # Incident labels, severities, messages and the AQI threshold.
@@ -42,14 +44,14 @@ def aqi_emergencies(aqi: DataFrame, threshold: float = AQI_EMERGENCY_THRESHOLD)
 def incident_envelope(df: DataFrame, entity_col: str, zone_col: str | None = None) -> DataFrame:
     """Common incident shape for the union of all detectors.
 
-    Out: incident_type, severity, entity_id, zone, details (JSON text),
+    Out: incident_type, severity, entity_id, zone, details (VARIANT object),
     timestamp (event time, epoch ms), event_id.  The event time replaces the
     processing-time stamp so reruns give identical rows.
     """
     zone = F.col(zone_col) if zone_col else F.lit(None).cast("string")
     return df.select(
         "incident_type", "severity", F.col(entity_col).cast("string").alias("entity_id"),
-        zone.alias("zone"), F.to_json("details").alias("details"),
+        zone.alias("zone"), as_variant("details").alias("details"),
         epoch_millis("event_time").alias("timestamp"), "event_id")
 
 
@@ -59,3 +61,9 @@ def incidents(*enveloped: DataFrame) -> DataFrame:
     for df in enveloped[1:]:
         out = out.unionByName(df)
     return out
+
+
+def incident_messages(enveloped: DataFrame) -> DataFrame:
+    """(key, value) for a message sink: key the entity, value one JSON object
+    with the details nested in it."""
+    return to_kv(enveloped, "entity_id", "incident_type", "severity", "details", "timestamp")

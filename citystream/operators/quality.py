@@ -4,6 +4,10 @@ Rules are data: an ordered list of (topic, predicate, reason).  The first
 matching rule of the record's topic gives its ``error_reason``; no match means
 valid (null reason).  A null or missing field counts as a value: a null AQI
 hits the null rule, a null coordinate is read as 0 and fails the box rule.
+
+Typed rows go through ``validate`` and ``dead_letters``; raw messages of mixed
+topics through ``validate_messages``, which needs no schema: a value that is
+no JSON object is ``UNPARSEABLE_JSON`` and its text is kept as it came.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citystream.functions.json import as_variant, to_kv
 from citystream.functions.time import epoch_millis
 
 # Reasons and rule bounds; topic names are this deployment's.
@@ -20,6 +25,7 @@ AIR_QUALITY = "air_quality"
 BUS_GPS = "bus_gps"
 NULL_AQI_VALUE = "NULL_AQI_VALUE"
 OUT_OF_RANGE_AQI = "OUT_OF_RANGE_AQI"
+UNPARSEABLE_JSON = "UNPARSEABLE_JSON"
 IMPOSSIBLE_GPS_COORDINATES = "IMPOSSIBLE_GPS_COORDINATES"
 AQI_MIN, AQI_MAX = 0, 500
 LAT_MIN, LAT_MAX = 18.5, 19.5
@@ -42,13 +48,11 @@ RULES: list[Rule] = [
 ]
 
 
-def error_reason(topic: str | Column, rules: Sequence[Rule] = RULES,
-                 columns: Sequence[str] | None = None) -> Column:
+def error_reason(topic: str | Column, rules: Sequence[Rule] = RULES) -> Column:
     """CASE expression giving the first failing rule's reason, else null.
 
     ``topic`` is a literal topic (all rows from one topic; rules of other
     topics are left out at plan time) or a column holding the topic per row.
-    Rules that read columns absent from ``columns`` are skipped.
     """
     expr = None
     for t, pred, reason in rules:
@@ -72,22 +76,60 @@ def dead_letters(validated: DataFrame, topic: str | Column,
                  payload_cols: Sequence[str] | None = None) -> DataFrame:
     """Failed records only: original_topic, error_reason, failed_payload, failed_at.
 
-    ``failed_payload`` is the record as JSON text (all input columns unless
-    ``payload_cols`` is given), so several topics with different schemas can
-    share one dead-letter table.  ``failed_at`` is the record's event time in
-    epoch ms, which keeps the output deterministic; pass ``time_col=None`` for
-    processing time.
+    ``failed_payload`` is the record as a VARIANT object with its nulls (the
+    fields of ``payload_cols``, by default all but what the pipeline added:
+    reason, event id and parsed event time), so topics with different schemas
+    share one dead-letter table and the payload nests when it is packed.
+    ``failed_at`` is the record's event time in epoch ms, which keeps the output
+    deterministic; pass ``time_col=None`` for processing time.
     """
-    cols = [c for c in (payload_cols or validated.columns) if c != "error_reason"]
+    added = {"error_reason", "event_id", "event_time", time_col}
+    cols = payload_cols or [c for c in validated.columns if c not in added]
     top = F.lit(topic) if isinstance(topic, str) else topic
     at = (epoch_millis(time_col) if time_col
           else F.unix_millis(F.current_timestamp()))
     return validated.where(F.col("error_reason").isNotNull()).select(
         top.alias("original_topic"), "error_reason",
-        F.to_json(F.struct(*cols)).alias("failed_payload"),
+        as_variant(F.struct(*cols)).alias("failed_payload"),
         at.alias("failed_at"), *[c for c in ("event_id",) if c in validated.columns])
 
 
+def validate_messages(messages: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
+    """Rules on raw messages of several topics (``value``: JSON bytes or text).
+
+    Adds ``payload`` (VARIANT: the record, or the raw text where it is no JSON
+    object) and ``error_reason``.  An AQI that is no number is out of range,
+    not missing.  Topics without rules pass if they parse.
+    """
+    text = F.col(value).cast("string")
+    parsed = F.try_parse_json(text)
+    is_record = F.schema_of_variant(parsed).startswith("OBJECT")
+    record = F.when(is_record, parsed)
+    aqi = F.try_variant_get(record, "$.aqi", "double")
+
+    def coordinate(name: str) -> Column:
+        return F.coalesce(F.try_variant_get(record, f"$.{name}", "double"), F.lit(0.0))
+    outside = ~(coordinate("lat").between(LAT_MIN, LAT_MAX)
+                & coordinate("lon").between(LON_MIN, LON_MAX))
+    is_air, is_gps = F.col(topic) == AIR_QUALITY, F.col(topic) == BUS_GPS
+    reason = (F.when(record.isNull(), UNPARSEABLE_JSON)
+              .when(is_air & F.try_variant_get(record, "$.aqi", "string").isNull(), NULL_AQI_VALUE)
+              .when(is_air & ~F.coalesce(aqi.between(AQI_MIN, AQI_MAX), F.lit(False)),
+                    OUT_OF_RANGE_AQI)
+              .when(is_gps & outside, IMPOSSIBLE_GPS_COORDINATES))
+    return messages.select(
+        "*", F.coalesce(record, text.cast("variant")).alias("payload"),
+        reason.alias("error_reason"))
+
+
+def dead_letter_messages(validated: DataFrame, topic: str = "topic") -> DataFrame:
+    """Failed messages as (key, value): key the topic they came from, value a
+    JSON object with topic, reason and the payload nested in it."""
+    return to_kv(validated.where(F.col("error_reason").isNotNull()), topic,
+                 F.col(topic).alias("original_topic"), "error_reason",
+                 F.col("payload").alias("failed_payload"), keep_nulls=True)
+
+
 def valid_records(validated: DataFrame) -> DataFrame:
     """The complement branch: records that passed every rule."""
     return validated.where(F.col("error_reason").isNull()).drop("error_reason")

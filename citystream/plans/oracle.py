@@ -25,14 +25,16 @@ VIEWS = {
   FROM events""",
     "air_quality": """
   SELECT 'AQI_SENS_' || CAST(100 + user_id % 51 AS VARCHAR) AS sensor_id,
-         'ZONE_' || CAST(user_id % 10 + 1 AS VARCHAR) AS zone,
+         'ZONE_' || CAST(CASE WHEN user_id % 10 < 9 THEN user_id % 10 + 1 ELSE 26 END
+                         AS VARCHAR) AS zone,
          CASE WHEN event_id % 20 = 0 THEN NULL
               ELSE CAST(floor(value * 3e0) AS INTEGER) END AS aqi,
          ts AS event_time, event_id
   FROM events""",
     "bus_gps": """
   SELECT 'BUS_' || CAST(1000 + (user_id % 40) AS VARCHAR) AS bus_id,
-         'ROUTE_' || CAST((user_id % 5 + 1) * 101 AS VARCHAR) AS route_id,
+         'ROUTE_' || CAST(CASE WHEN user_id % 5 < 4 THEN user_id % 5 + 1 ELSE 26 END * 101
+                          AS VARCHAR) AS route_id,
          CASE WHEN event_id % 97 = 0 THEN 0e0
               ELSE 19e0 + CAST((event_id * 37) % 120 AS DOUBLE) / 1e4 END AS lat,
          CASE WHEN event_id % 89 = 0 THEN NULL
@@ -49,13 +51,13 @@ VIEWS = {
   SELECT 'ZONE_' || CAST(n_nationkey + 1 AS VARCHAR) AS zone, n_name AS zone_name,
          100000 + n_nationkey * 17000 AS population,
          4 + (n_nationkey * 7) % 47 AS num_schools
-  FROM nation WHERE n_nationkey < 9""",
+  FROM nation""",
     "route_schedule": """
   SELECT 'ROUTE_' || CAST((n_nationkey + 1) * 101 AS VARCHAR) AS route_id,
          n_name AS route_name,
          'Terminal ' || CAST(n_regionkey AS VARCHAR) AS terminal,
          '18:' || CAST(10 + n_nationkey * 5 AS VARCHAR) || ':00' AS scheduled_arrival_time
-  FROM nation WHERE n_nationkey < 4""",
+  FROM nation""",
 }
 
 
@@ -133,9 +135,63 @@ FROM air_quality WHERE aqi IS NOT NULL AND aqi > 300""", "air_quality")
 
 def _q_dead_letters() -> str:
     return with_views("""
-SELECT original_topic, error_reason, entity_id, event_id, (epoch_us(event_time) // 1000) AS failed_at
-FROM validated WHERE error_reason IS NOT NULL""", "air_quality", "bus_gps",
-                      extra=_VALIDATED.strip())
+SELECT original_topic, error_reason, entity_id,
+       CASE WHEN original_topic = 'air_quality' THEN CAST(a.aqi AS VARCHAR) END AS aqi,
+       CASE WHEN original_topic = 'air_quality' THEN 'aqi,sensor_id,zone'
+            ELSE 'bus_id,lat,lon,route_id' END AS payload_fields,
+       v.event_id, (epoch_us(v.event_time) // 1000) AS failed_at
+FROM validated v JOIN air_quality a ON a.event_id = v.event_id
+WHERE error_reason IS NOT NULL""", "air_quality", "bus_gps", extra=_VALIDATED.strip())
+
+
+def _q_topic_dead_letters() -> str:
+    return with_views("""
+SELECT original_topic, error_reason,
+       CASE WHEN original_topic = 'air_quality' AND error_reason <> 'UNPARSEABLE_JSON'
+            THEN aqi END AS aqi,
+       original_topic = 'air_quality' AND error_reason <> 'UNPARSEABLE_JSON' AS has_aqi,
+       CASE WHEN error_reason = 'UNPARSEABLE_JSON' THEN v END AS raw,
+       CASE WHEN error_reason <> 'UNPARSEABLE_JSON' THEN event_id END AS event_id
+FROM judged WHERE error_reason IS NOT NULL""", "air_quality", "bus_gps", extra="""
+texts AS (
+  SELECT 'air_quality' AS original_topic, event_id, NULL AS lat, NULL AS lon,
+         CASE WHEN event_id % 30 = 1 THEN 'x' ELSE CAST(aqi AS VARCHAR) END AS aqi,
+         '{"sensor_id":"' || sensor_id || '","zone":"' || zone || '","aqi":'
+         || CASE WHEN event_id % 30 = 1 THEN '"x"' WHEN aqi IS NULL THEN 'null'
+                 ELSE '"' || CAST(aqi AS VARCHAR) || '"' END
+         || ',"event_id":' || CAST(event_id AS VARCHAR) || '}' AS j
+  FROM air_quality
+  UNION ALL
+  SELECT 'bus_gps', event_id, coalesce(lat, 0e0), coalesce(lon, 0e0), NULL,
+         '{"bus_id":"' || bus_id || '","route_id":"' || route_id || '","lat":'
+         || CAST(lat AS VARCHAR) || ',"lon":' || coalesce(CAST(lon AS VARCHAR), 'null')
+         || ',"event_id":' || CAST(event_id AS VARCHAR) || '}'
+  FROM bus_gps),
+judged AS (
+  SELECT *, CASE WHEN event_id % 50 = 7 THEN left(j, length(j) - 5)
+                 WHEN event_id % 70 = 9 THEN '1' || CAST(event_id AS VARCHAR) ELSE j END AS v,
+         CASE WHEN event_id % 50 = 7 OR event_id % 70 = 9 THEN 'UNPARSEABLE_JSON'
+              WHEN original_topic = 'air_quality' AND aqi IS NULL THEN 'NULL_AQI_VALUE'
+              WHEN original_topic = 'air_quality'
+                   AND NOT coalesce(TRY_CAST(aqi AS DOUBLE) BETWEEN 0 AND 500, false)
+                THEN 'OUT_OF_RANGE_AQI'
+              WHEN original_topic = 'bus_gps' AND NOT (lat BETWEEN 18.5 AND 19.5
+                                                       AND lon BETWEEN 72.5 AND 73.5)
+                THEN 'IMPOSSIBLE_GPS_COORDINATES' END AS error_reason
+  FROM texts)""".strip())
+
+
+def _q_incident_messages() -> str:
+    return f"""
+SELECT sensor_id AS key, incident_type, severity, message, CAST(NULL AS VARCHAR) AS bus_1,
+       CAST(aqi AS DOUBLE) AS measure, 4 AS n_fields, event_ms AS timestamp
+FROM ({_q_aqi_emergency()})
+UNION ALL
+SELECT junction_id, incident_type, severity, message, NULL, round(wait_1, 6), 4, event_ms
+FROM ({_q_gridlock()})
+UNION ALL
+SELECT route_id, incident_type, severity, NULL, bus_1, round(distance_meters, 6), 5, event_ms
+FROM ({_q_bunching()})"""
 
 
 def _q_valid_events() -> str:
@@ -211,7 +267,7 @@ FROM (
 WHERE high AND pos % 3 = 0""", "traffic_signals")
 
 
-def _q_bunching() -> str:
+def _q_bunching(silent: bool = False) -> str:
     body = """
 SELECT 'BUS_BUNCHING' AS incident_type, 'MEDIUM' AS severity, f.route_id,
        CASE WHEN fa.fn < fb.fn THEN f.b1 ELSE f.b2 END AS bus_1,
@@ -227,10 +283,18 @@ JOIN near p ON p.route_id = f.route_id AND p.b1 = f.b1 AND p.b2 = f.b2
 JOIN first_seen fa ON fa.route_id = f.route_id AND fa.bus_id = f.b1
 JOIN first_seen fb ON fb.route_id = f.route_id AND fb.bus_id = f.b2"""
     extra = """
+valid AS (
+  SELECT route_id, bus_id, lat, lon, event_time, event_id
+  FROM bus_gps WHERE lat BETWEEN 18.5 AND 19.5 AND lon BETWEEN 72.5 AND 73.5),
+silent AS (
+  SELECT route_id, 'BUS_SILENT' AS bus_id, lat, lon, event_time, -event_id - 1 AS event_id
+  FROM valid QUALIFY row_number() OVER (PARTITION BY route_id
+                                        ORDER BY event_time, event_id) = 1),
 g AS (
   SELECT route_id, bus_id, lat, lon, event_time AS t, event_id AS e,
          row_number() OVER (PARTITION BY route_id ORDER BY event_time, event_id) AS n
-  FROM bus_gps WHERE lat BETWEEN 18.5 AND 19.5 AND lon BETWEEN 72.5 AND 73.5),
+  FROM (""" + ("SELECT * FROM valid UNION ALL SELECT * FROM silent" if silent
+               else "SELECT * FROM valid") + """)),
 first_seen AS (SELECT route_id, bus_id, min(n) AS fn FROM g GROUP BY route_id, bus_id),
 iv AS (
   SELECT *, coalesce(lead(n) OVER (PARTITION BY route_id, bus_id ORDER BY n),
@@ -291,7 +355,8 @@ WHERE CAST(window_end AS TIMESTAMP)
 
 
 def _q_paced_stream() -> str:
-    return with_views("SELECT junction_id, zone, avg_wait_sec, event_id FROM traffic_signals",
+    return with_views("SELECT junction_id, zone, avg_wait_sec, event_id, 1 AS fast_copies\n"
+                      "FROM traffic_signals",
                       "traffic_signals")
 
 
@@ -318,6 +383,11 @@ def oracle_sql() -> dict[str, str]:
         "q_aqi_rolling_join": _q_advisories(10, 1),
         "q_aqi_emergency": _q_aqi_emergency(),
         "q_dead_letters": _q_dead_letters(),
+        "q_topic_dead_letters": _q_topic_dead_letters(),
+        "q_stream_topic_dead_letters": _q_topic_dead_letters(),
+        "q_incident_messages": _q_incident_messages(),
+        "q_stream_advisories_sql": _q_advisories(10, 2),
+        "q_stream_ward_messages": _q_ward_energy(),
         "q_valid_events": _q_valid_events(),
         "q_error_counts": _q_error_counts(),
         "q_route_enrichment": _q_route_enrichment(),
@@ -328,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "q_gridlock": _q_gridlock(),
         "q_bunching": _q_bunching(),
         "q_bunching_distributed": _q_bunching(),
+        "q_bunching_silent": _q_bunching(silent=True),
         "q_incidents": _q_incidents(),
         "q_aqi_rolling_sql": _q_advisories(10, 1),
         "q_aqi_advisories_join_first": _q_advisories(10, 2),

@@ -21,12 +21,15 @@ from citystream.operators.advisories import (advisories, advisories_sql, zone_ad
 from citystream.operators.bunching import bunching, latest_positions
 from citystream.operators.enrich import enrich, enrich_json
 from citystream.operators.gridlock import gridlock
-from citystream.operators.incidents import aqi_emergencies, incident_envelope, incidents
+from citystream.operators.incidents import (aqi_emergencies, incident_envelope,
+                                            incident_messages, incidents)
 from citystream.operators.summary import (advisory_preview, advisory_summary,
                                           advisory_totals)
 from citystream.operators.windows import rolling_aqi, ward_energy
-from citystream.schemas import SMART_METERS
-from citystream.sources.fixtures import Fixtures
+from citystream.schemas import ROUTE_SCHEDULE, SMART_METERS
+from citystream.session import scratch_path
+from citystream.sources.fixtures import Fixtures, raw_messages
+from citystream.sources.streams import read_lookup_csv, read_stored_parquet
 
 
 def _r6(c):
@@ -84,11 +87,47 @@ def _validated(fx: Fixtures) -> DataFrame:
 def q_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     air = Q.dead_letters(Q.validate(fx.air(), Q.AIR_QUALITY), Q.AIR_QUALITY)
-    air = air.withColumn("entity_id", F.get_json_object("failed_payload", "$.sensor_id"))
     gps = Q.dead_letters(Q.validate(fx.gps(), Q.BUS_GPS), Q.BUS_GPS)
-    gps = gps.withColumn("entity_id", F.get_json_object("failed_payload", "$.bus_id"))
-    return air.unionByName(gps).select("original_topic", "error_reason", "entity_id",
-                                       "event_id", "failed_at")
+    # As a consumer reads it: packed once, fields taken from the nested payload.
+    value = to_kv(air.unionByName(gps), "original_topic").select("value")
+    payload = F.get_json_object("value", "$.failed_payload")
+    return value.select(
+        F.get_json_object("value", "$.original_topic").alias("original_topic"),
+        F.get_json_object("value", "$.error_reason").alias("error_reason"),
+        F.coalesce(F.get_json_object(payload, "$.sensor_id"),
+                   F.get_json_object(payload, "$.bus_id")).alias("entity_id"),
+        F.get_json_object(payload, "$.aqi").alias("aqi"),
+        F.array_join(F.array_sort(F.json_object_keys(payload)), ",").alias("payload_fields"),
+        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object("value", "$.failed_at").cast("long").alias("failed_at"))
+
+
+def topic_dead_letters(validated: DataFrame) -> DataFrame:
+    """Dead letters of mixed raw messages, read back from their JSON values."""
+    kv = Q.dead_letter_messages(validated)
+    payload = F.get_json_object("value", "$.failed_payload")
+    keys = F.json_object_keys(payload)
+    return kv.select(
+        F.col("key").alias("original_topic"),
+        F.get_json_object("value", "$.error_reason").alias("error_reason"),
+        F.get_json_object(payload, "$.aqi").alias("aqi"),
+        F.array_contains(keys, "aqi").alias("has_aqi"), payload.alias("payload"))
+
+
+def q_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One mixed stream of raw bytes: parse, dispatch on topic, rules, pack."""
+    raw = raw_messages(Fixtures(spark, sf_dir).events)
+    out = topic_dead_letters(Q.validate_messages(raw))
+    return _letter_columns(out)
+
+
+def _letter_columns(out: DataFrame) -> DataFrame:
+    bad = F.col("error_reason") == Q.UNPARSEABLE_JSON
+    return out.select("original_topic", "error_reason", "aqi",
+                      F.coalesce("has_aqi", F.lit(False)).alias("has_aqi"),
+                      F.when(bad, F.col("payload")).alias("raw"),
+                      F.when(~bad, F.get_json_object("payload", "$.event_id").cast("long"))
+                      .alias("event_id"))
 
 
 def q_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,14 +140,24 @@ def q_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_route_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions with the fields of their route, from a lookup CSV in which
+    every route has an outdated row before its current one (the later wins)."""
     fx = Fixtures(spark, sf_dir)
-    return enrich(fx.gps(), fx.routes(), "route_id").select(
+    old = fx.routes().withColumn("route_name", F.lit("outdated"))
+    path = scratch_path(spark, "route_schedule")
+    old.unionByName(fx.routes()).coalesce(1).write.option("header", True).csv(path)
+    routes = read_lookup_csv(spark, path, ROUTE_SCHEDULE, "route_id")
+    return enrich(fx.gps(), routes, "route_id").select(
         "bus_id", "route_id", "lat", "lon", "event_id", "route_name", "terminal",
         "scheduled_arrival_time")
 
 
 def _stored_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text_window(_rolling_join(Fixtures(spark, sf_dir)))
+    """Advisories written as Parquet by one job and read back by another."""
+    path = scratch_path(spark, "stored_advisories")
+    rows = _text_window(_rolling_join(Fixtures(spark, sf_dir)))
+    rows.write.parquet(path)
+    return read_stored_parquet(spark, path, rows.schema)
 
 
 def q_advisory_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,12 +209,31 @@ def q_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
                     epoch_millis("event_time").alias("event_ms"))
 
 
-def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three detectors in one incident table (common envelope)."""
-    fx = Fixtures(spark, sf_dir)
-    allx = incidents(incident_envelope(aqi_emergencies(fx.air()), "sensor_id", "zone"),
+def _all_incidents(fx: Fixtures) -> DataFrame:
+    return incidents(incident_envelope(aqi_emergencies(fx.air()), "sensor_id", "zone"),
                      incident_envelope(gridlock(fx.traffic()), "junction_id", "zone"),
                      incident_envelope(bunching(_valid_gps(fx)), "route_id"))
+
+
+def q_incident_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All incidents as (key, JSON) messages, read back from the nested JSON."""
+    kv = incident_messages(_all_incidents(Fixtures(spark, sf_dir)))
+
+    def field(path: str):
+        return F.get_json_object("value", f"$.{path}")
+    measure = F.coalesce(field("details.aqi"), field("details.consecutive_wait_times[0]"),
+                         field("details.distance_meters"))
+    return kv.select(
+        "key", field("incident_type").alias("incident_type"), field("severity").alias("severity"),
+        field("details.message").alias("message"), field("details.bus_1").alias("bus_1"),
+        F.round(measure.cast("double"), 6).alias("measure"),
+        F.size(F.json_object_keys(field("details"))).alias("n_fields"),
+        field("timestamp").cast("long").alias("timestamp"))
+
+
+def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three detectors in one incident table (common envelope)."""
+    allx = _all_incidents(Fixtures(spark, sf_dir))
     return allx.select("incident_type", "severity", "entity_id", "zone", "timestamp",
                        "event_id")
 
@@ -208,8 +276,23 @@ def q_open_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bunching_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``q_bunching`` forced onto the distributed plan (no route gathered)."""
-    b = bunching(_valid_gps(Fixtures(spark, sf_dir)), max_route_rows=None)
+    """``q_bunching`` with narrow slices and pair buckets, so that every scan
+    crosses slice edges and every level of buckets is used."""
+    b = bunching(_valid_gps(Fixtures(spark, sf_dir)), seconds=3600, pair_seconds=30)
+    return b.select("incident_type", "severity", "route_id", "bus_1", "bus_2",
+                    "distance_meters", "duration_seconds", "event_id",
+                    epoch_millis("event_time").alias("event_ms"))
+
+
+def q_bunching_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching with a bus on each route that reports once, first, and then
+    never again: its position stays valid for the whole span."""
+    g = _valid_gps(Fixtures(spark, sf_dir))
+    row = F.struct("event_time", "event_id", "lat", "lon")
+    silent = (g.groupBy("route_id").agg(F.min(row).alias("r"))
+              .select(F.lit("BUS_SILENT").alias("bus_id"), "route_id", "r.lat", "r.lon",
+                      "r.event_time", (-F.col("r.event_id") - 1).alias("event_id")))
+    b = bunching(g.unionByName(silent))
     return b.select("incident_type", "severity", "route_id", "bus_1", "bus_2",
                     "distance_meters", "duration_seconds", "event_id",
                     epoch_millis("event_time").alias("event_ms"))
@@ -221,6 +304,8 @@ QUERIES = {
     "q_aqi_rolling_join": q_aqi_rolling_join,
     "q_aqi_emergency": q_aqi_emergency,
     "q_dead_letters": q_dead_letters,
+    "q_topic_dead_letters": q_topic_dead_letters,
+    "q_incident_messages": q_incident_messages,
     "q_valid_events": q_valid_events,
     "q_error_counts": q_error_counts,
     "q_route_enrichment": q_route_enrichment,
@@ -231,6 +316,7 @@ QUERIES = {
     "q_gridlock": q_gridlock,
     "q_bunching": q_bunching,
     "q_bunching_distributed": q_bunching_distributed,
+    "q_bunching_silent": q_bunching_silent,
     "q_incidents": q_incidents,
     "q_aqi_rolling_sql": q_aqi_rolling_sql,
     "q_aqi_advisories_join_first": q_aqi_advisories_join_first,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from citystream.functions.time import ntz_to_utc, utc_to_ntz
 from citystream.operators import quality as Q
-from citystream.operators.advisories import zone_advisories
+from citystream.operators.advisories import advisories_sql, zone_advisories
 from citystream.operators.windows import ward_energy
 from citystream.session import scratch_path
 from citystream.sources import fixtures as fx
@@ -138,17 +138,70 @@ def q_stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.join(last, "epoch").select("error_reason", "records")
 
 
-# Files (days) per micro-batch of the paced consumer.
+def q_stream_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed raw stream through rules to (key, value) dead letters."""
+    from citystream.plans.queries import _letter_columns, topic_dead_letters
+    raw = fx.raw_messages(event_stream(spark, sf_dir))
+    out = _letter_columns(topic_dead_letters(Q.validate_messages(raw)))
+    path = scratch_path(spark, "topic_letters")
+    _run(to_parquet(out, path, scratch_path(spark, "topic_letters_ckpt")))
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def q_stream_advisories_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advisories by the SQL form on a stream, update mode."""
+    air = _utc(fx.air_quality(event_stream(spark, sf_dir)))
+    zones = fx.zone_profile(fx.table(spark, sf_dir, "nation"))
+    adv = advisories_sql(air, zones, "10 minutes", "2 minutes", delay="10 minutes")
+    adv = (adv.withColumn("window_start", utc_to_ntz("window_start").cast("string"))
+              .withColumn("window_end", utc_to_ntz("window_end").cast("string")))
+    path = scratch_path(spark, "advisories_sql")
+    _run(fan_out(adv, [epoch_writer(path)], scratch_path(spark, "advisories_sql_ckpt"), "update"))
+    return _last_update(spark.read.parquet(path), ["zone", "window_start"]).select(*adv.columns)
+
+
+def _last_update(epochs: DataFrame, keys: list[str]) -> DataFrame:
+    """The last row of each key over the epochs of an update-mode table."""
+    rest = [c for c in epochs.columns if c not in (*keys, "epoch")]
+    return (epochs.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("v"))
+            .select(*keys, "v.*"))
+
+
+def q_stream_ward_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ward energy as (key = ward, JSON value) messages in update mode, read
+    back; the last message of each ward and window counts."""
+    agg = ward_energy(_utc(fx.meter_readings(event_stream(spark, sf_dir))), delay="45 minutes")
+    start, end = utc_to_ntz("window_start"), utc_to_ntz("window_end")
+    out = agg.select(start.cast("string").alias("window_start"),
+                     end.cast("string").alias("window_end"), "ward_id",
+                     F.date_format(start, "yyyy-MM-dd").alias("date"),
+                     "total_kwh_consumed", "avg_power_factor", "peak_voltage")
+    path = scratch_path(spark, "ward_messages")
+    _run(fan_out(out, [kv_json_writer(path, "ward_id")],
+                 scratch_path(spark, "ward_messages_ckpt"), "update"))
+    kv = spark.read.schema("key string, value string, epoch long").json(path)
+    rows = (kv.select("epoch", F.from_json("value", out.schema).alias("d")).select("epoch", "d.*"))
+    last = _last_update(rows, ["ward_id", "window_start"])
+    return last.select("window_start", "window_end", "ward_id", "date",
+                       *[F.round(c, 6).alias(c) for c in
+                         ("total_kwh_consumed", "avg_power_factor", "peak_voltage")])
+
+
+# Files per micro-batch of the paced consumer; hash buckets that a day is cut
+# into, so that no task writes or reads a whole day.
 PACED_FILES_PER_TRIGGER = 4
+PACED_BUCKETS = 4
 
 
 def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two consumers of one signal stream: an unthrottled one and a paced one
-    (a few day files per micro-batch).  Pacing changes batching, not results: the
-    paced query's rows are returned, and must equal the unpaced read."""
+    (a few files per micro-batch).  Pacing changes batching, not results: the
+    paced rows are returned, each with its number of copies in the other."""
     days = scratch_path(spark, "signals_by_day")
     ev = fx.table(spark, sf_dir, "events")
-    (ev.withColumn("day", F.to_date("ts")).repartition("day")
+    ev = ev.select("event_id", "user_id", "ts", "value")
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(PACED_BUCKETS))
+    (ev.withColumn("day", F.to_date("ts")).repartition("day", bucket)
        .write.partitionBy("day").parquet(days))
     schema = ev.schema
     fast_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet")
@@ -161,9 +214,10 @@ def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     slow = to_parquet(fx.traffic_signals(slow_src).select(*cols), slow_out,
                       scratch_path(spark, "slow_ckpt"))
     await_all(spark, [fast, slow])
-    return spark.read.schema(", ".join(
-        ["junction_id string", "zone string", "avg_wait_sec double", "event_id long"])
-    ).parquet(slow_out)
+    out = "junction_id string, zone string, avg_wait_sec double, event_id long"
+    copies = (spark.read.schema(out).parquet(fast_out).groupBy("event_id")
+              .agg(F.count(F.lit(1)).cast("int").alias("fast_copies")))
+    return spark.read.schema(out).parquet(slow_out).join(copies, "event_id", "left")
 
 
 STREAM_QUERIES = {
@@ -173,4 +227,7 @@ STREAM_QUERIES = {
     "q_stream_bunching": q_stream_bunching,
     "q_paced_stream": q_paced_stream,
     "q_stream_error_counts": q_stream_error_counts,
+    "q_stream_topic_dead_letters": q_stream_topic_dead_letters,
+    "q_stream_advisories_sql": q_stream_advisories_sql,
+    "q_stream_ward_messages": q_stream_ward_messages,
 }

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from citystream.functions.geo import EARTH_RADIUS_M
-from citystream.operators.bunching import HOLD_SEC, RADIUS_M
+from citystream.operators.bunching import HOLD_SEC, RADIUS_M, positioned
 from citystream.operators.gridlock import RUN_LENGTH, WAIT_LIMIT_SEC
 
 # The state functions run in Python workers.  Pickling this module's code by
@@ -49,33 +49,21 @@ def _gridlock_fn(limit: float, timeout_ms: int | None):
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts_us", "event_id"])
+        pdf = pd.concat(list(frames), ignore_index=True)
         run, w1, w2 = state.get if state.exists else (0, np.nan, np.nan)
-        w = pdf["avg_wait_sec"].astype("float64").fillna(0.0).to_numpy()
-        high = w > limit
-        idx = np.arange(len(w))
-        low_at = np.where(~high, idx, -1)
-        last_low = np.maximum.accumulate(low_at)
-        # Position in the current run; the first run continues the carried one.
-        pos = np.where(last_low >= 0, idx - last_low, idx + 1 + run)
-        alert = high & (pos % RUN_LENGTH == 0)
-        prev = np.concatenate([[w2, w1], w])          # waits with two carried in front
-        out = pdf.loc[alert, ["junction_id", "zone", "event_id", "ts_us"]].copy()
-        ai = idx[alert] + 2
-        out["wait_1"], out["wait_2"], out["wait_3"] = prev[ai - 2], prev[ai - 1], prev[ai]
-        last_run = int(pos[-1] % RUN_LENGTH) if high[-1] else 0
-        state.update((last_run, float(prev[-1]), float(prev[-2])))
+        out, new = _gridlock_step(pdf, run, w1, w2, limit)
+        state.update(new)
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        yield out.rename(columns={"ts_us": "event_us"})[
-            ["junction_id", "zone", "wait_1", "wait_2", "wait_3", "event_id", "event_us"]]
+        if len(out):
+            yield out
     return fn
 
 
 def gridlock_stream(signals: DataFrame, limit: float = WAIT_LIMIT_SEC,
                     t: str = "event_time", timeout_ms: int | None = None) -> DataFrame:
     """Gridlock alerts from a stream (append mode).  ``t`` must be TIMESTAMP."""
-    src = _with_us(signals, t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
+    src = _with_us(signals.where(F.col(t).isNotNull()), t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
     tconf = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     return src.groupBy("junction_id").applyInPandasWithState(
         _gridlock_fn(limit, timeout_ms), GRIDLOCK_OUT, GRIDLOCK_STATE, "append", tconf)
@@ -158,14 +146,15 @@ def _bunching_fn(radius: float, hold_us: int, timeout_ms: int | None):
                       [b for (_, b), _ in items], [v for _, v in items]))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame(rows, columns=ALERT_COLUMNS)
+        if rows:
+            yield pd.DataFrame(rows, columns=ALERT_COLUMNS)
     return fn
 
 
 def bunching_stream(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                     t: str = "event_time", timeout_ms: int | None = None) -> DataFrame:
     """Bunching alerts from a stream (append mode), keyed by route."""
-    src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
+    src = _with_us(positioned(gps, t), t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
     tconf = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
     out = src.groupBy("route_id").applyInPandasWithState(
         _bunching_fn(radius_m, hold_s * 1_000_000, timeout_ms), BUNCHING_OUT,
@@ -209,7 +198,8 @@ class GridlockProcessor:
                 run, w1, w2 = self.state.get() if self.state.exists() else (0, np.nan, np.nan)
                 out, new = _gridlock_step(pdf, run, w1, w2, limit)
                 self.state.update(new)
-                yield out
+                if len(out):
+                    yield out
 
             def close(self):
                 pass
@@ -241,7 +231,8 @@ class BunchingProcessor:
                 items = sorted(timers.items())
                 self.state.update((buses, lat, lon, [a for (a, _), _ in items],
                                    [b for (_, b), _ in items], [v for _, v in items]))
-                yield pd.DataFrame(out, columns=ALERT_COLUMNS)
+                if out:
+                    yield pd.DataFrame(out, columns=ALERT_COLUMNS)
 
             def close(self):
                 pass
@@ -252,7 +243,7 @@ def gridlock_stream_tws(signals: DataFrame, limit: float = WAIT_LIMIT_SEC,
                         t: str = "event_time", ttl_ms: int | None = None) -> DataFrame:
     """Gridlock through ``transformWithStateInPandas`` (needs the RocksDB
     state store); state of a silent junction expires after ``ttl_ms``."""
-    src = _with_us(signals, t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
+    src = _with_us(signals.where(F.col(t).isNotNull()), t).select("junction_id", "zone", "avg_wait_sec", "event_id", "ts_us")
     return src.groupBy("junction_id").transformWithStateInPandas(
         GridlockProcessor(limit, ttl_ms), GRIDLOCK_OUT, "append",
         "ProcessingTime" if ttl_ms else "None")
@@ -261,7 +252,7 @@ def gridlock_stream_tws(signals: DataFrame, limit: float = WAIT_LIMIT_SEC,
 def bunching_stream_tws(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
                         t: str = "event_time", ttl_ms: int | None = None) -> DataFrame:
     """Bunching through ``transformWithStateInPandas``, keyed by route."""
-    src = _with_us(gps, t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
+    src = _with_us(positioned(gps, t), t).select("route_id", "bus_id", "lat", "lon", "event_id", "ts_us")
     out = src.groupBy("route_id").transformWithStateInPandas(
         BunchingProcessor(radius_m, hold_s, ttl_ms), BUNCHING_OUT, "append",
         "ProcessingTime" if ttl_ms else "None")
