@@ -220,13 +220,14 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     best, best_at, run, start = 0.0, None, 0.0, 0
     for i, b in enumerate(found):
         words = len(texts[i].split())
-        score = sum(weights.get(t.lstrip("/"), DEFAULT_TAG if not weights else 0.0) for t in b.tags)
-        score += -WORD * words if b.boiler else WORD * words
-        if run <= 0:
-            # Tags before the region do not count against it.
-            run, start = (-WORD * words if b.boiler else WORD * words), i
+        worth = -WORD * words if b.boiler else WORD * words
+        cost = sum(weights.get(t.lstrip("/"), DEFAULT_TAG if not weights else 0.0) for t in b.tags)
+        # Tags before a region do not count against it: extend the run over
+        # them, or begin behind them, whichever is worth more.
+        if i and run + cost >= 0:
+            run += cost + worth
         else:
-            run += score
+            run, start = worth, i
         if run > best:
             best, best_at = run, (start, i)
     if best_at is None:
