@@ -345,6 +345,20 @@ SELECT incident_type, severity, route_id, CAST(NULL AS VARCHAR), event_ms, event
 FROM ({_q_bunching()})"""
 
 
+def _passed(alerts: str, valid_gps: bool) -> str:
+    """Alerts before the last watermark: the newest event time less the delay
+    that the ordered jobs take from the span of the events."""
+    src = ("FROM bus_gps WHERE lat BETWEEN 18.5 AND 19.5 AND lon BETWEEN 72.5 AND 73.5"
+           if valid_gps else "FROM traffic_signals")
+    newest = with_views(f"SELECT max(epoch_us(event_time)) // 1000 {src}",
+                        "bus_gps" if valid_gps else "traffic_signals")
+    width = "((max(epoch_us(ts)) - min(epoch_us(ts))) // 8 + 1)"
+    return f"""
+SELECT * FROM ({alerts})
+WHERE event_ms < ({newest})
+                 - (SELECT (2 * {width} // 1000000 + 1) * 1000 FROM events)"""
+
+
 def _q_stream_ward_energy() -> str:
     """Append mode emits a window once the watermark (max event time - 45 min)
     has passed its end; windows still open at the end of input stay out."""
@@ -408,6 +422,8 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_advisories": _q_advisories(10, 2),
         "q_stream_gridlock": _q_gridlock(),
         "q_stream_bunching": _q_bunching(),
+        "q_stream_gridlock_ordered": _passed(_q_gridlock(), False),
+        "q_stream_bunching_ordered": _passed(_q_bunching(), True),
         "q_paced_stream": _q_paced_stream(),
         "q_stream_error_counts": _q_error_counts(),
     }

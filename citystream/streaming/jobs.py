@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citystream.functions.time import ntz_to_utc, utc_to_ntz
+from citystream.functions.time import epoch_micros, ntz_to_utc, utc_to_ntz
 from citystream.operators import quality as Q
 from citystream.operators.advisories import advisories_sql, zone_advisories
 from citystream.operators.windows import ward_energy
@@ -22,7 +22,8 @@ from citystream.sources import fixtures as fx
 from citystream.sources.streams import read_stream
 from citystream.streaming.sinks import (await_all, epoch_writer, fan_out, kv_json_writer,
                                         to_parquet)
-from citystream.streaming.stateful import bunching_stream, gridlock_stream
+from citystream.streaming.stateful import (bunching_ordered, bunching_stream, gridlock_ordered,
+                                           gridlock_stream)
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
@@ -117,6 +118,58 @@ def q_stream_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
+# The ordered jobs' input: slots of event time, each a file of its own, with one
+# row in five a slot late; and a watermark delay that covers that disorder.
+SLOTS, LATE_EVERY = 8, 5
+
+
+def _late_slots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """``events`` as a stream of several micro-batches whose rows come out of
+    order by up to two slots; and the delay that waits for all of them."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    us = epoch_micros("ts")
+    r = ev.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    lo, width = r["lo"] or 0, max(1, ((r["hi"] or 0) - (r["lo"] or 0)) // SLOTS + 1)
+    slot = (F.floor((us - lo) / width)
+            + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0)).cast("int")
+    path = scratch_path(spark, "late_slots")
+    cut = ev.withColumn("slot", slot)
+    for i in range(SLOTS + 1):  # one after the other: files are read by age
+        cut.where(F.col("slot") == i).drop("slot").coalesce(1).write.parquet(f"{path}/slot={i}")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", True).parquet(path))
+    return stream, f"{2 * width // 1_000_000 + 1} seconds"
+
+
+def q_stream_gridlock_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gridlock in event order over many micro-batches with late rows: the
+    batch alerts, up to the last watermark."""
+    events, delay = _late_slots(spark, sf_dir)
+    alerts = gridlock_ordered(_utc(fx.traffic_signals(events)), delay=delay)
+    path = scratch_path(spark, "gridlock_ordered")
+    _run(to_parquet(alerts, path, scratch_path(spark, "gridlock_ordered_ckpt")))
+    from citystream.operators.incidents import GRIDLOCK_MESSAGE, HIGH, TRAFFIC_GRIDLOCK
+    return spark.read.schema(alerts.schema).parquet(path).select(
+        F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), F.lit(HIGH).alias("severity"),
+        "junction_id", "zone", "wait_1", "wait_2", "wait_3",
+        F.lit(GRIDLOCK_MESSAGE).alias("message"), "event_id",
+        F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
+
+
+def q_stream_bunching_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching in event order over many micro-batches with late rows."""
+    events, delay = _late_slots(spark, sf_dir)
+    gps = Q.valid_records(Q.validate(_utc(fx.bus_gps(events)), Q.BUS_GPS))
+    alerts = bunching_ordered(gps, delay=delay)
+    path = scratch_path(spark, "bunching_ordered")
+    _run(to_parquet(alerts, path, scratch_path(spark, "bunching_ordered_ckpt")))
+    from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
+    return spark.read.schema(alerts.schema).parquet(path).select(
+        F.lit(BUS_BUNCHING).alias("incident_type"), F.lit(MEDIUM).alias("severity"),
+        "route_id", "bus_1", "bus_2", "distance_meters", "duration_seconds", "event_id",
+        F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
+
+
 def stream_error_counts(validated: DataFrame, path: str, checkpoint: str,
                         trigger: dict | None = None):
     """Running dead-letter counts (per reason + scanned total) as a complete-
@@ -225,6 +278,8 @@ STREAM_QUERIES = {
     "q_stream_advisories": q_stream_advisories,
     "q_stream_gridlock": q_stream_gridlock,
     "q_stream_bunching": q_stream_bunching,
+    "q_stream_gridlock_ordered": q_stream_gridlock_ordered,
+    "q_stream_bunching_ordered": q_stream_bunching_ordered,
     "q_paced_stream": q_paced_stream,
     "q_stream_error_counts": q_stream_error_counts,
     "q_stream_topic_dead_letters": q_stream_topic_dead_letters,

@@ -1,11 +1,20 @@
 """Streaming forms of the two stateful detectors (keyed state, Arrow batches).
 
-Each micro-batch of a key (junction / route) arrives as pandas frames; rows
-are ordered by (event time, event id) inside the batch, state carries what
-the rule needs across batches, and an optional processing-time timeout
-drops idle keys (the reference never evicts).  On one batch holding all
-rows, the output equals the batch operators in ``operators.gridlock`` and
-``operators.bunching``.
+Each micro-batch of a key (junction / route) arrives as pandas frames and
+state carries what the rule needs across batches.  Two orders:
+
+* arrival order (``gridlock_stream``, ``bunching_stream``): rows are ordered by
+  (event time, event id) inside a micro-batch only, so alerts come at once but
+  depend on how the input is cut into batches;
+* event order (``gridlock_ordered``, ``bunching_ordered``): rows wait in state
+  until the watermark has passed them and then go through the rule in (event
+  time, event id) order.  Alerts come ``delay`` later and are the same however
+  the input is cut, as long as no row is later than the watermark; those of
+  the batch operators, up to the last watermark.
+
+Rows without event time or position take no part, as in the batch forms.
+Idle keys leave by a processing-time timeout (arrival order); in event order a
+bus that was silent for ``silent_s`` leaves its route's state with its timers.
 """
 
 from __future__ import annotations
@@ -162,6 +171,97 @@ def bunching_stream(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HO
     return out.withColumn("distance_meters", F.round("distance_meters", 2))
 
 
+# --- event order: rows wait for the watermark ---------------------------------
+
+def _event_order(rule, out_columns: list[str], cols: list[str]):
+    """State function that releases rows to ``rule`` in event order.
+
+    ``rule(key, rows, state or None, watermark_us) -> (alerts, state tuple)``;
+    behind the rule's own state come one array for each of ``cols``: the rows
+    that the watermark has not passed."""
+    def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
+        own, parts = None, [f[cols] for f in frames]
+        if state.exists:
+            held = state.get
+            own = held[:-len(cols)]
+            parts.append(pd.DataFrame(dict(zip(cols, map(list, held[-len(cols):])))))
+        rows = pd.concat([f for f in parts if len(f)] or parts, ignore_index=True)
+        passed = rows["ts_us"].to_numpy(np.int64) < now * 1000
+        ready = rows[passed].sort_values(["ts_us", "event_id"])
+        alerts, own = rule(key, ready, own, now * 1000)
+        rest = rows[~passed]
+        state.update((*own, *[rest[c].tolist() for c in cols]))
+        if len(rest):
+            state.setTimeoutTimestamp(max(int(rest["ts_us"].min()) // 1000, now + 1))
+        if len(alerts):
+            yield alerts[out_columns]
+    return fn
+
+
+def _ordered(rows: DataFrame, key: str, t: str, delay: str, rule, out: str, state: str,
+             buffer: str) -> DataFrame:
+    columns = [c.split()[0] for c in out.split(", ")]
+    cols = [c.split()[0] for c in buffer.split(", ")]
+    held = ", ".join(f"_{c.split()[0]} array<{c.split()[1]}>" for c in buffer.split(", "))
+    return (_with_us(rows.withWatermark(t, delay), t).select(key, t, *cols)
+            .groupBy(key).applyInPandasWithState(
+                _event_order(rule, columns, cols), out, f"{state}, {held}", "append",
+                GroupStateTimeout.EventTimeTimeout))
+
+
+def gridlock_ordered(signals: DataFrame, limit: float = WAIT_LIMIT_SEC, t: str = "event_time",
+                     delay: str = "10 minutes") -> DataFrame:
+    """Gridlock alerts in event order behind a ``delay`` watermark."""
+    def rule(key, rows, state, watermark):
+        run, w1, w2 = state or (0, np.nan, np.nan)
+        if not len(rows):
+            return rows, (run, w1, w2)
+        return _gridlock_step(rows.assign(junction_id=key[0]), run, w1, w2, limit)
+    src = signals.where(F.col(t).isNotNull()).withColumn(
+        "avg_wait_sec", F.coalesce(F.col("avg_wait_sec").cast("double"), F.lit(0.0)))
+    return _ordered(src, "junction_id", t, delay, rule, GRIDLOCK_OUT, GRIDLOCK_STATE,
+                    "ts_us long, event_id long, avg_wait_sec double, zone string")
+
+
+def drop_silent(state: tuple, seen: list, before_us: int) -> tuple[tuple, list]:
+    """Route state (as of BUNCHING_STATE) without buses last seen before
+    ``before_us`` and without their pair timers."""
+    buses, lat, lon, pi, pj, tm = state
+    keep = [i for i, us in enumerate(seen) if us >= before_us]
+    if len(keep) == len(buses):
+        return state, seen
+    new = {old: i for i, old in enumerate(keep)}
+    pairs = [(new[a], new[b], c) for a, b, c in zip(pi, pj, tm) if a in new and b in new]
+    return (([buses[i] for i in keep], [lat[i] for i in keep], [lon[i] for i in keep],
+             [p[0] for p in pairs], [p[1] for p in pairs], [p[2] for p in pairs]),
+            [seen[i] for i in keep])
+
+
+def bunching_ordered(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
+                     t: str = "event_time", delay: str = "10 minutes",
+                     silent_s: int | None = None) -> DataFrame:
+    """Bunching alerts in event order behind a ``delay`` watermark; a bus not
+    seen for ``silent_s`` seconds of event time is forgotten."""
+    def rule(key, rows, state, watermark):
+        buses, lat, lon, pi, pj, tm, seen = map(list, state or ([],) * 7)
+        timers = {(int(a), int(b)): int(c) for a, b, c in zip(pi, pj, tm)}
+        alerts = bunch_events(key[0], rows, buses, lat, lon, timers, radius_m, hold_s * 1_000_000)
+        last = rows.groupby("bus_id")["ts_us"].max()
+        seen += [0] * (len(buses) - len(seen))
+        seen = [max(s, int(last.get(b, 0))) for b, s in zip(buses, seen)]
+        items = sorted(timers.items())
+        new = (buses, lat, lon, [a for (a, _), _ in items], [b for (_, b), _ in items],
+               [v for _, v in items])
+        if silent_s:
+            new, seen = drop_silent(new, seen, watermark - silent_s * 1_000_000)
+        return pd.DataFrame(alerts, columns=ALERT_COLUMNS), (*new, seen)
+    out = _ordered(positioned(gps, t), "route_id", t, delay, rule, BUNCHING_OUT,
+                   BUNCHING_STATE + ", seen array<long>",
+                   "ts_us long, event_id long, bus_id string, lat double, lon double")
+    return out.withColumn("distance_meters", F.round("distance_meters", 2))
+
+
 # --- transformWithStateInPandas forms (Spark 4 API, state TTL) --------------
 
 def _gridlock_step(pdf: pd.DataFrame, run: int, w1: float, w2: float, limit: float):
