@@ -13,10 +13,10 @@ more than 25 about once in a million.  Every link is confirmed on full sets.
 Large buckets (a group of copies may hold a third of all rows) are never
 paired off.  First all members are compared with their bucket's smallest class,
 which joins most of a group with one link a member.  Buckets that still hold
-several components go on: small ones (``SMALL`` members) give their pairs of
-different components within the radius; the members of larger ones are packed,
-signatures and full sets, into blocks, and the block pairs that share a bucket
-are compared block against block, where candidates are confirmed on the spot
+several components go on: members of larger ones (over ``SMALL``) are packed,
+signatures and full sets, into blocks; small buckets give their pairs of
+different components within the radius where one is not packed.  Block pairs
+that share a bucket are compared block against block, where candidates are confirmed on the spot
 and only the links that join something leave.  No pair is dropped.
 
 Defined results: null or word-less text -- empty set, ``n_shingles`` 0, a
@@ -46,7 +46,7 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 #: Members of a bucket up to which its open pairs are listed.
 SMALL = 32
 #: Classes, and bytes of full sets, in one block of larger buckets.
-BLOCK, BLOCK_BYTES = 256, 4 << 20
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 
 _rng = np.random.default_rng(20240)
 _BYTE = _rng.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -192,18 +192,22 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, cls, label, sig) sorted by key: pairs of a bucket that differ
-    in label and are within the radius."""
+    """Rows (key, cls, label, packed, sig) sorted by key: pairs of a bucket that
+    differ in label, are within the radius and are not both in blocks."""
     def flush(parts):
-        cls, label, sig = (np.concatenate(x) for x in zip(*parts))
+        cls, label, packed, sig = (np.concatenate(x) for x in zip(*parts))
+        if packed.all():
+            return []
         i, j = np.nonzero(np.triu((_distances(sig, sig) <= RADIUS)
-                                  & (label[:, None] != label[None, :])))
+                                  & (label[:, None] != label[None, :])
+                                  & ~(packed[:, None] & packed[None, :])))
         return [(cls[i], cls[j])] if len(i) else []
 
     last, parts = None, []
     for b in batches:
         key, cls, label = (b.column(k).to_numpy() for k in range(3))
-        sig = _sig_array(b.column(3))
+        packed = b.column(3).to_numpy(zero_copy_only=False).astype(bool)
+        sig = _sig_array(b.column(4))
         cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
         out = []
         for lo, hi in zip(cuts, cuts[1:]):
@@ -213,7 +217,7 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out += flush(parts)
                 parts = []
             last = key[lo]
-            parts.append((cls[lo:hi], label[lo:hi], sig[lo:hi]))
+            parts.append((cls[lo:hi], label[lo:hi], packed[lo:hi], sig[lo:hi]))
         if out:
             yield _pairs(out)
     if parts and (out := flush(parts)):
@@ -339,19 +343,29 @@ def _rest_links(live: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataF
                                    F.count("*").alias("m"))
              .where("lo <> hi").select("key", "m"))
     at = stored(at.join(open_, "key").select("key", "cls", "label", "head", "m"), "open")
-    small = (at.where(F.col("m") <= SMALL).join(sigs, "cls").select("key", "cls", "label", "sig")
+    # Classes of larger buckets are packed; in all their buckets, small ones
+    # too, they meet block against block.
+    hot = (at.where(F.col("m") > SMALL).groupBy("cls")
+           .agg(F.min("head").alias("anchor"), F.min("label").alias("label")))
+    members = hot.join(sigs, "cls").join(sets, "cls")
+    at = at.join(hot.select("cls", F.lit(True).alias("packed")), "cls", "left") \
+        .withColumn("packed", F.coalesce("packed", F.lit(False)))
+    some = (at.where(F.col("m") <= SMALL).groupBy("key").agg(F.min("packed").alias("all"))
+            .where(~F.col("all")).select("key"))
+    small = (at.join(some, "key", "left_semi").join(sigs, "cls")
+             .select("key", "cls", "label", "packed", "sig")
              .repartition("key").sortWithinPartitions("key")
              .mapInArrow(_open_pairs, "a long, b long").distinct())
     links = confirmed(small, "small")
-    large = at.where(F.col("m") > SMALL)
-    members = (large.groupBy("cls").agg(F.min("head").alias("anchor"), F.min("label").alias("label"))
-               .join(sigs, "cls").join(sets, "cls"))
-    blocks = stored(members.repartitionByRange("anchor", "label", "cls")
+    # A few blocks a task: neighbouring ranges are put together, so that blocks
+    # are full however many partitions the session deals rows to.
+    tasks = max(1, -(-hot.count() // (4 * BLOCK)))
+    blocks = stored(members.repartitionByRange("anchor", "label", "cls").coalesce(tasks)
                     .sortWithinPartitions("anchor", "label", "cls")
                     .select("cls", "label", "sig", "sh").mapInArrow(_pack_blocks, _BLOCK_TYPE),
                     "blocks")
     of = blocks.select("block", "cs").mapInArrow(_members, "block long, cls long")
-    spots = large.select("key", "cls").join(of, "cls").select("key", "block").distinct()
+    spots = at.where("packed").select("key", "cls").join(of, "cls").select("key", "block").distinct()
     info = blocks.select("block", "lo", "hi")
 
     def side(name: str) -> DataFrame:
