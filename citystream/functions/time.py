@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -67,8 +66,3 @@ def split_id(c, seconds: int) -> Column:
     Used to split a hot key's ordered sequence into bounded pieces.
     """
     return F.floor(epoch_micros(c) / F.lit(int(seconds) * 1_000_000)).cast("long")
-
-
-def is_timestamp(df, name: str) -> bool:
-    t = df.schema[name].dataType
-    return isinstance(t, (TimestampType, TimestampNTZType))

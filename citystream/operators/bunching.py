@@ -225,7 +225,7 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     # Slices sized for the busiest route, the widest key of every scan below.
     seconds = seconds or slice_seconds_for(stats)
     pair_seconds = pair_seconds or pair_bucket_seconds(g, stats)
-    # Reliable checkpoints (shared folder) cut the lineage between phases.
+    # Tables in the shared folder cut the lineage between phases.
     seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
     isl = cut(islands(seg, seconds))
 

@@ -9,8 +9,8 @@ self-joins, descend from the top level to find the binary decomposition of
 each island's chain length, then expand the chosen jumps back into single
 steps.  A tick is (key, time, id): ids need to be unique only within a key and
 time.  Joins are on whole ticks, so no key is hot however skewed routes or
-islands are.  Each level is checkpointed (reliable, in
-``spark.checkpoint.dir``), and levels end when no tick has a further jump.
+islands are.  Each level is a table in the shared folder (``session.cut``),
+and levels end when no tick has a further jump.
 """
 
 from __future__ import annotations

@@ -1,7 +1,6 @@
 """Wire and table schemas (one place, no inference)."""
 
-from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType)
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 
 def _s(*fields):
@@ -35,10 +34,3 @@ ZONE_PROFILE = _s(("zone", StringType()), ("zone_name", StringType()),
 ROUTE_SCHEDULE = _s(("route_id", StringType()), ("route_name", StringType()),
                     ("terminal", StringType()),
                     ("scheduled_arrival_time", StringType()))
-
-# Kafka source rows.
-KAFKA_RECORD = _s(("key", StringType()), ("value", StringType()),
-                  ("topic", StringType()), ("partition", IntegerType()),
-                  ("offset", LongType()))
-
-WAIT_TIMES = ArrayType(DoubleType())

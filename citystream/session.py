@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -18,9 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Iterative plans (pointer doubling) checkpoint every level; drop the
-    # files once nothing references them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -75,31 +72,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/citystream/{name}-{uuid.uuid4().hex[:12]}"
+_CLEANED: set[str] = set()
 
 
-def cut(df):
-    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unique folder below the shared checkpoint root, in the folder of
+    this application, which is removed when the driver's Python ends."""
+    app = f"{checkpoint_root(spark).rstrip('/')}/citystream/{spark.sparkContext.applicationId}"
+    if app not in _CLEANED:
+        _CLEANED.add(app)
+        atexit.register(_remove, spark.sparkContext._jvm,
+                        spark.sparkContext._jsc.hadoopConfiguration(), app)
+    return f"{app}/{name}-{uuid.uuid4().hex[:12]}"
 
-    The frame is persisted while the checkpoint is written, so the plan runs
-    once (an RDD checkpoint otherwise recomputes its input to write it); the
-    cache is released afterwards.  If an executor is lost meanwhile, its
-    cached blocks are rebuilt from lineage; after the cut, from the files.
-    """
-    from pyspark import StorageLevel
-    checkpoint_root(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+def _remove(jvm, conf, folder: str) -> None:
     try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the JVM has gone first: the files stay
+        pass
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def cut(df):
+    """Cut lineage: write ``df`` as a table in the shared folder and reread it.
+
+    One job, columns prunable, sizes known to the planner.  If an executor is
+    lost, later reads come from the files."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
