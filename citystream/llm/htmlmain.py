@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from citystream.llm.common import read, small_batches
 
 WORD, DEFAULT_TAG = 1.0, -3.25
+#: Open elements at most; deeper ones count as their parent's, as in browsers.
+DEPTH = 512
 
 # Element names of HTML by what they mean here.
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "math", "canvas",
@@ -66,7 +68,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|>|.*\Z)|<!\[CDATA\[.*?\]\]>|<\?[^>]*>"
-    r"|<(/?)([a-zA-Z!][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>"
+    r"|<(/?)([a-zA-Z!][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|([^<]+)|(<)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ARTICLE = re.compile(r"itemprop\s*=\s*[\"']?articleBody", re.I)
@@ -155,6 +157,8 @@ def blocks(page: str) -> list[Block]:
             up_boiler, up_content = (stack[-1][2], stack[-1][3]) if stack else (False, False)
             content = up_content or tag in CONTENT or bool(attrs and _ARTICLE.search(attrs))
             number += 1
+            if len(stack) >= DEPTH:
+                continue
             if tag in ("html", "body") and any(s[0] == tag for s in stack):
                 continue
             stack.append((tag, number, up_boiler or _is_boiler(tag, attrs or "", up_content),

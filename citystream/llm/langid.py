@@ -42,6 +42,8 @@ PENALTY = 12.0
 CHUNK = 64
 #: A language uses a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.02
+#: Languages a model can hold (its table has 1 MB for each); more are refused.
+MAX_LANGUAGES = 300
 UNKNOWN = "und"
 
 #: First code points of Unicode script ranges and their scripts.
@@ -142,12 +144,14 @@ def train(docs: DataFrame, where: str = "true") -> dict:
     and that have text and lang.  The model has one weight for each language
     and trigram class; the number of languages bounds it, not the data."""
     small_batches(docs.sparkSession)
-    known = docs.select("lang", F.col("text").cast("string")).where(where) \
-        if where == "true" else docs.where(where).select("lang", F.col("text").cast("string"))
-    known = known.where("lang is not null and text is not null and lang <> ''")
-    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    known = (docs.where(where).select("lang", F.col("text").cast("string"))
+             .where("lang is not null and text is not null and lang <> ''"))
+    langs = sorted(r["lang"] for r in
+                   known.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if not langs:
         return {"langs": []}
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang: not a column of languages")
     sums = (known.mapInArrow(_counter(langs), "kind string, lang int, code int, n long")
             .groupBy("kind", "lang", "code").agg(F.sum("n").alias("n")).toArrow())
     kind = np.array(sums.column("kind").to_pylist())

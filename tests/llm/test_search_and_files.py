@@ -149,6 +149,8 @@ MAIN = ["Title & more", "First para with many words, bold words é.",
     (FULL, MAIN), (None, []), ("", []), ("   ", []), ("<p>x", ["x"]), ("</p></div>hello<b>", ["hello"]),
     ("<!-- never ends", []), ("&amp;&#x41;", ["&A"]), ("<script>x", []),
     ("<article><p>a &lt;b&gt; c</p>\n<p>\xa0 </p></article>", ["a <b> c"]),
+    ("<div>" * 30_000 + "deep" + "</div>" * 30_000, ["deep"]),
+    ("<a <a <b" * 20_000, ["<a <a <b" * 20_000]),
     ("<nav>" + "<a>menu</a>" * 50 + "</nav><article><p>one</p></article>", ["one"]),
 ])
 def test_main_text(page, want):
