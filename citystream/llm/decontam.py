@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
 from citystream.llm.common import mix64, read, small_batches
-from citystream.llm.langid import _tables as _unicode
+from citystream.llm.langid import unicode_tables
 
 WINDOW, LITERALS, SHORTEST = 8, 5, 4
 COVER = 0.3
@@ -78,7 +78,7 @@ def _digit_table() -> tuple[np.ndarray, np.ndarray]:
     """(digit, upper-case letter) tests of each code point."""
     if not _EXTRA:
         import unicodedata
-        t = _unicode()
+        t = unicode_tables()
         n = len(t["letter"])
         _EXTRA["digit"] = np.fromiter((unicodedata.category(chr(i)) == "Nd" for i in range(n)),
                                       bool, n)
@@ -93,7 +93,7 @@ def template(texts: list[str]):
     are capitalised words (one capital, then none) that do not begin a text, a
     line or a sentence."""
     digit, upper = _digit_table()
-    t = _unicode()
+    t = unicode_tables()
     raw = "\n".join(texts).encode("utf-32-le", "surrogatepass")
     cp = np.frombuffer(raw, np.uint32)
     none = np.zeros(0, np.uint64)

@@ -68,7 +68,7 @@ SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def _tables() -> dict[str, np.ndarray]:
+def unicode_tables() -> dict[str, np.ndarray]:
     """Letter test, lower case and script of each code point (built once)."""
     if not _TABLES:
         n = 0x110000
@@ -88,7 +88,7 @@ def _tables() -> dict[str, np.ndarray]:
 
 def words(texts: list[str]):
     """(trigram classes, first trigram, letters, script, text) of all words."""
-    t = _tables()
+    t = unicode_tables()
     raw = "\n".join(texts).encode("utf-32-le", "surrogatepass")
     cp = np.frombuffer(raw, np.uint32)
     ends = np.cumsum([len(x) + 1 for x in texts])
