@@ -39,7 +39,8 @@ REVISIT_BYTES = 100
 SPLIT = 4 << 20
 READ = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
-#: Most bytes of a member that are decoded to look for its record header.
+#: Bytes of a member that are decoded at first to look for its record header;
+#: more are, up to its blank line, as long as it begins like one.
 HEADER_BYTES = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -130,32 +131,29 @@ class _Window:
 def _member(win: _Window):
     """(record, bytes used) of the member at the window's start, or None."""
     unpack = zlib.decompressobj(31)
-    got, fed, checked = [], 0, False
-    have = 0
+    got, fed, head, checked = [], 0, b"", False
     while not unpack.eof:
         if fed >= len(win.data) and not win.more():
             return None
         piece = win.data[fed:fed + READ]
+        fed += len(piece)
         try:
-            text = unpack.decompress(piece, 0 if checked else HEADER_BYTES)
-            if not checked:
-                if not _is_record(text) and (len(text) >= HEADER_BYTES or unpack.eof):
-                    return None
-                if text and not text.startswith(b"WARC/1."[:len(text)]):
+            while not checked and piece and not unpack.eof:
+                # The header may end in bytes not read yet, however long it is.
+                head += unpack.decompress(piece, max(HEADER_BYTES, len(head)))
+                piece = unpack.unconsumed_tail
+                if not head.startswith(b"WARC/1."[:len(head)]):
                     return None
-                checked = bool(_is_record(text)) or checked
-                rest = unpack.unconsumed_tail
-                if rest:
-                    text += unpack.decompress(rest)
-                if not checked and not _is_record(text):
-                    return None
-                checked = True
+                if b"\r\n\r\n" in head:
+                    if not _is_record(head):
+                        return None
+                    checked = True
+                    got.append(head)
+            if piece and not unpack.eof:
+                got.append(unpack.decompress(piece))
         except zlib.error:
             return None
-        got.append(text)
-        have += len(text)
-        fed += len(piece)
-    return b"".join(got), fed - len(unpack.unused_data)
+    return (b"".join(got), fed - len(unpack.unused_data)) if checked else None
 
 
 def records(src, start: int, end: int) -> Iterator[bytes]:

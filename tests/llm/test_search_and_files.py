@@ -83,6 +83,39 @@ def test_warc_round_trip_for_every_split(spark, tmp_path):
     assert none.count() == 0 and warc.read_warc(none, str(tmp_path / "e")).count() == 0
 
 
+def test_warc_header_across_read_edges(spark, tmp_path):
+    """Small pages over several MB: members begin with any number of bytes left
+    in the window; one header is longer than what is decoded at first."""
+    r = np.random.default_rng(7)
+    rows = [(i, f"http://a/{i}", r.bytes(int(r.integers(20, 900))).hex()) for i in range(8000)]
+    rows.append((8000, "http://a/" + r.bytes(70_000).hex(), "far"))
+    folder = str(tmp_path)
+    digest = {i: hashlib.sha256(h.encode()).hexdigest() for i, _, h in rows}
+    raw = b"".join(warc._record(i, u, h.encode(), digest[i], len(h), None) for i, u, h in rows)
+    (tmp_path / "one.warc.gz").write_bytes(raw)
+    assert len(raw) > 3 * warc.READ
+    files = spark.createDataFrame([("one.warc.gz", len(raw))], "file string, size long")
+    want = sorted((i, len(u), digest[i]) for i, u, _ in rows)
+    for split in (300_007, warc.SPLIT):
+        got = warc.read_warc(files, folder, split=split).collect()
+        assert sorted((x.page_id, len(x.url), x.payload_digest) for x in got) == want
+
+
+def test_warc_header_across_every_read_edge(monkeypatch):
+    """Blocks of a few bytes: the header's end is never in the first one."""
+    import io
+    raw = b"".join(warc._record(i, "u" * 50 * i, b"x" * i, "d", i, None) for i in range(5))
+
+    class Source(io.BytesIO):
+        def read_at(self, n, at):
+            return self.getvalue()[at:at + n]
+    for size in (1, 3, 64, 300):
+        monkeypatch.setattr(warc, "READ", size)
+        for edge in range(0, len(raw), 37):
+            own = [*warc.records(Source(raw), 0, edge), *warc.records(Source(raw), edge, len(raw))]
+            assert [warc.parse(x)["page_id"] for x in own] == [0, 1, 2, 3, 4]
+
+
 def test_damaged_record_is_noticed(spark, tmp_path):
     folder = str(tmp_path / "w")
     files = warc.write_warc(spark.createDataFrame([(1, "u", "abc")], PAGE), folder)
