@@ -17,6 +17,8 @@ from citystream.llm.common import read, small_batches, stored
 #: A document is rejected as of no known language below this score: the share
 #: of its letters in its main language times that language's certainty.
 LANGUAGE_SCORE = 0.3
+#: Near-duplicates share this percentage of their word shingles or more.
+NEAR_PERCENT = 80
 
 
 def _base(docs: DataFrame) -> list[str]:
@@ -41,7 +43,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each near-duplicate group stays."""
     small_batches(spark)
-    return neardup.deduplicate(docs)
+    return neardup.deduplicate(docs, percent=NEAR_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,26 @@ def test_stages_in_turn(spark):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_near_duplicates_from_80_percent(spark, documents, prose):
+    """Copies with similarities on both sides of 0.80, most below 0.85."""
+    from tests.llm.test_neardup import _sets, brute
+    rows = []
+    for g in range(60):
+        words = prose(g, 300).split()
+        changed = words.copy()
+        for k in range(4 + g % 5):
+            changed[20 + 35 * k] = f"x{g}q{k}"
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(changed))]
+    sets = _sets(rows)
+    like = [len(sets[2 * g] & sets[2 * g + 1]) / len(sets[2 * g] | sets[2 * g + 1])
+            for g in range(60)]
+    assert sum(0.80 <= x < 0.85 for x in like) >= 20 and min(like) < 0.80
+    want = brute(rows, 80)
+    kept = {r.doc_id for r in P.near_duplicate_stage(spark, documents(rows), SF).collect()}
+    assert kept == {i for i, (_, _, stays) in want.items() if stays}
+    assert kept != {i for i, (_, _, stays) in brute(rows).items() if stays}
+
+
 def test_odd_rows_pass_every_stage(spark, tables, documents, prose):
     """Nulls anywhere, empty and long texts, repeated rows, other columns."""
     clean = [(i, prose(i, 60), "en", "s", 1) for i in range(30)]
