@@ -4,15 +4,21 @@ Texts become templates: numbers, names and units of measure are replaced by
 typed slots, all other words are lower-cased.  Windows of ``WINDOW`` template
 words are hashed, so a question whose numbers or names were changed has the
 same windows as the original.  Document windows meet benchmark windows in a
-hash join; windows with fewer than ``LITERALS`` plain words say too little and
-are not used.  What matched is aligned (same offset between document and
+hash join; windows with fewer than ``LITERALS`` plain words say too little as
+templates.  What matched is aligned (same offset between document and
 item), and slots are checked: within an alignment each value in the item must
 always stand for the same value in the document ("3 ... 3" may become
 "5 ... 5", not "5 ... 7").  A document is contaminated by an item if
 consistent alignments cover at least ``COVER`` of the item's windows.
 
-Items shorter than a window are one window of their own length, from
-``SHORTEST`` words on.  Before the join, documents' windows pass a bit table
+Items shorter than a window are one window of their own length, as templates
+from ``SHORTEST`` words on.  Verbatim copies (but for case and punctuation) are
+found whatever the templates say: an item's first window and every window that
+is no template join by the words themselves, and an item is found too if
+windows of both sorts cover ``COVER`` of all its windows.  An item of one word
+so flags each document with that word.  Whether an item's first word is a name
+cannot be told, so its first window is indexed with a plain word and with a
+name.  Before the join, documents' windows pass a bit table
 of the benchmark's window hashes: its size is fixed (2 ** ``FILTER_BITS``
 bits), whatever the benchmark's; false hits fall out of the join.
 
@@ -55,6 +61,8 @@ UNITS = [
 ]
 _MUL = mix64(np.arange(11, 11 + WINDOW, dtype=np.uint64)) | np.uint64(1)
 _SLOT = mix64(np.arange(101, 105, dtype=np.uint64))
+#: Added to the size in the hash of a window of words themselves.
+_EXACT = 1 << 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -135,45 +143,68 @@ def template(texts: list[str]):
     return np.where(slot > 0, _SLOT[slot], value), slot, value, doc
 
 
-def windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, size: int):
-    """(window hash, position of its first word) of usable windows."""
+def windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, size: int, exact: bool = False):
+    """(window hash, position of its first word) of usable windows; of all
+    windows if ``exact``, where ``h`` is words' values."""
     if len(h) < size:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     m = len(h) - size + 1
     w = sum(h[j:j + m] * _MUL[j] for j in range(size))
-    plain = np.concatenate([[0], np.cumsum(slot == LITERAL)])
-    enough = (plain[size:] - plain[:-size]) >= min(LITERALS, size - 1)
-    pos = np.flatnonzero((doc[:m] == doc[size - 1:]) & enough)
-    return mix64(w[pos] + np.uint64(size)), pos
+    use = doc[:m] == doc[size - 1:]
+    if not exact:
+        plain = np.concatenate([[0], np.cumsum(slot == LITERAL)])
+        use &= (plain[size:] - plain[:-size]) >= min(LITERALS, size - 1)
+    pos = np.flatnonzero(use)
+    return mix64(w[pos] + np.uint64(size + _EXACT * exact)), pos
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, text -> one row a window: hash, item, position, slots, size."""
+    """item_id, text -> one row a window: hash, item, position, slots, size,
+    whether of the words themselves, number of templates and of all windows."""
     for b in batches:
         texts = [t or "" for t in b.column(1).to_pylist()]
         h, slot, value, doc = template(texts)
         count = np.bincount(doc, minlength=len(texts)) if len(h) else np.zeros(len(texts), int)
         begin = np.cumsum(count) - count
         ids = b.column(0).to_pylist()
-        out = {"w": [], "item_id": [], "ipos": [], "isize": [], "iwindows": [], "islots": []}
+        out = {"w": [], "item_id": [], "ipos": [], "isize": [], "exact": [], "iwindows": [],
+               "iall": [], "islots": []}
         for i, n in enumerate(count):
             size = min(WINDOW, int(n))
-            if size < SHORTEST:
+            if not size:
                 continue
             s = slice(begin[i], begin[i] + n)
-            w, pos = windows(h[s], slot[s], doc[s], size)
-            for x, p in zip(w.view(np.int64).tolist(), pos.tolist()):
+            own, of, words, text = h[s], slot[s], value[s], doc[s]
+            rows, n_templates = [], 0
+            if size >= SHORTEST:
+                w, pos = windows(own, of, text, size)
+                n_templates = len(w)
+                rows += [(x, p, _slots(of, words, p, size), False)
+                         for x, p in zip(w.view(np.int64).tolist(), pos.tolist())]
+                if of[0] == LITERAL:
+                    named, kind = own[:size].copy(), of[:size].copy()
+                    named[0], kind[0] = _SLOT[NAME], NAME
+                    w, _ = windows(named, kind, text[:size], size)
+                    rows += [(x, 0, _slots(kind, words[:size], 0, size), False)
+                             for x in w.view(np.int64).tolist()]
+            templates = {p for _, p, _, _ in rows if p}
+            w, pos = windows(words, of, text, size, exact=True)
+            rows += [(x, p, [], True) for x, p in zip(w.view(np.int64).tolist(), pos.tolist())
+                     if p not in templates]
+            for x, p, slots, exact in rows:
                 out["w"].append(x)
                 out["item_id"].append(ids[i])
                 out["ipos"].append(p)
                 out["isize"].append(size)
-                out["iwindows"].append(len(w))
-                out["islots"].append(_slots(slot[s], value[s], p, size))
+                out["exact"].append(exact)
+                out["iwindows"].append(n_templates)
+                out["iall"].append(int(n) - size + 1)
+                out["islots"].append(slots)
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[k], t) for k, t in (
                 ("w", pa.int64()), ("item_id", pa.int64()), ("ipos", pa.int64()),
-                ("isize", pa.int32()), ("iwindows", pa.int64()),
-                ("islots", pa.list_(pa.int64())))], list(out))
+                ("isize", pa.int32()), ("exact", pa.bool_()), ("iwindows", pa.int64()),
+                ("iall", pa.int64()), ("islots", pa.list_(pa.int64())))], list(out))
 
 
 def _slots(slot: np.ndarray, value: np.ndarray, pos: int, size: int) -> list[int]:
@@ -181,7 +212,7 @@ def _slots(slot: np.ndarray, value: np.ndarray, pos: int, size: int) -> list[int
     return value[own][slot[own] > 0].view(np.int64).tolist()
 
 
-def _hits(bits, sizes: list[int]):
+def _hits(bits, sizes: list[tuple[int, bool]]):
     """doc_id, text -> windows whose hash is in the bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits.value, np.uint8)
@@ -192,8 +223,8 @@ def _hits(bits, sizes: list[int]):
                 if not len(h):
                     continue
                 start = np.searchsorted(doc, np.arange(hi - lo))
-                for size in sizes:
-                    w, pos = windows(h, slot, doc, size)
+                for size, exact in sizes:
+                    w, pos = windows(value if exact else h, slot, doc, size, exact)
                     code = (w >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                     ok = (table[code >> 3] >> (code & 7).astype(np.uint8)) & 1 == 1
                     w, pos = w[ok], pos[ok]
@@ -203,7 +234,7 @@ def _hits(bits, sizes: list[int]):
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(own + lo)), pa.array(w.view(np.int64)),
                          pa.array(pos - start[own]),
-                         pa.array([_slots(slot, value, p, size) for p in pos],
+                         pa.array([[] if exact else _slots(slot, value, p, size) for p in pos],
                                   pa.list_(pa.int64()))], ["doc_id", "w", "dpos", "dslots"])
     return run
 
@@ -215,32 +246,39 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small_batches(spark)
     items = (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
              .where("text is not null")
-             .mapInArrow(_item_rows, "w long, item_id long, ipos long, isize int, "
-                                     "iwindows long, islots array<bigint>"))
+             .mapInArrow(_item_rows, "w long, item_id long, ipos long, isize int, exact boolean, "
+                                     "iwindows long, iall long, islots array<bigint>"))
     # The set bits of the filter: at most 2 ** FILTER_BITS numbers.
     code = F.shiftrightunsigned("w", 64 - FILTER_BITS).cast("int")
-    got = items.select(code.alias("c"), "isize").distinct().toArrow()
+    got = items.select(code.alias("c"), "isize", "exact").distinct().toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     c = got.column("c").to_numpy()
     np.bitwise_or.at(bits, c >> 3, (1 << (c & 7)).astype(np.uint8))
-    sizes = sorted(set(got.column("isize").to_pylist()))
+    sizes = sorted(set(zip(got.column("isize").to_pylist(), got.column("exact").to_pylist())))
     shipped = spark.sparkContext.broadcast(bits.tobytes())
     hits = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
             .mapInArrow(_hits(shipped, sizes), "doc_id long, w long, dpos long, "
                                                "dslots array<bigint>"))
     pairs = F.arrays_zip(F.col("islots").alias("i"), F.col("dslots").alias("d"))
     aligned = (hits.join(items, "w")
-               .select("doc_id", "item_id", "iwindows", "ipos",
+               .select("doc_id", "item_id", "iwindows", "iall", "ipos", "exact",
                        (F.col("dpos") - F.col("ipos")).alias("shift"), pairs.alias("pairs"))
                .groupBy("doc_id", "item_id", "shift")
                # Bounded by the item's own length: its windows and its slots.
-               .agg(F.collect_set("ipos").alias("at"), F.max("iwindows").alias("windows"),
+               .agg(F.collect_set("ipos").alias("at"),
+                    F.collect_set(F.when(~F.col("exact"), F.col("ipos"))).alias("templates"),
+                    F.max("iwindows").alias("n_templates"), F.max("iall").alias("windows"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("p")))
     sound = aligned.where(F.size("p") == F.size(F.array_distinct(F.col("p").getField("i"))))
+
+    def places(of: str):
+        return F.size(F.array_distinct(F.flatten(F.collect_set(of)))).cast("long")
+    enough = ((F.col("found") > 0) & (F.col("found") >= F.ceil(F.lit(COVER) * F.col("n_templates")))
+              | (F.col("covered") >= F.ceil(F.lit(COVER) * F.col("windows"))))
     return (sound.groupBy("doc_id", "item_id")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long")
-                 .alias("covered"), F.max("windows").alias("windows"))
-            .where(F.col("covered") >= F.ceil(F.lit(COVER) * F.col("windows"))))
+            .agg(places("at").alias("covered"), F.max("windows").alias("windows"),
+                 places("templates").alias("found"), F.max("n_templates").alias("n_templates"))
+            .where(enough).select("doc_id", "item_id", "covered", "windows"))
 
 
 def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -250,6 +250,19 @@ def test_templates(spark, documents, prose):
     assert decontam.flagged(documents([]), bench).count() == 0
 
 
+def test_verbatim_items_without_templates(spark, documents, prose):
+    """Mostly slots, very short, or beginning with a word that looks like a name."""
+    items = ["Compute 12 + 7 - 3 * 4 / 2", "Who wrote The Old Man And The Sea?", "Define entropy.",
+             "What is the capital of France?", "Name 1 prime", "Tom sold 4 apples to some other boys",
+             "Add 1 2 3 4 5 6 7 8 9 10 11 12"]
+    bench = spark.createDataFrame(list(enumerate(items)), ITEMS)
+    docs = [(i, f"{prose(i, 30)} {x} {prose(50 + i, 30)}") for i, x in enumerate(items)]
+    docs += [(10, "we say Compute 12 + 7 - 3 * 4 / 5"), (11, "Define the entropy"),
+             (12, "they say Anna sold 9 apples to some other boys"), (13, prose(9, 200))]
+    got = {x.doc_id: x.items for x in decontam.flagged(documents(docs), bench).collect()}
+    assert got == {i: [i] for i in range(len(items))} | {12: [5]}
+
+
 def test_planted_passages_against_brute_force(spark):
     import re
     sf = "/root/testdata/sf0.01"
