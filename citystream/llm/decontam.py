@@ -9,7 +9,8 @@ templates.  What matched is aligned (same offset between document and
 item), and slots are checked: within an alignment each value in the item must
 always stand for the same value in the document ("3 ... 3" may become
 "5 ... 5", not "5 ... 7").  A document is contaminated by an item if
-consistent alignments cover at least ``COVER`` of the item's windows.
+consistent alignments cover at least ``COVER`` of the item's windows, or one of
+them ``PASSAGE`` consecutive words of it, however long the item is.
 
 Items shorter than a window are one window of their own length, as templates
 from ``SHORTEST`` words on.  Verbatim copies (but for case and punctuation) are
@@ -43,6 +44,8 @@ from citystream.llm.langid import unicode_tables
 
 WINDOW, LITERALS, SHORTEST = 8, 5, 4
 COVER = 0.3
+#: Consecutive words of an item that contaminate a document by themselves.
+PASSAGE = 13
 FILTER_BITS = 24
 #: Slot types.
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
@@ -261,23 +264,35 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                                "dslots array<bigint>"))
     pairs = F.arrays_zip(F.col("islots").alias("i"), F.col("dslots").alias("d"))
     aligned = (hits.join(items, "w")
-               .select("doc_id", "item_id", "iwindows", "iall", "ipos", "exact",
+               .select("doc_id", "item_id", "iwindows", "iall", "ipos", "isize", "exact",
                        (F.col("dpos") - F.col("ipos")).alias("shift"), pairs.alias("pairs"))
                .groupBy("doc_id", "item_id", "shift")
                # Bounded by the item's own length: its windows and its slots.
                .agg(F.collect_set("ipos").alias("at"),
                     F.collect_set(F.when(~F.col("exact"), F.col("ipos"))).alias("templates"),
                     F.max("iwindows").alias("n_templates"), F.max("iall").alias("windows"),
+                    F.max("isize").alias("size"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("p")))
     sound = aligned.where(F.size("p") == F.size(F.array_distinct(F.col("p").getField("i"))))
+    # Words in a row that the windows of one alignment cover: a window goes on
+    # where the last one ends, or before.
+    sound = sound.withColumn("passage", F.expr("""
+        aggregate(array_sort(at),
+                  struct(cast(0 as bigint) as first, cast(0 as bigint) as stop, cast(0 as bigint) as most),
+                  (s, p) -> struct(
+                      if(p <= s.stop, s.first, p) as first, p + size as stop,
+                      greatest(s.most, p + size - if(p <= s.stop, s.first, p)) as most),
+                  s -> s.most)"""))
 
     def places(of: str):
         return F.size(F.array_distinct(F.flatten(F.collect_set(of)))).cast("long")
     enough = ((F.col("found") > 0) & (F.col("found") >= F.ceil(F.lit(COVER) * F.col("n_templates")))
-              | (F.col("covered") >= F.ceil(F.lit(COVER) * F.col("windows"))))
+              | (F.col("covered") >= F.ceil(F.lit(COVER) * F.col("windows")))
+              | (F.col("passage") >= PASSAGE))
     return (sound.groupBy("doc_id", "item_id")
             .agg(places("at").alias("covered"), F.max("windows").alias("windows"),
-                 places("templates").alias("found"), F.max("n_templates").alias("n_templates"))
+                 places("templates").alias("found"), F.max("n_templates").alias("n_templates"),
+                 F.max("passage").alias("passage"))
             .where(enough).select("doc_id", "item_id", "covered", "windows"))
 
 

@@ -263,6 +263,21 @@ def test_verbatim_items_without_templates(spark, documents, prose):
     assert got == {i: [i] for i in range(len(items))} | {12: [5]}
 
 
+def test_passages_of_long_items(spark, documents, prose):
+    """A passage counts by its length in words, not as a share of its item."""
+    items = {1: prose(1, 59), 2: prose(2, 500)}
+    bench = spark.createDataFrame(list(items.items()), ITEMS)
+
+    def passage(item, start, words):
+        return " ".join(items[item].split()[start:start + words])
+    docs = [(1, passage(1, 20, 20)), (2, passage(2, 100, 150)), (3, passage(2, 300, 13)),
+            (4, passage(2, 300, 12)), (5, passage(2, 10, 8) + " else " + passage(2, 19, 12)),
+            (6, passage(1, 0, 13)), (7, passage(2, 487, 13))]
+    docs = [(i, f"{prose(10 + i, 40)} {t} {prose(30 + i, 40)}") for i, t in docs]
+    got = {x.doc_id: x.items for x in decontam.flagged(documents(docs), bench).collect()}
+    assert got == {1: [1], 2: [2], 3: [2], 6: [1], 7: [2]}
+
+
 def test_planted_passages_against_brute_force(spark):
     import re
     sf = "/root/testdata/sf0.01"
