@@ -205,7 +205,7 @@ def viterbi(emit: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = PEN
     docs = np.argsort(-per, kind="stable")
     docs = docs[per[docs] > 0]
     v = np.zeros((len(docs), k), np.float32)
-    came = np.zeros((len(by_chunk), k), np.int8)
+    came = np.zeros((len(by_chunk), k), np.int16)  # MAX_LANGUAGES fits
     steps = (per[docs][:, None] > np.arange(int(per.max()))).sum(0) if len(docs) else []
     for s, a in enumerate(steps):
         at = first_chunk[docs[:a]] + s
@@ -226,7 +226,7 @@ def viterbi(emit: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = PEN
     v = np.full((len(order), k), -np.inf, np.float32)
     v[np.arange(len(order)), in_lang[order]] = 0
     stay = np.zeros((CHUNK, len(order), k), bool)
-    best = np.zeros((CHUNK, len(order)), np.int8)
+    best = np.zeros((CHUNK, len(order)), np.int16)
     for s in range(CHUNK):
         a = alive[s]
         if not a:

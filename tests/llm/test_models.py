@@ -28,6 +28,22 @@ def test_viterbi_finds_the_best_path(chunk, monkeypatch):
             assert c == 0 or abs(got - best.max()) < 1e-2
 
 
+@pytest.mark.parametrize("k", [200, langid.MAX_LANGUAGES])
+def test_viterbi_of_many_languages(k, monkeypatch):
+    monkeypatch.setattr(langid, "CHUNK", 4)
+    r = np.random.default_rng(k)
+    emit = r.normal(0, 4, (90, k)).astype(np.float32)
+    path = langid.viterbi(emit, np.repeat(np.arange(3), 30), 3, 5.0)
+    assert path.min() >= 0
+    for b in range(0, 90, 30):
+        best = np.zeros(k)
+        for t in range(30):
+            best = np.maximum(best, best.max() - 5.0) + emit[b + t]
+        own = path[b:b + 30]
+        got = emit[b + np.arange(30), own].sum() - 5.0 * (own[1:] != own[:-1]).sum()
+        assert abs(got - best.max()) < 1e-2
+
+
 LANGS = {"en": "the house and the river were quiet when they walked home through the rain",
          "de": "das Haus und der Fluss waren ruhig als sie durch den Regen nach Hause gingen",
          "ru": "дом и река были тихими когда они шли домой под дождём через старый город"}
