@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from citystream.llm.chat import CHAT_SQL, op5_chat_format
 from citystream.llm.decontam import op8_decontamination
+from citystream.llm.hardneg import HARD_NEGATIVE_SQL, op11_hard_negatives
 from citystream.llm.htmlmain import op7_html_text
 from citystream.llm.langid import op9_language_id
 from citystream.llm.neardup import NEAR_DUPLICATE_SQL, op1_near_duplicates
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 #: Queries that SQL can express on whole tables; the others are tested against
@@ -33,4 +35,5 @@ ORACLE = {
     "op3_warc": WARC_SQL,
     "op5_chat_format": CHAT_SQL,
     "op4_exact_top_k": TOP_K_SQL,
+    "op11_hard_negatives": HARD_NEGATIVE_SQL,
 }
