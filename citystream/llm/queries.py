@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from citystream.llm.chat import CHAT_SQL, op5_chat_format
 from citystream.llm.decontam import op8_decontamination
+from citystream.llm.divergence import DIVERGENCE_SQL, op12_source_divergence
 from citystream.llm.hardneg import HARD_NEGATIVE_SQL, op11_hard_negatives
 from citystream.llm.htmlmain import op7_html_text
 from citystream.llm.langid import op9_language_id
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 #: Queries that SQL can express on whole tables; the others are tested against
@@ -36,4 +38,5 @@ ORACLE = {
     "op5_chat_format": CHAT_SQL,
     "op4_exact_top_k": TOP_K_SQL,
     "op11_hard_negatives": HARD_NEGATIVE_SQL,
+    "op12_source_divergence": DIVERGENCE_SQL,
 }
