@@ -9,6 +9,7 @@ from citystream.llm.hardneg import HARD_NEGATIVE_SQL, op11_hard_negatives
 from citystream.llm.htmlmain import op7_html_text
 from citystream.llm.langid import op9_language_id
 from citystream.llm.neardup import NEAR_DUPLICATE_SQL, op1_near_duplicates
+from citystream.llm.ngramjoin import NGRAM_JOIN_SQL, op13_ngram_join
 from citystream.llm.tokens import op2_token_binary
 from citystream.llm.topk import TOP_K_SQL, op4_exact_top_k
 from citystream.llm.toxicity import op10_toxicity
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_source_divergence": op12_source_divergence,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 #: Queries that SQL can express on whole tables; the others are tested against
@@ -39,4 +41,5 @@ ORACLE = {
     "op4_exact_top_k": TOP_K_SQL,
     "op11_hard_negatives": HARD_NEGATIVE_SQL,
     "op12_source_divergence": DIVERGENCE_SQL,
+    "op13_ngram_join": NGRAM_JOIN_SQL,
 }
