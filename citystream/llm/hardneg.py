@@ -276,11 +276,14 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
     wide = dim * most * most >= 2.0 ** 62
     number = "decimal(38,0)" if wide else "long"
     n = width(spark)
-    ordered = vectors.repartitionByRange(n, "label", "vec_id").sortWithinPartitions("label", "vec_id")
-    cells = stored(ordered.mapInArrow(_cells(dim), _CELL), "negative-cells")
+    # Neighbouring ranges are put together, so that cells are full however many
+    # partitions the session deals rows to.
+    cells = stored(vectors.repartitionByRange(n, "label", "vec_id")
+                   .coalesce(max(1, -(-size["n"] // (4 * CELL))))
+                   .sortWithinPartitions("label", "vec_id").mapInArrow(_cells(dim), _CELL), "negative-cells")
     asked = vectors.join(anchors.select("vec_id").distinct(), "vec_id", "left_semi")
     blocks = stored(asked.repartitionByRange(n, "label", "vec_id")
-                    .sortWithinPartitions("label", "vec_id").select("vec_id", "label", "x")
+                    .coalesce(max(1, -(-size["n"] // (8 * CELL)))).sortWithinPartitions("label", "vec_id").select("vec_id", "label", "x")
                     .mapInArrow(_blocks(dim), _BLOCK), "anchor-blocks")
 
     block_cols = ["ids", "labels", "vs"]
