@@ -95,18 +95,57 @@ def _labelled(prose, n=240, seed=0):
     return texts, np.array(toxic)
 
 
-def test_insults_with_gaps_and_insertions(prose):
-    model = toxicity.fit(*_labelled(prose))
+def _fitted(spark, prose):
+    texts, toxic = _labelled(prose)
+    rows = [(i, int(y), t) for i, (t, y) in enumerate(zip(texts, toxic))]
+    return toxicity.fit(spark.createDataFrame(rows, "doc long, toxic int, text string"),
+                        int(toxic.sum()), int((1 - toxic).sum()))
+
+
+def test_insults_with_gaps_and_insertions(spark, prose):
+    model = _fitted(spark, prose)
     texts, toxic = _labelled(prose, 120, 1)
     score = toxicity.score(model, texts)
     assert ((score >= 0.7) == toxic).mean() >= 0.97
     clean = prose(77, 60)
     variants = ["gr.um.bug", "g r u m b u g", "snot-wit", "grumxbug", "snotw1it", "BLORKFACE!",
-                "blork_face"]
+                "blork_face", "grum\u2014bug", "gr\u200bum\u200bb\u200bug", "\u201cgrum\u2019bug\u201d",
+                "s\u2022n\u2022o\u2022t\u2022w\u2022i\u2022t", "grumbug\u00a0" + "x" * 3]
     assert (toxicity.score(model, [f"{clean} {v} {clean}" for v in variants]) >= 0.7).all()
     assert toxicity.score(model, [clean])[0] < 0.5
 
 
+def test_long_words_are_wholly_in_the_vocabulary():
+    import pyarrow as pa
+    word = "".join(chr(97 + i % 26) for i in range(70))
+    b = pa.RecordBatch.from_pydict({"doc": pa.array([5, 6, 7]), "toxic": pa.array([1, 0, 0], pa.int32()),
+                                    "text": [f"ab {word}", word + " ab ab", ""]})
+    got = [r for x in toxicity._bags(iter([b])) for r in x.to_pylist()]
+    lines = {d: {r["line"] for r in got if r["doc"] == d} for d in (5, 6, 7)}
+    assert lines[5] == lines[6] and not lines[7]
+    seen = {chr(96 + c) for line in lines[5] for c in line if 0 < c < 27}
+    assert seen == set(word)
+    # "ab", the first letters, windows every twelve letters.
+    assert len(lines[5]) == 1 + 1 + len(range(12, 70, 12))
+    assert len(got) == 2 * len(lines[5])
+
+
+def test_no_text_reaches_the_driver(spark, prose, documents, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    monkeypatch.setattr(DataFrame, "toPandas", None)
+    collected = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect",
+                        lambda self: collected.append(self.columns) or collect(self))
+    arrow = DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow",
+                        lambda self: collected.append(self.columns) or arrow(self))
+    texts, toxic = _labelled(prose)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    toxicity.train(documents(list(enumerate(texts))), labels, rows=40)
+    assert collected and not {"text", "line", "word"} & {c for cols in collected for c in cols}
+
+
 def test_collapsed_table_is_the_landmark_expansion(prose):
     letters, first, _ = toxicity.words([prose(5, 60)])
     m, *_ = toxicity.distinct(letters, first)
