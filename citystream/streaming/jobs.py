@@ -22,8 +22,8 @@ from citystream.sources import fixtures as fx
 from citystream.sources.streams import read_stream
 from citystream.streaming.sinks import (await_all, epoch_writer, fan_out, kv_json_writer,
                                         to_parquet)
-from citystream.streaming.stateful import (bunching_ordered, bunching_stream, gridlock_ordered,
-                                           gridlock_stream)
+from citystream.streaming.ordered import bunching_ordered, gridlock_ordered
+from citystream.streaming.stateful import bunching_stream, gridlock_stream
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
@@ -118,34 +118,54 @@ def q_stream_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
-# The ordered jobs' input: slots of event time, each a file of its own, with one
-# row in five a slot late; and a watermark delay that covers that disorder.
-SLOTS, LATE_EVERY = 8, 5
+# The ordered jobs' input: slots of event time, with one row in five a slot late,
+# in files of a few hash buckets each; and a watermark delay that covers that
+# disorder.  All are fixed spans, so longer histories make more batches.
+SLOT_DAYS, LATE_EVERY, SLOT_BUCKETS = 4, 5, 4
+LATE_DELAY = f"{2 * SLOT_DAYS * 86400 + 1} seconds"
+#: Width of the detectors' slots of waiting rows; silence after which a bus goes.
+WAIT_SLOT_SECONDS, SILENT_SECONDS = 6 * 3600, 12 * 3600
 
 
-def _late_slots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+def _arrive_in_order(spark: SparkSession, path: str) -> None:
+    """File streams read files by age: give those of slot i the i-th second."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    slots = sorted((int(s.getPath().getName().split("=")[1]), s.getPath())
+                   for s in fs.listStatus(jpath) if "=" in s.getPath().getName())
+    for i, (_, folder) in enumerate(slots):
+        for f in fs.listStatus(folder):
+            fs.setTimes(f.getPath(), 1_600_000_000_000 + 1000 * i, -1)
+
+
+def _late_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream of several micro-batches whose rows come out of
-    order by up to two slots; and the delay that waits for all of them."""
+    order by up to two slots (``LATE_DELAY`` waits for all of them), closed by a
+    marker: one more row so much later that the watermark passes all others."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    us = epoch_micros("ts")
-    r = ev.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-    lo, width = r["lo"] or 0, max(1, ((r["hi"] or 0) - (r["lo"] or 0)) // SLOTS + 1)
-    slot = (F.floor((us - lo) / width)
-            + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0)).cast("int")
+    width = SLOT_DAYS * 86_400_000_000
+    slot = (F.floor(epoch_micros("ts") / width)
+            + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0))
     path = scratch_path(spark, "late_slots")
-    cut = ev.withColumn("slot", slot)
-    for i in range(SLOTS + 1):  # one after the other: files are read by age
-        cut.where(F.col("slot") == i).drop("slot").coalesce(1).write.parquet(f"{path}/slot={i}")
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", True).parquet(path))
-    return stream, f"{2 * width // 1_000_000 + 1} seconds"
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(SLOT_BUCKETS))
+    (ev.withColumn("slot", slot).repartition("slot", bucket)
+       .write.partitionBy("slot").parquet(path))
+    # The marker has a position and a signal; nothing later releases it.
+    last = ev.agg(F.max("ts").alias("last"))
+    (ev.where("event_id % 97 <> 0 and event_id % 89 <> 0").orderBy("event_id").limit(1)
+       .join(F.broadcast(last)).withColumn("ts", F.expr(f"last + interval {5 * SLOT_DAYS} days"))
+       .drop("last").withColumn("slot", F.floor(epoch_micros("ts") / width))
+       .write.mode("append").partitionBy("slot").parquet(path))
+    _arrive_in_order(spark, path)
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", SLOT_BUCKETS)
+            .option("recursiveFileLookup", True).parquet(path))
 
 
 def q_stream_gridlock_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gridlock in event order over many micro-batches with late rows: the
-    batch alerts, up to the last watermark."""
-    events, delay = _late_slots(spark, sf_dir)
-    alerts = gridlock_ordered(_utc(fx.traffic_signals(events)), delay=delay)
+    """Gridlock in event order over many micro-batches with late rows: all
+    alerts of the batch operator."""
+    alerts = gridlock_ordered(_utc(fx.traffic_signals(_late_slots(spark, sf_dir))),
+                              delay=LATE_DELAY, slot_s=WAIT_SLOT_SECONDS)
     path = scratch_path(spark, "gridlock_ordered")
     _run(to_parquet(alerts, path, scratch_path(spark, "gridlock_ordered_ckpt")))
     from citystream.operators.incidents import GRIDLOCK_MESSAGE, HIGH, TRAFFIC_GRIDLOCK
@@ -156,13 +176,11 @@ def q_stream_gridlock_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
-def q_stream_bunching_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bunching in event order over many micro-batches with late rows."""
-    events, delay = _late_slots(spark, sf_dir)
-    gps = Q.valid_records(Q.validate(_utc(fx.bus_gps(events)), Q.BUS_GPS))
-    alerts = bunching_ordered(gps, delay=delay)
-    path = scratch_path(spark, "bunching_ordered")
-    _run(to_parquet(alerts, path, scratch_path(spark, "bunching_ordered_ckpt")))
+def _bunching_in_order(spark: SparkSession, sf_dir: str, name: str, silent_s: int | None) -> DataFrame:
+    gps = Q.valid_records(Q.validate(_utc(fx.bus_gps(_late_slots(spark, sf_dir))), Q.BUS_GPS))
+    alerts = bunching_ordered(gps, delay=LATE_DELAY, slot_s=WAIT_SLOT_SECONDS, silent_s=silent_s)
+    path = scratch_path(spark, name)
+    _run(to_parquet(alerts, path, scratch_path(spark, f"{name}_ckpt")))
     from citystream.operators.incidents import BUS_BUNCHING, MEDIUM
     return spark.read.schema(alerts.schema).parquet(path).select(
         F.lit(BUS_BUNCHING).alias("incident_type"), F.lit(MEDIUM).alias("severity"),
@@ -170,6 +188,18 @@ def q_stream_bunching_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_us") / 1000).cast("long").alias("event_ms"))
 
 
+def q_stream_bunching_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching in event order over many micro-batches with late rows: all
+    alerts of the batch operator."""
+    return _bunching_in_order(spark, sf_dir, "bunching_ordered", None)
+
+
+def q_stream_bunching_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with state that forgets: a bus silent for over ``SILENT_SECONDS``
+    leaves with its pair timers and comes back as a new one."""
+    return _bunching_in_order(spark, sf_dir, "bunching_state", SILENT_SECONDS)
+
+
 def stream_error_counts(validated: DataFrame, path: str, checkpoint: str,
                         trigger: dict | None = None):
     """Running dead-letter counts (per reason + scanned total) as a complete-
@@ -280,6 +310,7 @@ STREAM_QUERIES = {
     "q_stream_bunching": q_stream_bunching,
     "q_stream_gridlock_ordered": q_stream_gridlock_ordered,
     "q_stream_bunching_ordered": q_stream_bunching_ordered,
+    "q_stream_bunching_state": q_stream_bunching_state,
     "q_paced_stream": q_paced_stream,
     "q_stream_error_counts": q_stream_error_counts,
     "q_stream_topic_dead_letters": q_stream_topic_dead_letters,

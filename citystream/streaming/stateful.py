@@ -1,24 +1,18 @@
 """Streaming forms of the two stateful detectors (keyed state, Arrow batches).
 
 Each micro-batch of a key (junction / route) arrives as pandas frames and
-state carries what the rule needs across batches.  Two orders:
-
-* arrival order (``gridlock_stream``, ``bunching_stream``): rows are ordered by
-  (event time, event id) inside a micro-batch only, so alerts come at once but
-  depend on how the input is cut into batches;
-* event order (``gridlock_ordered``, ``bunching_ordered``): rows wait in state
-  until the watermark has passed them and then go through the rule in (event
-  time, event id) order.  Alerts come ``delay`` later and are the same however
-  the input is cut, as long as no row is later than the watermark; those of
-  the batch operators, up to the last watermark.
+state carries what the rule needs across batches.  Here rows are ordered by
+(event time, event id) inside a micro-batch only (arrival order), so alerts
+come at once but depend on how the input is cut into batches; forms that wait
+for the watermark are in ``ordered``.
 
 Rows without event time or position take no part, as in the batch forms.
-Idle keys leave by a processing-time timeout (arrival order); in event order a
-bus that was silent for ``silent_s`` leaves its route's state with its timers.
+Idle keys leave by a processing-time timeout.
 """
 
 from __future__ import annotations
 
+import heapq
 import sys
 from collections.abc import Iterator
 
@@ -85,51 +79,124 @@ def _haversine_np(lat1, lon1, lat2, lon2):
     return EARTH_RADIUS_M * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
 
 
-def bunch_events(route, pdf: pd.DataFrame, buses: list, lat: list, lon: list,
-                 timers: dict, radius: float, hold_us: int) -> list[tuple]:
-    """Run the bunching rule over one route's events, in (time, id) order.
-
-    ``buses``/``lat``/``lon`` (insertion order = first sighting) and
-    ``timers`` ((i, j) slot pair -> timer start, us) are the route's state and
-    are updated in place.  Distances to the moving bus are vectorised; pairs
-    without the moving bus keep their state and only their timers are
-    checked.  Returns alerts (route, bus_1, bus_2, distance, duration_s,
-    event_id, event_us) with the raw distance.
+class RouteFold:
+    """The bunching rule over one route's rows in (time, id) order.
+
+    ``buses``: bus -> (order of first sighting, lat, lon, last time in us);
+    ``timers``: (bus, bus) -> start in us, the bus seen first in front.  A row
+    touches only the pairs of its bus that come near or part; due timers wait in
+    a heap, so a row costs one array of distances and what it changes.  With
+    ``silent_us`` a bus that was not seen for longer is forgotten, with its
+    timers, before the first row behind that.
     """
-    slot = {b: i for i, b in enumerate(buses)}
-    rows = []
-    pdf = pdf.sort_values(["ts_us", "event_id"])
-    for bus, la, lo, eid, us in zip(pdf["bus_id"], pdf["lat"], pdf["lon"],
-                                    pdf["event_id"], pdf["ts_us"]):
-        if la is None or lo is None or np.isnan(la) or np.isnan(lo):
-            continue
-        us = int(us)
-        if bus not in slot:
-            slot[bus] = len(buses)
-            buses.append(bus)
-            lat.append(float(la))
-            lon.append(float(lo))
-        i = slot[bus]
-        lat[i], lon[i] = float(la), float(lo)
-        if len(buses) < 2:
-            continue
-        d = _haversine_np(np.array(lat), np.array(lon), lat[i], lon[i])
-        for k in range(len(buses)):
-            if k == i:
+
+    def __init__(self, route, buses: dict, timers: dict, radius: float, hold_us: int,
+                 silent_us: int | None = None):
+        self.route, self.radius, self.hold_us, self.silent_us = route, radius, hold_us, silent_us
+        known = sorted(buses.items(), key=lambda x: x[1][0])
+        self.names = [b for b, _ in known]
+        self.order = [v[0] for _, v in known]
+        self.seen = [int(v[3]) for _, v in known]
+        self.slot = {b: i for i, b in enumerate(self.names)}
+        size = max(16, 2 * len(known))
+        self.at = np.full((2, size), np.nan)
+        for i, (_, v) in enumerate(known):
+            self.at[:, i] = v[1], v[2]
+        self.start: dict[tuple[int, int], int] = {}
+        self.near: dict[int, set[int]] = {}
+        self.due: list[tuple] = []
+        for (a, b), us in timers.items():
+            self._begin(*sorted((self.slot[a], self.slot[b])), int(us))
+        self.quiet = [(us, i) for i, us in enumerate(self.seen)] if silent_us else []
+        heapq.heapify(self.quiet)
+
+    def _begin(self, a: int, b: int, us: int) -> None:
+        self.start[a, b] = us
+        self.near.setdefault(a, set()).add(b)
+        self.near.setdefault(b, set()).add(a)
+        heapq.heappush(self.due, (us + self.hold_us, a, b, us))
+
+    def _part(self, i: int, j: int) -> None:
+        self.start.pop((min(i, j), max(i, j)))
+        self.near[i].discard(j)
+        self.near[j].discard(i)
+
+    def forget_before(self, us: int) -> None:
+        """Forget buses whose last time lies more than ``silent_us`` before."""
+        while self.quiet and self.quiet[0][0] + self.silent_us < us:
+            seen, i = heapq.heappop(self.quiet)
+            if self.seen[i] != seen:
+                heapq.heappush(self.quiet, (self.seen[i], i))
                 continue
-            p = (min(i, k), max(i, k))
-            if d[k] <= radius:
-                if p not in timers:
-                    timers[p] = us
-            else:
-                timers.pop(p, None)
-        for p, start in list(timers.items()):
-            if us - start >= hold_us:          # a timer set now has 0 elapsed
-                a, b = p
-                dist = float(_haversine_np(lat[a], lon[a], lat[b], lon[b]))
-                rows.append((route, buses[a], buses[b], dist, (us - start) // 1_000_000,
-                             int(eid), us))
-                timers[p] = us
+            for j in list(self.near.get(i, ())):
+                self._part(i, j)
+            self.at[:, i] = np.nan
+            del self.slot[self.names[i]]
+
+    def run(self, rows: pd.DataFrame) -> list[tuple]:
+        """Alerts (route, bus_1, bus_2, distance, duration_s, event_id, event_us)
+        of rows (bus_id, lat, lon, event_id, ts_us); distances are not rounded."""
+        out = []
+        rows = rows.sort_values(["ts_us", "event_id"])
+        for bus, la, lo, eid, us in zip(rows["bus_id"], rows["lat"], rows["lon"],
+                                        rows["event_id"], rows["ts_us"]):
+            if la is None or lo is None or np.isnan(la) or np.isnan(lo):
+                continue
+            us = int(us)
+            if self.silent_us:
+                self.forget_before(us)
+            i = self.slot.get(bus)
+            if i is None:
+                i = self.slot[bus] = len(self.names)
+                self.names.append(bus)
+                self.order.append(self.order[-1] + 1 if self.order else 0)
+                self.seen.append(us)
+                if i == self.at.shape[1]:
+                    self.at = np.hstack([self.at, np.full((2, i), np.nan)])
+                if self.silent_us:
+                    heapq.heappush(self.quiet, (us, i))
+            self.at[:, i], self.seen[i] = (la, lo), us
+            d = _haversine_np(self.at[0, :len(self.names)], self.at[1, :len(self.names)], la, lo)
+            now = set(np.flatnonzero(d <= self.radius).tolist()) - {i}
+            had = self.near.get(i, set())
+            for j in had - now:
+                self._part(i, j)
+            for j in now - had:
+                self._begin(min(i, j), max(i, j), us)
+            again = []
+            while self.due and self.due[0][0] <= us:
+                _, a, b, start = heapq.heappop(self.due)
+                # A timer set by this row has run for nothing yet.
+                if self.start.get((a, b)) != start:
+                    continue
+                dist = float(_haversine_np(*self.at[:, a], *self.at[:, b]))
+                out.append((self.route, self.names[a], self.names[b], dist,
+                            (us - start) // 1_000_000, int(eid), us))
+                again.append((a, b))
+            for a, b in again:
+                self._begin(a, b, us)
+        return out
+
+    def buses(self) -> dict:
+        return {b: (self.order[i], float(self.at[0, i]), float(self.at[1, i]), self.seen[i])
+                for b, i in self.slot.items()}
+
+    def timers(self) -> dict:
+        return {(self.names[a], self.names[b]): us for (a, b), us in self.start.items()}
+
+
+def bunch_events(route, pdf: pd.DataFrame, buses: list, lat: list, lon: list,
+                 timers: dict, radius: float, hold_us: int) -> list[tuple]:
+    """Run the rule over one route's events; ``buses``/``lat``/``lon`` (order of
+    first sighting) and ``timers`` ((i, j) slots -> start, us) are the route's
+    state as arrays and are updated in place."""
+    fold = RouteFold(route, {b: (i, lat[i], lon[i], 0) for i, b in enumerate(buses)},
+                     {(buses[a], buses[b]): us for (a, b), us in timers.items()}, radius, hold_us)
+    rows = fold.run(pdf)
+    n = len(fold.names)
+    buses[:], lat[:], lon[:] = fold.names, fold.at[0, :n].tolist(), fold.at[1, :n].tolist()
+    timers.clear()
+    timers.update(fold.start)
     return rows
 
 
@@ -171,97 +238,6 @@ def bunching_stream(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HO
     return out.withColumn("distance_meters", F.round("distance_meters", 2))
 
 
-# --- event order: rows wait for the watermark ---------------------------------
-
-def _event_order(rule, out_columns: list[str], cols: list[str]):
-    """State function that releases rows to ``rule`` in event order.
-
-    ``rule(key, rows, state or None, watermark_us) -> (alerts, state tuple)``;
-    behind the rule's own state come one array for each of ``cols``: the rows
-    that the watermark has not passed."""
-    def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.getCurrentWatermarkMs()
-        own, parts = None, [f[cols] for f in frames]
-        if state.exists:
-            held = state.get
-            own = held[:-len(cols)]
-            parts.append(pd.DataFrame(dict(zip(cols, map(list, held[-len(cols):])))))
-        rows = pd.concat([f for f in parts if len(f)] or parts, ignore_index=True)
-        passed = rows["ts_us"].to_numpy(np.int64) < now * 1000
-        ready = rows[passed].sort_values(["ts_us", "event_id"])
-        alerts, own = rule(key, ready, own, now * 1000)
-        rest = rows[~passed]
-        state.update((*own, *[rest[c].tolist() for c in cols]))
-        if len(rest):
-            state.setTimeoutTimestamp(max(int(rest["ts_us"].min()) // 1000, now + 1))
-        if len(alerts):
-            yield alerts[out_columns]
-    return fn
-
-
-def _ordered(rows: DataFrame, key: str, t: str, delay: str, rule, out: str, state: str,
-             buffer: str) -> DataFrame:
-    columns = [c.split()[0] for c in out.split(", ")]
-    cols = [c.split()[0] for c in buffer.split(", ")]
-    held = ", ".join(f"_{c.split()[0]} array<{c.split()[1]}>" for c in buffer.split(", "))
-    return (_with_us(rows.withWatermark(t, delay), t).select(key, t, *cols)
-            .groupBy(key).applyInPandasWithState(
-                _event_order(rule, columns, cols), out, f"{state}, {held}", "append",
-                GroupStateTimeout.EventTimeTimeout))
-
-
-def gridlock_ordered(signals: DataFrame, limit: float = WAIT_LIMIT_SEC, t: str = "event_time",
-                     delay: str = "10 minutes") -> DataFrame:
-    """Gridlock alerts in event order behind a ``delay`` watermark."""
-    def rule(key, rows, state, watermark):
-        run, w1, w2 = state or (0, np.nan, np.nan)
-        if not len(rows):
-            return rows, (run, w1, w2)
-        return _gridlock_step(rows.assign(junction_id=key[0]), run, w1, w2, limit)
-    src = signals.where(F.col(t).isNotNull()).withColumn(
-        "avg_wait_sec", F.coalesce(F.col("avg_wait_sec").cast("double"), F.lit(0.0)))
-    return _ordered(src, "junction_id", t, delay, rule, GRIDLOCK_OUT, GRIDLOCK_STATE,
-                    "ts_us long, event_id long, avg_wait_sec double, zone string")
-
-
-def drop_silent(state: tuple, seen: list, before_us: int) -> tuple[tuple, list]:
-    """Route state (as of BUNCHING_STATE) without buses last seen before
-    ``before_us`` and without their pair timers."""
-    buses, lat, lon, pi, pj, tm = state
-    keep = [i for i, us in enumerate(seen) if us >= before_us]
-    if len(keep) == len(buses):
-        return state, seen
-    new = {old: i for i, old in enumerate(keep)}
-    pairs = [(new[a], new[b], c) for a, b, c in zip(pi, pj, tm) if a in new and b in new]
-    return (([buses[i] for i in keep], [lat[i] for i in keep], [lon[i] for i in keep],
-             [p[0] for p in pairs], [p[1] for p in pairs], [p[2] for p in pairs]),
-            [seen[i] for i in keep])
-
-
-def bunching_ordered(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
-                     t: str = "event_time", delay: str = "10 minutes",
-                     silent_s: int | None = None) -> DataFrame:
-    """Bunching alerts in event order behind a ``delay`` watermark; a bus not
-    seen for ``silent_s`` seconds of event time is forgotten."""
-    def rule(key, rows, state, watermark):
-        buses, lat, lon, pi, pj, tm, seen = map(list, state or ([],) * 7)
-        timers = {(int(a), int(b)): int(c) for a, b, c in zip(pi, pj, tm)}
-        alerts = bunch_events(key[0], rows, buses, lat, lon, timers, radius_m, hold_s * 1_000_000)
-        last = rows.groupby("bus_id")["ts_us"].max()
-        seen += [0] * (len(buses) - len(seen))
-        seen = [max(s, int(last.get(b, 0))) for b, s in zip(buses, seen)]
-        items = sorted(timers.items())
-        new = (buses, lat, lon, [a for (a, _), _ in items], [b for (_, b), _ in items],
-               [v for _, v in items])
-        if silent_s:
-            new, seen = drop_silent(new, seen, watermark - silent_s * 1_000_000)
-        return pd.DataFrame(alerts, columns=ALERT_COLUMNS), (*new, seen)
-    out = _ordered(positioned(gps, t), "route_id", t, delay, rule, BUNCHING_OUT,
-                   BUNCHING_STATE + ", seen array<long>",
-                   "ts_us long, event_id long, bus_id string, lat double, lon double")
-    return out.withColumn("distance_meters", F.round("distance_meters", 2))
-
-
 # --- transformWithStateInPandas forms (Spark 4 API, state TTL) --------------
 
 def _gridlock_step(pdf: pd.DataFrame, run: int, w1: float, w2: float, limit: float):

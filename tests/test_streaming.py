@@ -71,52 +71,3 @@ def test_paced_consumer_same_rows(spark, sf_dir):
     want = traffic_signals(Fixtures(spark, sf_dir).events).select(*got.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_event_order_does_not_depend_on_batches(spark, tmp_path):
-    """The same rows in other files and another order give the batch alerts up
-    to the watermark; rows without a time take no part."""
-    import datetime as dt
-    import random
-
-    from citystream.operators.gridlock import gridlock
-    from citystream.functions.time import ntz_to_utc
-    from citystream.streaming.stateful import gridlock_ordered
-    rnd = random.Random(4)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [(f"J{rnd.randint(1, 3)}", "Z", rnd.choice([10.0, 200.0, 300.0, 400.0, None]),
-             t0 + dt.timedelta(seconds=30 * i), i) for i in range(200)]
-    rows += [("J1", "Z", 999.0, None, 900)]
-    schema = ("junction_id string, zone string, avg_wait_sec double, event_time timestamp_ntz, "
-              "event_id long")
-    newest = t0 + dt.timedelta(seconds=30 * 199)
-    want = sorted((r.junction_id, r.event_id) for r in
-                  gridlock(spark.createDataFrame(rows, schema)).collect()
-                  if r.event_time < newest - dt.timedelta(minutes=15))
-    assert len(want) > 5
-    for name, files in (("one", 1), ("many", 10)):
-        per = -(-200 // files)
-        for f in range(files):
-            part = [r for r in rows[:200] if min(files - 1, r[4] // per + (r[4] % 4 == 0)) == f]
-            rnd.shuffle(part)
-            part += rows[200:] if f == 0 else []
-            (spark.createDataFrame(part, schema).coalesce(1).write
-             .parquet(str(tmp_path / name / f"f{f}")))
-        s = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
-             .option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name)))
-        q = (gridlock_ordered(s.withColumn("event_time", ntz_to_utc("event_time")),
-                              delay="15 minutes")
-             .writeStream.format("memory").queryName(f"ordered_{name}").outputMode("append")
-             .option("checkpointLocation", str(tmp_path / f"ck_{name}"))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        got = sorted((r.junction_id, r.event_id) for r in spark.table(f"ordered_{name}").collect())
-        assert got == want, name
-
-
-def test_silent_bus_leaves_state():
-    from citystream.streaming.stateful import drop_silent
-    state = (["a", "b", "c"], [1.0, 2.0, 3.0], [4.0, 5.0, 6.0], [0, 0, 1], [1, 2, 2], [10, 20, 30])
-    new, seen = drop_silent(state, [100, 5, 90], 50)
-    assert new == (["a", "c"], [1.0, 3.0], [4.0, 6.0], [0], [1], [20]) and seen == [100, 90]
-    assert drop_silent(state, [100, 60, 90], 50) == (state, [100, 60, 90])
