@@ -453,8 +453,10 @@ def class_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame
     posts = classes.select("cls", "n", "own", "prefix").mapInArrow(
         _postings, "token long, cls long, n long, own long, pos long")
     score = F.struct(F.floor(1000 * F.col("own") / F.col("n")).alias("score"), "cls", "n", "pos")
-    live = stored(posts.join(posts.groupBy("token").agg(F.count("*").alias("m"), F.min(score).alias("hub"))
-                             .where("m > 1"), "token"), "lists")
+    # Tables on the small side of these joins: a skewed list can then be split.
+    heads = stored(posts.groupBy("token").agg(F.count("*").alias("m"), F.min(score).alias("hub"))
+                   .where("m > 1"), "list-heads")
+    live = stored(posts.join(heads, "token"), "lists")
     star = (live.alias("p").where(F.col("p.cls") != F.col("p.hub.cls"))
             .where(_passes(percent, "p", "p.hub"))
             .select(F.col("hub.cls").alias("a"), F.col("cls").alias("b")))
@@ -462,8 +464,8 @@ def class_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame
 
     at = (live.join(labels.withColumnRenamed("id", "cls"), "cls", "left")
           .withColumn("label", F.coalesce("label", "cls")))
-    open_ = (at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .where("lo <> hi").select("token"))
+    open_ = stored(at.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                   .where("lo <> hi").select("token"), "open")
     at = stored(at.join(open_, "token").select("token", "cls", "label", "n", "pos", "m"), "open-lists")
     small = at.where(F.col("m") <= SMALL)
     across = (small.alias("x").join(small.alias("y"), F.col("x.token") == F.col("y.token"))
