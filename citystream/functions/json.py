@@ -24,7 +24,16 @@ KEEP_NULLS = {"ignoreNullFields": "false"}
 
 def as_variant(struct: str | Column) -> Column:
     """A struct as a VARIANT object; null fields stay in it as JSON nulls."""
-    return F.parse_json(F.to_json(struct, KEEP_NULLS))
+    return F.to_variant_object(struct)
+
+
+def parsed_once(df: DataFrame, value: str | Column, out: str) -> DataFrame:
+    """Add ``out``: the JSON text (or bytes) ``value`` as VARIANT, null where it
+    is no JSON.  A generator over one element stands between the parse and what
+    reads it, so the optimiser does not repeat the parse for each field."""
+    text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    one = F.array(F.struct(F.try_parse_json(text).alias(out)))
+    return df.select("*", F.inline(one))
 
 
 def to_kv(df: DataFrame, key: str | Column | None, *fields,

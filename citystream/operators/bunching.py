@@ -16,10 +16,9 @@ Batch form, the same for every size, without gathering a route in one place:
     on exact interval overlap and haversine distance.  No pair further than
     two cells apart is ever formed;
  3. touching near segments of a pair merge into islands (sliced lag/fill);
- 4. ``succ(x)`` = first route tick at least ``hold`` after x (sliced
-    backward fill over ticks and probes);
- 5. the alert chain of each island (succ from its first tick, while before
-    its end) by pointer doubling (``plans.chain``).
+ 4. the alert chain of each island (from its first tick on always the first
+    route tick at least ``hold`` later, while before its end), by composing
+    slices of time (``plans.chain``).
 """
 
 from __future__ import annotations
@@ -188,21 +187,6 @@ def islands(seg: DataFrame, seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
             .withColumnRenamed("island", "s"))
 
 
-def successors(g: DataFrame, hold_s: int = HOLD_SEC,
-               seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
-    """succ(x) for every tick: (route_id, x, y), ticks as struct<t,e>, y or null."""
-    probes = g.select("route_id", F.timestamp_add("SECOND", F.lit(hold_s), F.col("t")).alias("_at"),
-                      F.lit(0).alias("_k"), F.col("e").alias("_id"), _tick().alias("x"))
-    ticks = g.select("route_id", F.col("t").alias("_at"), F.lit(1).alias("_k"),
-                     F.col("e").alias("_id"),
-                     F.lit(None).cast("struct<t:timestamp_ntz,e:bigint>").alias("x"))
-    u = probes.unionByName(ticks)
-    val = F.when(F.col("_k") == 1, F.struct(F.col("_at").alias("t"), F.col("_id").alias("e")))
-    filled = keyed_fill(u, ["route_id"], [F.col("_at"), F.col("_k"), F.col("_id")],
-                        split_id("_at", seconds), val, "y", descending=True)
-    return filled.where(F.col("_k") == 0).select("route_id", "x", "y")
-
-
 def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
              t: str = "event_time", e: str = "event_id",
              seconds: int | None = None,
@@ -227,20 +211,13 @@ def bunching(gps: DataFrame, radius_m: float = RADIUS_M, hold_s: int = HOLD_SEC,
     pair_seconds = pair_seconds or pair_bucket_seconds(g, stats)
     # Tables in the shared folder cut the lineage between phases.
     seg = cut(near_segments(g, radius_m, seconds, pair_seconds))
-    isl = cut(islands(seg, seconds))
 
     # Islands that last the hold time at all, and the ticks of their routes.
     last = g.groupBy("route_id").agg(F.max("t").alias("_lt"))
-    isl = (isl.join(last, "route_id")
-           .withColumn("_us", epoch_micros(F.coalesce(F.col("f.t"), F.col("_lt")))
-                       - epoch_micros(F.col("s.t")))
-           .where(F.col("_us") >= F.lit(hold_s * 1_000_000)))
-    longest = isl.agg(F.max("_us")).first()[0] or 0
-    levels = max(1, int(longest // (hold_s * 1_000_000)).bit_length())
-    ticks = g.join(isl.select("route_id").distinct(), "route_id", "left_semi")
-    isl = isl.drop("_lt", "_us")
-    tables = chain.jump_tables(successors(ticks, hold_s, seconds), levels)
-    steps = chain.walk(isl, tables, PAIR + ["s"])
+    lasts = (epoch_micros(F.coalesce(F.col("f.t"), F.col("_lt"))) - epoch_micros(F.col("s.t")))
+    isl = (islands(seg, seconds).join(last, "route_id")
+           .where(lasts >= F.lit(hold_s * 1_000_000)).drop("_lt"))
+    steps = chain.steps(g.select("route_id", "t", "e"), isl, PAIR + ["s"], hold_s, seconds)
 
     # Distance at the alert tick: the pair's segment starting at or before it.
     seg_rows = seg.select(*PAIR, F.col("s.t").alias("_t"), F.col("s.e").alias("_e"),

@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citystream.functions.json import as_variant, to_kv
+from citystream.functions.json import as_variant, parsed_once, to_kv
 from citystream.functions.time import epoch_millis
 
 # Reasons and rule bounds; topic names are this deployment's.
@@ -101,8 +101,7 @@ def validate_messages(messages: DataFrame, topic: str = "topic", value: str = "v
     object) and ``error_reason``.  An AQI that is no number is out of range,
     not missing.  Topics without rules pass if they parse.
     """
-    text = F.col(value).cast("string")
-    parsed = F.try_parse_json(text)
+    text, parsed = F.col(value).cast("string"), F.col("_parsed")
     is_record = F.schema_of_variant(parsed).startswith("OBJECT")
     record = F.when(is_record, parsed)
     aqi = F.try_variant_get(record, "$.aqi", "double")
@@ -117,8 +116,8 @@ def validate_messages(messages: DataFrame, topic: str = "topic", value: str = "v
               .when(is_air & ~F.coalesce(aqi.between(AQI_MIN, AQI_MAX), F.lit(False)),
                     OUT_OF_RANGE_AQI)
               .when(is_gps & outside, IMPOSSIBLE_GPS_COORDINATES))
-    return messages.select(
-        "*", F.coalesce(record, text.cast("variant")).alias("payload"),
+    return parsed_once(messages, value, "_parsed").select(
+        *messages.columns, F.coalesce(record, text.cast("variant")).alias("payload"),
         reason.alias("error_reason"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from citystream.functions.json import parse_events, to_kv
+from citystream.functions.json import parse_events, parsed_once, to_kv
 from citystream.functions.time import epoch_millis, event_time
 from citystream.operators import quality as Q
 from citystream.operators.advisories import (advisories, advisories_sql, zone_advisories,
@@ -104,30 +104,23 @@ def q_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_dead_letters(validated: DataFrame) -> DataFrame:
     """Dead letters of mixed raw messages, read back from their JSON values."""
-    kv = Q.dead_letter_messages(validated)
-    payload = F.get_json_object("value", "$.failed_payload")
-    keys = F.json_object_keys(payload)
+    kv = parsed_once(Q.dead_letter_messages(validated), "value", "letter")
+    payload = F.try_variant_get("letter", "$.failed_payload", "variant")
+    kind = F.schema_of_variant(payload)
+    is_record = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
     return kv.select(
         F.col("key").alias("original_topic"),
-        F.get_json_object("value", "$.error_reason").alias("error_reason"),
-        F.get_json_object(payload, "$.aqi").alias("aqi"),
-        F.array_contains(keys, "aqi").alias("has_aqi"), payload.alias("payload"))
+        F.try_variant_get("letter", "$.error_reason", "string").alias("error_reason"),
+        F.try_variant_get("letter", "$.failed_payload.aqi", "string").alias("aqi"),
+        (is_record & kind.rlike("[<, ]aqi:")).alias("has_aqi"),
+        F.when(~is_record, F.try_variant_get("letter", "$.failed_payload", "string")).alias("raw"),
+        F.try_variant_get("letter", "$.failed_payload.event_id", "long").alias("event_id"))
 
 
 def q_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One mixed stream of raw bytes: parse, dispatch on topic, rules, pack."""
     raw = raw_messages(Fixtures(spark, sf_dir).events)
-    out = topic_dead_letters(Q.validate_messages(raw))
-    return _letter_columns(out)
-
-
-def _letter_columns(out: DataFrame) -> DataFrame:
-    bad = F.col("error_reason") == Q.UNPARSEABLE_JSON
-    return out.select("original_topic", "error_reason", "aqi",
-                      F.coalesce("has_aqi", F.lit(False)).alias("has_aqi"),
-                      F.when(bad, F.col("payload")).alias("raw"),
-                      F.when(~bad, F.get_json_object("payload", "$.event_id").cast("long"))
-                      .alias("event_id"))
+    return topic_dead_letters(Q.validate_messages(raw))
 
 
 def q_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,18 +210,19 @@ def _all_incidents(fx: Fixtures) -> DataFrame:
 
 def q_incident_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All incidents as (key, JSON) messages, read back from the nested JSON."""
-    kv = incident_messages(_all_incidents(Fixtures(spark, sf_dir)))
+    kv = parsed_once(incident_messages(_all_incidents(Fixtures(spark, sf_dir))), "value", "m")
 
-    def field(path: str):
-        return F.get_json_object("value", f"$.{path}")
-    measure = F.coalesce(field("details.aqi"), field("details.consecutive_wait_times[0]"),
-                         field("details.distance_meters"))
+    def field(path: str, type_: str = "string"):
+        return F.try_variant_get("m", f"$.{path}", type_)
+    measure = F.coalesce(field("details.aqi", "double"),
+                         field("details.consecutive_wait_times[0]", "double"),
+                         field("details.distance_meters", "double"))
     return kv.select(
         "key", field("incident_type").alias("incident_type"), field("severity").alias("severity"),
         field("details.message").alias("message"), field("details.bus_1").alias("bus_1"),
-        F.round(measure.cast("double"), 6).alias("measure"),
-        F.size(F.json_object_keys(field("details"))).alias("n_fields"),
-        field("timestamp").cast("long").alias("timestamp"))
+        F.round(measure, 6).alias("measure"),
+        F.size(field("details", "map<string,variant>")).alias("n_fields"),
+        field("timestamp", "long").alias("timestamp"))
 
 
 def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,9 +223,9 @@ def q_stream_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed raw stream through rules to (key, value) dead letters."""
-    from citystream.plans.queries import _letter_columns, topic_dead_letters
+    from citystream.plans.queries import topic_dead_letters
     raw = fx.raw_messages(event_stream(spark, sf_dir))
-    out = _letter_columns(topic_dead_letters(Q.validate_messages(raw)))
+    out = topic_dead_letters(Q.validate_messages(raw))
     path = scratch_path(spark, "topic_letters")
     _run(to_parquet(out, path, scratch_path(spark, "topic_letters_ckpt")))
     return spark.read.schema(out.schema).parquet(path)
