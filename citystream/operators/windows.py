@@ -8,8 +8,11 @@ not accept TIMESTAMP_NTZ); batch input may use either type.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from citystream.functions.time import epoch_micros
 
 
 def _watermarked(df: DataFrame, time_col: str, delay: str | None) -> DataFrame:
@@ -50,11 +53,12 @@ def rolling_aqi(df: DataFrame, window: str = "10 minutes", slide: str = "1 minut
     Out: window_start, window_end, zone, rolling_avg_aqi (unrounded),
     readings.
 
-    Batch input is pre-aggregated per slide-sized pane (sum, count; partial
-    aggregation before the shuffle), and only the panes are expanded into the
-    window/slide windows that contain them.  That is 1 row per pane instead
-    of window/slide rows per reading.  Streams use ``window()`` directly,
-    which watermarks and append mode need.
+    Batch input is aggregated per slide-sized pane (sum, count; partial
+    aggregation before the shuffle).  Running sums over a zone's panes then give
+    each window as the difference of two.  A window belongs to its first pane,
+    so a pane yields only the windows that begin behind the pane before it: one
+    row a result, no pane is copied into all windows that contain it.  Streams
+    use ``window()`` directly, which watermarks and append mode need.
     """
     src = df.where(F.col("aqi").isNotNull())
     size, step = _seconds(window), _seconds(slide)
@@ -66,16 +70,30 @@ def rolling_aqi(df: DataFrame, window: str = "10 minutes", slide: str = "1 minut
         return agg.select(F.col("w.start").alias("window_start"),
                           F.col("w.end").alias("window_end"), key,
                           "rolling_avg_aqi", "readings")
+    exact = isinstance(df.schema["aqi"].dataType, IntegralType)
+    # Differences of running sums are exact for whole numbers; others are summed
+    # as decimals, as far as their type allows.
+    value = F.col("aqi").cast("decimal(20,0)" if exact else "decimal(28,9)")
     panes = (src.groupBy(F.window(time_col, slide).alias("p"), key)
-                .agg(F.sum("aqi").alias("_s"), F.count("aqi").alias("_n")))
-    k = size // step
-    start = F.col("p.start") - F.make_dt_interval(secs=F.col("_i") * F.lit(step))
-    expanded = (panes.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
-                     .select(start.alias("window_start"), key, "_s", "_n"))
-    agg = expanded.groupBy("window_start", key).agg(F.sum("_s").alias("_s"),
-                                                    F.sum("_n").alias("readings"))
-    return agg.select(
+                .agg(F.sum(value).alias("_s"), F.count("aqi").alias("_n")))
+    ntz = F.col("p.start").cast("timestamp_ntz")
+    panes = panes.select(key, "_s", "_n", epoch_micros(ntz).alias("_at"), F.col("p.start").alias("_t"))
+    k, us = size // step, step * 1_000_000
+    order = Window.partitionBy(key).orderBy("_at")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    panes = (panes.withColumn("_sum", F.sum("_s").over(upto)).withColumn("_count", F.sum("_n").over(upto))
+             .withColumn("_before", F.lag("_at").over(order)))
+    ahead = F.collect_list(F.struct("_at", "_sum", "_count")).over(order.rowsBetween(0, k - 1))
+    first = F.greatest(F.col("_before") + us, F.col("_at") - (k - 1) * us)
+    rows = panes.withColumn("_ahead", ahead).withColumn(
+        "_w", F.explode(F.sequence(first, F.col("_at"), F.lit(us).cast("long"))))
+    end = F.col("_w") + (k - 1) * us
+    last = F.element_at(F.filter("_ahead", lambda x: x["_at"] <= end), -1)
+    rows = rows.withColumn("_last", last).withColumn(
+        "window_start", F.timestamp_add("MICROSECOND", F.col("_w") - F.col("_at"), F.col("_t")))
+    total, n = F.col("_last._sum") - (F.col("_sum") - F.col("_s")), F.col("_last._count") - (
+        F.col("_count") - F.col("_n"))
+    return rows.select(
         "window_start",
         (F.col("window_start") + F.make_dt_interval(secs=F.lit(size))).alias("window_end"),
-        key, (F.col("_s").cast("double") / F.col("readings")).alias("rolling_avg_aqi"),
-        "readings")
+        key, (total.cast("double") / n).alias("rolling_avg_aqi"), n.alias("readings"))

@@ -378,6 +378,25 @@ def _q_paced_stream() -> str:
                       "traffic_signals")
 
 
+def _q_paced_backlog() -> str:
+    """Files are (day, event_id % 4) parts in that order, four a trigger."""
+    return """
+WITH parts AS (SELECT DISTINCT epoch_us(ts) // 86400000000 AS day, event_id % 4 AS bucket FROM events),
+taken AS (SELECT (row_number() OVER (ORDER BY day, bucket) - 1) // 4 AS trigger FROM parts),
+per AS (SELECT trigger, count(*) AS files FROM taken GROUP BY trigger)
+SELECT trigger, files,
+       CAST(coalesce(sum(files) OVER (ORDER BY trigger ROWS BETWEEN 1 FOLLOWING
+                                      AND UNBOUNDED FOLLOWING), 0) AS BIGINT) AS outstanding
+FROM per"""
+
+
+def _q_stored_generations() -> str:
+    return with_views("""
+SELECT sensor_id, zone, CAST(aqi AS BIGINT) AS aqi, event_id,
+       CASE WHEN event_id % 2 = 1 THEN CAST(epoch_us(event_time) // 1000 AS BIGINT) END AS event_ms
+FROM air_quality""", "air_quality")
+
+
 def _q_latest_positions() -> str:
     return with_views("""
 SELECT route_id, bus_id, lat, lon, event_id, epoch_us(event_time) // 1000 AS event_ms
@@ -430,5 +449,11 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_bunching_ordered": _q_bunching(),
         "q_stream_bunching_state": _q_bunching(forget_s=12 * 3600),
         "q_paced_stream": _q_paced_stream(),
+        "q_paced_backlog": _q_paced_backlog(),
+        "q_stored_generations": _q_stored_generations(),
+        "q_stream_late_rows": "SELECT count(*) AS input_rows, true AS some_dropped FROM events",
+        "q_stream_advisory_messages": "SELECT *, rolling_avg_aqi AS table_avg FROM ("
+                                      + _q_advisories(10, 2) + ")",
+        "q_stream_periodic_counts": _q_error_counts(),
         "q_stream_error_counts": _q_error_counts(),
     }

@@ -29,7 +29,7 @@ from citystream.operators.windows import rolling_aqi, ward_energy
 from citystream.schemas import ROUTE_SCHEDULE, SMART_METERS
 from citystream.session import scratch_path
 from citystream.sources.fixtures import Fixtures, raw_messages
-from citystream.sources.streams import read_lookup_csv, read_stored_parquet
+from citystream.sources.streams import read_generations, read_lookup_csv, read_stored_parquet
 
 
 def _r6(c):
@@ -153,6 +153,18 @@ def _stored_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stored_parquet(spark, path, rows.schema)
 
 
+def q_stored_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings stored by two generations of a writer, read as one table: the
+    older has no event time and a narrower AQI."""
+    air = Fixtures(spark, sf_dir).air()
+    path = scratch_path(spark, "generations")
+    old, new = F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1
+    air.where(old).select("sensor_id", "zone", "aqi", "event_id").write.parquet(f"{path}/gen=1")
+    air.where(new).select("event_id", F.col("aqi").cast("long").alias("aqi"), "sensor_id", "zone",
+                          epoch_millis("event_time").alias("event_ms")).write.parquet(f"{path}/gen=2")
+    return read_generations(spark, path).select("sensor_id", "zone", "aqi", "event_id", "event_ms")
+
+
 def q_advisory_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return advisory_summary(_stored_advisories(spark, sf_dir))
 
@@ -303,6 +315,7 @@ QUERIES = {
     "q_valid_events": q_valid_events,
     "q_error_counts": q_error_counts,
     "q_route_enrichment": q_route_enrichment,
+    "q_stored_generations": q_stored_generations,
     "q_advisory_summary": q_advisory_summary,
     "q_advisory_totals": q_advisory_totals,
     "q_advisory_preview": q_advisory_preview,

@@ -20,7 +20,10 @@ from citystream.operators.windows import ward_energy
 from citystream.session import scratch_path
 from citystream.sources import fixtures as fx
 from citystream.sources.streams import read_stream
-from citystream.streaming.sinks import (await_all, epoch_writer, fan_out, kv_json_writer,
+from citystream.streaming.periodic import periodic_counts, run_until
+from citystream.streaming.progress import ProgressLog, file_backlog
+from citystream.streaming.sinks import (EpochManifest, await_all, epoch_writer, fan_out,
+                                        fan_out_committed, kv_json_writer, kv_sink, parquet_sink,
                                         to_parquet)
 from citystream.streaming.ordered import bunching_ordered, gridlock_ordered
 from citystream.streaming.stateful import bunching_stream, gridlock_stream
@@ -138,6 +141,13 @@ def _arrive_in_order(spark: SparkSession, path: str) -> None:
             fs.setTimes(f.getPath(), 1_600_000_000_000 + 1000 * i, -1)
 
 
+def _write_slots(ev: DataFrame, slot, path: str) -> None:
+    """Rows by slot, a slot in ``SLOT_BUCKETS`` files of their own."""
+    bucket = F.pmod("event_id", F.lit(SLOT_BUCKETS))
+    (ev.withColumn("slot", slot * SLOT_BUCKETS + bucket).repartition("slot")
+       .write.mode("append").partitionBy("slot").parquet(path))
+
+
 def _late_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a stream of several micro-batches whose rows come out of
     order by up to two slots (``LATE_DELAY`` waits for all of them), closed by a
@@ -147,15 +157,13 @@ def _late_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = (F.floor(epoch_micros("ts") / width)
             + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0))
     path = scratch_path(spark, "late_slots")
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(SLOT_BUCKETS))
-    (ev.withColumn("slot", slot).repartition("slot", bucket)
-       .write.partitionBy("slot").parquet(path))
+    _write_slots(ev, slot, path)
     # The marker has a position and a signal; nothing later releases it.
     last = ev.agg(F.max("ts").alias("last"))
-    (ev.where("event_id % 97 <> 0 and event_id % 89 <> 0").orderBy("event_id").limit(1)
-       .join(F.broadcast(last)).withColumn("ts", F.expr(f"last + interval {5 * SLOT_DAYS} days"))
-       .drop("last").withColumn("slot", F.floor(epoch_micros("ts") / width))
-       .write.mode("append").partitionBy("slot").parquet(path))
+    marker = (ev.where("event_id % 97 <> 0 and event_id % 89 <> 0").orderBy("event_id").limit(1)
+              .join(F.broadcast(last)).withColumn("ts", F.expr(f"last + interval {5 * SLOT_DAYS} days"))
+              .select(*ev.columns))
+    _write_slots(marker, F.floor(epoch_micros("ts") / width), path)
     _arrive_in_order(spark, path)
     return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", SLOT_BUCKETS)
             .option("recursiveFileLookup", True).parquet(path))
@@ -270,39 +278,122 @@ def q_stream_ward_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                          ("total_kwh_consumed", "avg_power_factor", "peak_voltage")])
 
 
-# Files per micro-batch of the paced consumer; hash buckets that a day is cut
-# into, so that no task writes or reads a whole day.
+# Files per micro-batch of the paced consumer; buckets that a day is cut into, so
+# that no task writes or reads a whole day.
 PACED_FILES_PER_TRIGGER = 4
 PACED_BUCKETS = 4
 
 
-def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two consumers of one signal stream: an unthrottled one and a paced one
-    (a few files per micro-batch).  Pacing changes batching, not results: the
-    paced rows are returned, each with its number of copies in the other."""
+def _consumers(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Two consumers of one signal stream: an unthrottled one and a paced one (a
+    few files a micro-batch).  -> (output of either, the paced one's checkpoint)."""
     days = scratch_path(spark, "signals_by_day")
-    ev = fx.table(spark, sf_dir, "events")
-    ev = ev.select("event_id", "user_id", "ts", "value")
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(PACED_BUCKETS))
-    (ev.withColumn("day", F.to_date("ts")).repartition("day", bucket)
-       .write.partitionBy("day").parquet(days))
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     schema = ev.schema
-    fast_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet")
+    parts = ev.withColumn("slot", F.floor(epoch_micros("ts") / 86_400_000_000) * PACED_BUCKETS
+                          + F.pmod("event_id", F.lit(PACED_BUCKETS)))
+    parts.repartition("slot").write.partitionBy("slot").parquet(days)
+    _arrive_in_order(spark, days)
+    flat = {"recursiveFileLookup": True}
+    fast_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet", **flat)
     slow_src = read_stream(spark, "file", path=days, schema=schema, fmt="parquet",
-                           maxFilesPerTrigger=PACED_FILES_PER_TRIGGER)
+                           maxFilesPerTrigger=PACED_FILES_PER_TRIGGER, **flat)
     cols = ("junction_id", "zone", "avg_wait_sec", "event_id")
     fast_out, slow_out = scratch_path(spark, "fast"), scratch_path(spark, "slow")
+    checkpoint = scratch_path(spark, "slow_ckpt")
     fast = to_parquet(fx.traffic_signals(fast_src).select(*cols), fast_out,
                       scratch_path(spark, "fast_ckpt"))
-    slow = to_parquet(fx.traffic_signals(slow_src).select(*cols), slow_out,
-                      scratch_path(spark, "slow_ckpt"))
+    slow = to_parquet(fx.traffic_signals(slow_src).select(*cols), slow_out, checkpoint)
     await_all(spark, [fast, slow])
+    return fast_out, slow_out, checkpoint
+
+
+def q_paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pacing changes batching, not results: the paced consumer's rows, each with
+    its number of copies in the other's."""
+    fast_out, slow_out, _ = _consumers(spark, sf_dir)
     out = "junction_id string, zone string, avg_wait_sec double, event_id long"
     copies = (spark.read.schema(out).parquet(fast_out).groupBy("event_id")
               .agg(F.count(F.lit(1)).cast("int").alias("fast_copies")))
     return spark.read.schema(out).parquet(slow_out).join(copies, "event_id", "left")
 
 
+def q_paced_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paced consumer's backlog: files that each trigger took and left."""
+    _, _, checkpoint = _consumers(spark, sf_dir)
+    return file_backlog(spark, checkpoint)
+
+
+# Rows that really come too late: every 40th by this many days, in the files of
+# a later slot; the advisory window's own watermark delay.
+TOO_LATE_EVERY, TOO_LATE_SLOTS, LATE_ROWS_DELAY = 40, 3, "45 minutes"
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ward energy over input with rows beyond the watermark, as progress reports
+    tell it: rows that came in and rows that were dropped."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    width = SLOT_DAYS * 86_400_000_000
+    slot = (F.floor(epoch_micros("ts") / width)
+            + F.when(F.col("event_id") % TOO_LATE_EVERY == 0, TOO_LATE_SLOTS).otherwise(0))
+    path = scratch_path(spark, "too_late")
+    _write_slots(ev, slot, path)
+    _arrive_in_order(spark, path)
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", SLOT_BUCKETS)
+              .option("recursiveFileLookup", True).parquet(path))
+    agg = ward_energy(_utc(fx.meter_readings(stream)), delay=LATE_ROWS_DELAY)
+    name = f"late_rows_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
+    with ProgressLog(spark, scratch_path(spark, "late_progress"), (name,)) as log:
+        q = to_parquet(agg, scratch_path(spark, "late_rows"), scratch_path(spark, "late_rows_ckpt"),
+                       name=name)
+        log.started(q)
+        _run(q)
+    return log.read().agg(F.sum("input_rows").alias("input_rows"),
+                          (F.sum("dropped_late") > 0).alias("some_dropped"))
+
+
+def q_stream_advisory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The advisory job with both sinks behind one commit record an epoch: the
+    last message of each zone and window, with the table's row beside it."""
+    air = _utc(fx.air_quality(event_stream(spark, sf_dir)))
+    zones = fx.zone_profile(fx.table(spark, sf_dir, "nation"))
+    adv = zone_advisories(air, zones, "10 minutes", "2 minutes", delay="10 minutes")
+    adv = (adv.withColumn("window_start", utc_to_ntz("window_start").cast("string"))
+              .withColumn("window_end", utc_to_ntz("window_end").cast("string")))
+    root = scratch_path(spark, "advisory_sinks")
+    _run(fan_out_committed(adv, {"table": parquet_sink, "messages": kv_sink("zone")}, root,
+                           scratch_path(spark, "advisory_sinks_ckpt"), "update"))
+    manifest = EpochManifest(spark, root)
+    kv = manifest.read("messages", "key string, value string", "json")
+    told = _last_update(kv.select("epoch", F.from_json("value", adv.schema).alias("d"))
+                        .select("epoch", "d.*"), ["zone", "window_start"])
+    table = _last_update(manifest.read("table", adv.schema), ["zone", "window_start"])
+    return told.join(table.select("zone", "window_start", F.col("rolling_avg_aqi").alias("table_avg")),
+                     ["zone", "window_start"], "full").select(*adv.columns, "table_avg")
+
+
+#: Interval of the periodic summary; buckets that a reason's rows are dealt to.
+SUMMARY_MS, SUMMARY_SHARES = 1000, 8
+
+
+def q_stream_periodic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by error reason, told by a processing-time timer while rows come."""
+    air = Q.validate(fx.air_quality(event_stream(spark, sf_dir)), Q.AIR_QUALITY)
+    gps = Q.validate(fx.bus_gps(event_stream(spark, sf_dir)), Q.BUS_GPS)
+    merged = air.select("error_reason", "event_id").unionByName(gps.select("error_reason", "event_id"))
+    path = scratch_path(spark, "periodic")
+    q = to_parquet(periodic_counts(merged, SUMMARY_MS, SUMMARY_SHARES), path,
+                   scratch_path(spark, "periodic_ckpt"), trigger={"processingTime": "500 milliseconds"})
+    total = 2 * fx.table(spark, sf_dir, "events").count()
+    told = "error_reason string, share long, told_ms long, records long"
+    run_until(q, lambda: (spark.read.schema(told).parquet(path).groupBy("error_reason", "share")
+                          .agg(F.max("records").alias("n")).agg(F.sum("n")).first()[0] or 0) >= total)
+    last = (spark.read.schema(told).parquet(path).groupBy("error_reason", "share")
+            .agg(F.max("records").alias("n")))
+    return (last.rollup("error_reason").agg(F.sum("n").alias("records"))
+            .select(F.coalesce("error_reason", F.lit("TOTAL_SCANNED")).alias("error_reason"), "records"))
+
+
 STREAM_QUERIES = {
     "q_stream_ward_energy": q_stream_ward_energy,
     "q_stream_advisories": q_stream_advisories,
@@ -312,6 +403,10 @@ STREAM_QUERIES = {
     "q_stream_bunching_ordered": q_stream_bunching_ordered,
     "q_stream_bunching_state": q_stream_bunching_state,
     "q_paced_stream": q_paced_stream,
+    "q_paced_backlog": q_paced_backlog,
+    "q_stream_late_rows": q_stream_late_rows,
+    "q_stream_advisory_messages": q_stream_advisory_messages,
+    "q_stream_periodic_counts": q_stream_periodic_counts,
     "q_stream_error_counts": q_stream_error_counts,
     "q_stream_topic_dead_letters": q_stream_topic_dead_letters,
     "q_stream_advisories_sql": q_stream_advisories_sql,
