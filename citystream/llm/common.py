@@ -4,12 +4,14 @@ files on the shared file system, packed-array hashing and connected components.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,21 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def trimmed(run):
+    """A batch function whose worker gives freed memory back when it is done:
+    workers are used again by later stages, and what their allocators keep adds up."""
+    def lean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return lean
+
+
 def width(spark: SparkSession) -> int:
     """The session's shuffle width."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

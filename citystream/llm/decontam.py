@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
-from citystream.llm.common import mix64, read, small_batches
+from citystream.llm.common import mix64, read, small_batches, trimmed
 from citystream.llm.langid import unicode_tables
 
 WINDOW, LITERALS, SHORTEST = 8, 5, 4
@@ -260,8 +260,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = sorted(set(zip(got.column("isize").to_pylist(), got.column("exact").to_pylist())))
     shipped = spark.sparkContext.broadcast(bits.tobytes())
     hits = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(_hits(shipped, sizes), "doc_id long, w long, dpos long, "
-                                               "dslots array<bigint>"))
+            .mapInArrow(trimmed(_hits(shipped, sizes)),
+                        "doc_id long, w long, dpos long, dslots array<bigint>"))
     pairs = F.arrays_zip(F.col("islots").alias("i"), F.col("dslots").alias("d"))
     aligned = (hits.join(items, "w")
                .select("doc_id", "item_id", "iwindows", "iall", "ipos", "isize", "exact",

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
-from citystream.llm.common import mix64, read, small_batches
+from citystream.llm.common import mix64, read, small_batches, trimmed
 
 #: log2 of the number of trigram classes.
 BITS = 18
@@ -152,7 +152,7 @@ def train(docs: DataFrame, where: str = "true") -> dict:
         return {"langs": []}
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of lang: not a column of languages")
-    sums = (known.mapInArrow(_counter(langs), "kind string, lang int, code int, n long")
+    sums = (known.mapInArrow(trimmed(_counter(langs)), "kind string, lang int, code int, n long")
             .groupBy("kind", "lang", "code").agg(F.sum("n").alias("n")).toArrow())
     kind = np.array(sums.column("kind").to_pylist())
     lang, code, n = (sums.column(c).to_numpy() for c in ("lang", "code", "n"))
@@ -311,7 +311,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text", out: str = "lang"
     shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(
-        _labeller(shipped, docs.columns.index(text), out),
+        trimmed(_labeller(shipped, docs.columns.index(text), out)),
         f"{fields}, `{out}_pred` string, `{out}_score` double, "
         f"`{out}_spans` array<struct<lang: string, words: bigint>>")
 

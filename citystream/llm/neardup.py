@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
-from citystream.llm.common import components, mix64, read, stored
+from citystream.llm.common import components, mix64, read, stored, trimmed
 
 WORDS = 5
 CHUNKS, PER_CHUNK, ERRORS = 13, 5, 1
@@ -362,7 +362,7 @@ def _rest_links(live: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataF
     tasks = max(1, -(-hot.count() // (4 * BLOCK)))
     blocks = stored(members.repartitionByRange("anchor", "label", "cls").coalesce(tasks)
                     .sortWithinPartitions("anchor", "label", "cls")
-                    .select("cls", "label", "sig", "sh").mapInArrow(_pack_blocks, _BLOCK_TYPE),
+                    .select("cls", "label", "sig", "sh").mapInArrow(trimmed(_pack_blocks), _BLOCK_TYPE),
                     "blocks")
     of = blocks.select("block", "cs").mapInArrow(_members, "block long, cls long")
     spots = at.where("packed").select("key", "cls").join(of, "cls").select("key", "block").distinct()
@@ -382,7 +382,7 @@ def _rest_links(live: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataF
                              *[F.col(c).alias(f"{name}_{c}") for c in _BLOCK_NAMES[3:]])
     loaded = pairs.join(load("y"), "y").join(load("x"), "x")
     big = (loaded.select(*[f"{n}_{c}" for n in "xy" for c in _BLOCK_NAMES[3:]])
-           .mapInArrow(_block_links(percent), "a long, b long"))
+           .mapInArrow(trimmed(_block_links(percent)), "a long, b long"))
     return links.unionByName(stored(big, "block-links"))
 
 
@@ -390,10 +390,10 @@ def class_links(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): each input row's doc_id, n, cls; each linked class's
     component label (id, label)."""
     rows = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                  .mapInArrow(_signatures, "doc_id long, n long, cls long, sig binary"),
+                  .mapInArrow(trimmed(_signatures), "doc_id long, n long, cls long, sig binary"),
                   "signatures")
     sigs = rows.where("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("sig").alias("sig"))
-    keys = sigs.select("cls", "sig").mapInArrow(_keys, "key long, cls long")
+    keys = sigs.select("cls", "sig").mapInArrow(trimmed(_keys), "key long, cls long")
     live = stored(keys.join(keys.groupBy("key").agg(F.count("*").alias("m"),
                                                     F.min("cls").alias("head"))
                             .where("m > 1"), "key")
@@ -404,7 +404,7 @@ def class_links(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     sets = stored(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .join(own, "doc_id").select("cls", "text")
-        .mapInArrow(_checked_sets, "cls long, sh binary"), "sets")
+        .mapInArrow(trimmed(_checked_sets), "cls long, sh binary"), "sets")
     sigs = stored(sigs.join(members, "cls", "left_semi"), "member-signatures")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
-from citystream.llm.common import mix64, read, small_batches, stored
+from citystream.llm.common import mix64, read, small_batches, stored, trimmed
 
 #: Most labelled rows of each class that the model is fitted on (hash order).
 TRAIN_ROWS = 2000
@@ -187,16 +187,23 @@ def _spread(m: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return table.astype(np.float32)
 
 
-def _svm(z: np.ndarray, y: np.ndarray, c: np.ndarray, ridge: float = RIDGE):
-    """Squared-hinge linear SVM by Newton steps on its support vectors."""
-    x = np.hstack([z, np.ones((len(z), 1))])
-    w = np.zeros(x.shape[1])
-    reg = ridge * np.eye(x.shape[1])
+def _svm(z: np.ndarray, rows: np.ndarray, y: np.ndarray, c: np.ndarray, ridge: float = RIDGE):
+    """Squared-hinge linear SVM on rows of z, by Newton steps on its support vectors."""
+    k = z.shape[1]
+    w = np.zeros(k + 1)
+    reg = ridge * np.eye(k + 1)
     reg[-1, -1] = 1e-6
     for _ in range(25):
-        on = y * (x @ w) < 1
-        xs = x[on] * c[on, None]
-        new = np.linalg.solve(reg + xs.T @ x[on], xs.T @ y[on])
+        on = np.flatnonzero(y * ((z @ w[:k])[rows] + w[k]) < 1)
+        h, g = reg.copy(), np.zeros(k + 1)
+        # Sums over the support vectors, some at a time: no copy of all of them.
+        for lo in range(0, len(on), 2048):
+            i = on[lo:lo + 2048]
+            x = np.hstack([z[rows[i]], np.ones((len(i), 1))])
+            xs = x * c[i, None]
+            h += xs.T @ x
+            g += xs.T @ y[i]
+        new = np.linalg.solve(h, g)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -298,12 +305,13 @@ def _fit(bags: pa.Table, clean: pa.Table, n_bad: int, n_good: int) -> tuple | No
     neg = np.argsort(mix64(clean["word"].to_numpy().view(np.uint64) + np.uint64(7)),
                      kind="stable")[:LANDMARKS[1]]
     marks = np.concatenate([m[pos], cw[neg]])
-    knm, kmm = kernel(np.concatenate([m, cw]), marks), kernel(marks, marks)
+    kmm = kernel(marks, marks)
     val, vec = np.linalg.eigh((kmm + kmm.T) / 2)
     use = val > 1e-6 * val.max()
     proj = vec[:, use] / np.sqrt(val[use])
-    z = knm @ proj
-    del knm
+    every = np.concatenate([m, cw])
+    z = np.concatenate([kernel(every[lo:lo + 2048], marks) @ proj
+                        for lo in range(0, len(every), 2048)])
     begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     score, w, b = first_score, None, None
     odds_of = np.log((bad + 0.5) / n_bad * n_good / (good + 0.5))
@@ -323,7 +331,7 @@ def _fit(bags: pa.Table, clean: pa.Table, n_bad: int, n_good: int) -> tuple | No
         # A word seen once says little; one that recurs in toxic bags much.
         c[:len(witness)] = np.minimum(times[witness], 20) * np.maximum(odds_of[witness], 0.1)
         c[:len(witness)] *= POSITIVE * len(cw) / c[:len(witness)].sum()
-        w, b = _svm(z[rows], y, c)
+        w, b = _svm(z, rows, y, c)
         score = z[:len(m)] @ w + b
     return None if w is None else (_spread(marks, proj @ w), float(b))
 
@@ -362,7 +370,7 @@ def fit(rows: DataFrame, n_bad: int, n_good: int) -> dict:
     nothing = {"table": None, "prior": n_bad / max(1, n_bad + n_good)}
     if not n_bad or not n_good:
         return nothing
-    bags = stored(rows.mapInArrow(_bags, "doc long, toxic int, word long, line binary"), "bags")
+    bags = stored(rows.mapInArrow(trimmed(_bags), "doc long, toxic int, word long, line binary"), "bags")
     # Labels can be wrong: a word counts as toxic only if it is five times as
     # frequent in toxic documents, not only if clean ones never have it.
     vocabulary = stored(
@@ -396,7 +404,7 @@ def fit(rows: DataFrame, n_bad: int, n_good: int) -> dict:
         F.lit(None).cast("long").alias("doc"), "word", "line", "bad", "good", "score")
     instances = stored(best.withColumn("clean", F.lit(False)).unionByName(
         others.withColumn("clean", F.lit(True))), "instances")
-    got = instances.coalesce(1).mapInArrow(_fit_task(n_bad, n_good), "fit binary").collect()
+    got = instances.coalesce(1).mapInArrow(trimmed(_fit_task(n_bad, n_good)), "fit binary").collect()
     if not got:
         return nothing
     table, bias = pickle.loads(got[0]["fit"])
@@ -483,7 +491,7 @@ def score_documents(docs: DataFrame, model: dict, text: str = "text",
     docs = docs.drop(out)
     shipped = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_scorer(shipped, docs.columns.index(text), out),
+    return docs.mapInArrow(trimmed(_scorer(shipped, docs.columns.index(text), out)),
                            f"{fields}, `{out}` double")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm import bpe
-from citystream.llm.common import read, small_batches, stored
+from citystream.llm.common import read, small_batches, stored, trimmed
 
 #: Most words in the shipped table: about 10 MB packed.
 TABLE_WORDS = 250_000
@@ -68,7 +68,7 @@ def word_table(docs: DataFrame, tokenizer: str, limit: int = TABLE_WORDS) -> Dat
             break
         least = r["c"]
     return (counts.where(level >= least).select("word")
-            .mapInArrow(_encode_words(tokenizer), "word string, ids array<int>"))
+            .mapInArrow(trimmed(_encode_words(tokenizer)), "word string, ids array<int>"))
 
 
 def _encoder(tokenizer: str, shipped, text: int, by_id=None):
@@ -137,7 +137,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text",
     docs = docs.drop("ids", "decoded")
     by_id = _shipped_pieces(docs.sparkSession, tokenizer) if decoded else None
     more = ["`ids` array<int>"] + ["`decoded` string"] * decoded
-    return docs.mapInArrow(_encoder(tokenizer, ship(table), docs.columns.index(text), by_id),
+    return docs.mapInArrow(trimmed(_encoder(tokenizer, ship(table), docs.columns.index(text), by_id)),
                            _fields(docs, *more))
 
 
