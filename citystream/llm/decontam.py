@@ -16,12 +16,13 @@ Items shorter than a window are one window of their own length, as templates
 from ``SHORTEST`` words on.  Verbatim copies (but for case and punctuation) are
 found whatever the templates say: an item's first window and every window that
 is no template join by the words themselves, and an item is found too if
-windows of both sorts cover ``COVER`` of all its windows.  An item of one word
-so flags each document with that word.  Whether an item's first word is a name
+windows of both sorts cover ``COVER`` of all its windows.  Items below
+``SHORTEST`` words say too little inside other text: they are found where they
+stand as a sentence or a line of their own.  Whether an item's first word is a name
 cannot be told, so its first window is indexed with a plain word and with a
 name.  Before the join, documents' windows pass a bit table
-of the benchmark's window hashes: its size is fixed (2 ** ``FILTER_BITS``
-bits), whatever the benchmark's; false hits fall out of the join.
+of the benchmark's window hashes, some 16 bits a window up to 2 ** ``MOST_BITS``
+bits (32 MB), put together by Spark; false hits fall out of the join.
 
 Defined results: null or empty text -- no windows, not contaminated; null item
 texts are not used; repeated rows and repeated doc_ids are flagged alike (a
@@ -39,14 +40,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.bpe import slices
-from citystream.llm.common import mix64, read, small_batches, trimmed
+from citystream.llm.common import mix64, read, small_batches, stored, trimmed
 from citystream.llm.langid import unicode_tables
 
 WINDOW, LITERALS, SHORTEST = 8, 5, 4
 COVER = 0.3
 #: Consecutive words of an item that contaminate a document by themselves.
 PASSAGE = 13
-FILTER_BITS = 24
+#: Bits of the table as a power of two, least and most.
+LEAST_BITS, MOST_BITS = 16, 28
 #: Slot types.
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
 
@@ -98,7 +100,8 @@ def _digit_table() -> tuple[np.ndarray, np.ndarray]:
 
 
 def template(texts: list[str]):
-    """(template word hash, slot type, value hash, text number) of all words.
+    """(template word hash, slot type, value hash, text number, edges) of all
+    words; edges: 1 begins a sentence or line, 2 ends one, 3 both.
 
     Words are runs of letters or of digits with inner points and commas; names
     are capitalised words (one capital, then none) that do not begin a text, a
@@ -109,7 +112,7 @@ def template(texts: list[str]):
     cp = np.frombuffer(raw, np.uint32)
     none = np.zeros(0, np.uint64)
     if not len(cp):
-        return none, np.zeros(0, np.int8), none, np.zeros(0, np.int64)
+        return none, np.zeros(0, np.int8), none, np.zeros(0, np.int64), np.zeros(0, np.int8)
     ends = np.cumsum([len(x) + 1 for x in texts])
     is_digit, letter = digit[cp], t["letter"][cp]
     point = (cp == 46) | (cp == 44)
@@ -122,7 +125,7 @@ def template(texts: list[str]):
     keep = kind[a] > 0
     a, b = a[keep], b[keep]
     if not len(a):
-        return none, np.zeros(0, np.int8), none, np.zeros(0, np.int64)
+        return none, np.zeros(0, np.int8), none, np.zeros(0, np.int64), np.zeros(0, np.int8)
     lens = b - a
     first = np.cumsum(lens) - lens
     value = _word_hash(t["lower"][cp[kind > 0]].astype(np.uint64), first, lens)
@@ -143,7 +146,14 @@ def template(texts: list[str]):
     behind = np.zeros(len(a), bool)
     behind[1:] = (slot[:-1] == NUMBER) & (doc[1:] == doc[:-1])
     slot[known & behind] = UNIT
-    return np.where(slot > 0, _SLOT[slot], value), slot, value, doc
+    # First visible character behind the word; none or an end mark: an end.
+    ahead = np.where(blank & ~line, len(cp), np.arange(len(cp)))
+    ahead = np.minimum.accumulate(ahead[::-1])[::-1]
+    after = np.where(b < len(cp), ahead[np.minimum(b, len(cp) - 1)], len(cp))
+    mark = np.where(after < len(cp), cp[np.minimum(after, len(cp) - 1)], 10)
+    stops = np.isin(mark, np.array([10, 33, 46, 58, 59, 63, 34, 0x201D, 0x2026]))
+    edges = begins.astype(np.int8) + 2 * stops.astype(np.int8)
+    return np.where(slot > 0, _SLOT[slot], value), slot, value, doc, edges
 
 
 def windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, size: int, exact: bool = False):
@@ -166,7 +176,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     whether of the words themselves, number of templates and of all windows."""
     for b in batches:
         texts = [t or "" for t in b.column(1).to_pylist()]
-        h, slot, value, doc = template(texts)
+        h, slot, value, doc, _ = template(texts)
         count = np.bincount(doc, minlength=len(texts)) if len(h) else np.zeros(len(texts), int)
         begin = np.cumsum(count) - count
         ids = b.column(0).to_pylist()
@@ -215,21 +225,23 @@ def _slots(slot: np.ndarray, value: np.ndarray, pos: int, size: int) -> list[int
     return value[own][slot[own] > 0].view(np.int64).tolist()
 
 
-def _hits(bits, sizes: list[tuple[int, bool]]):
+def _hits(bits, power: int, sizes: list[tuple[int, bool]]):
     """doc_id, text -> windows whose hash is in the bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits.value, np.uint8)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for lo, hi in slices(texts, 1_000_000):
-                h, slot, value, doc = template(texts[lo:hi])
+                h, slot, value, doc, edges = template(texts[lo:hi])
                 if not len(h):
                     continue
                 start = np.searchsorted(doc, np.arange(hi - lo))
                 for size, exact in sizes:
                     w, pos = windows(value if exact else h, slot, doc, size, exact)
-                    code = (w >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                    code = (w >> np.uint64(64 - power)).astype(np.int64)
                     ok = (table[code >> 3] >> (code & 7).astype(np.uint8)) & 1 == 1
+                    if size < SHORTEST:
+                        ok &= (edges[pos] & 1 > 0) & (edges[pos + size - 1] & 2 > 0)
                     w, pos = w[ok], pos[ok]
                     if not len(w):
                         continue
@@ -247,20 +259,25 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     with the number of the item's windows that consistent alignments cover."""
     spark = docs.sparkSession
     small_batches(spark)
-    items = (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-             .where("text is not null")
-             .mapInArrow(_item_rows, "w long, item_id long, ipos long, isize int, exact boolean, "
-                                     "iwindows long, iall long, islots array<bigint>"))
-    # The set bits of the filter: at most 2 ** FILTER_BITS numbers.
-    code = F.shiftrightunsigned("w", 64 - FILTER_BITS).cast("int")
-    got = items.select(code.alias("c"), "isize", "exact").distinct().toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    c = got.column("c").to_numpy()
-    np.bitwise_or.at(bits, c >> 3, (1 << (c & 7)).astype(np.uint8))
-    sizes = sorted(set(zip(got.column("isize").to_pylist(), got.column("exact").to_pylist())))
+    items = stored(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+                   .where("text is not null")
+                   .mapInArrow(_item_rows,
+                               "w long, item_id long, ipos long, isize int, exact boolean, "
+                               "iwindows long, iall long, islots array<bigint>"), "item-windows")
+    # At most WINDOW sizes of two kinds.
+    sizes = {(r["isize"], r["exact"]): r["n"] for r in
+             items.groupBy("isize", "exact").agg(F.count("*").alias("n")).collect()}
+    power = min(MOST_BITS, max(LEAST_BITS, sum(sizes.values()).bit_length() + 4))
+    # The table in pieces of 32,768 bits, put together where the windows are.
+    code = F.shiftrightunsigned("w", 64 - power) + 1
+    bits = np.zeros(1 << (power - 3), np.uint8)
+    for r in items.groupBy(F.bitmap_bucket_number(code).alias("at")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("piece")).toLocalIterator():
+        piece = np.frombuffer(r["piece"], np.uint8)[:len(bits)]
+        bits[(r["at"] - 1) * 4096:(r["at"] - 1) * 4096 + len(piece)] = piece
     shipped = spark.sparkContext.broadcast(bits.tobytes())
     hits = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(trimmed(_hits(shipped, sizes)),
+            .mapInArrow(trimmed(_hits(shipped, power, sorted(sizes))),
                         "doc_id long, w long, dpos long, dslots array<bigint>"))
     pairs = F.arrays_zip(F.col("islots").alias("i"), F.col("dslots").alias("d"))
     aligned = (hits.join(items, "w")

@@ -18,6 +18,10 @@ scores that reach the query's k-th score so far leave a visit.
 Pivots are fitted on a bounded sample (``SAMPLE`` rows by hash of vec_id); the
 index holds every row, and results are exact whatever the pivots are.
 
+Components and norms are doubles, which hold them exactly; products are summed as
+doubles, 64-bit or Python integers, by size.  A score outside 64 bits leaves as
+the nearest long, and counts as that in the order.
+
 Defined results: null vectors and vectors with null or non-finite components
 take no part, neither do null ids; shorter vectors are padded with zeros; rows
 that repeat a vec_id count once (the smallest vector); ties go to the smaller
@@ -36,8 +40,12 @@ from pyspark.sql import functions as F
 from citystream.llm.common import read, small_batches, stored, width
 
 SCALE = 64
+#: Components beyond this count as this: their scores are outside 64 bits anyway.
+LARGEST = 1e140
 CELL = 2048
 QUERY_BLOCK = 256
+#: Score of a k-th result that is not known yet.
+NONE = -(2 ** 63)
 #: Rows that pivots are fitted on; most pivots; annuli of the first visit.
 SAMPLE, PIVOTS, FIRST = 4096, 64, 3
 
@@ -66,18 +74,23 @@ def _augment(v: np.ndarray, most: float) -> np.ndarray:
     return np.hstack([v, np.sqrt(np.maximum(most - (v ** 2).sum(1), 0))[:, None]])
 
 
+def _floor(e):
+    """floor(64 e) as a double: from 2^53 on a double is a whole number."""
+    y = F.greatest(F.least(e, F.lit(LARGEST)), F.lit(-LARGEST)) * SCALE
+    return F.when(F.abs(y) < 2.0 ** 53, F.floor(y).cast("double")).otherwise(y)
+
+
 def integer_vectors(table: DataFrame, id_col: str = "vec_id",
                     vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, v array<bigint>, norm2) of the rows that take part."""
+    """(vec_id, v array<double>, norm2) of the rows that take part."""
     x = F.transform(F.col(vec_col), lambda e: e.cast("double"))
     fine = F.forall(F.col("x"), lambda e: e.isNotNull() & ~F.isnan(e)
                     & (F.abs(e) < F.lit(float("inf"))))
     return (table.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
             .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & fine)
-            .select("vec_id", F.transform("x", lambda e: F.floor(e * SCALE)).alias("v"))
+            .select("vec_id", F.transform("x", _floor).alias("v"))
             .groupBy("vec_id").agg(F.min("v").alias("v"))
-            .withColumn("norm2", F.aggregate("v", F.lit(0).cast("long"),
-                                             lambda a, e: a + e * e)))
+            .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)))
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -102,7 +115,7 @@ def _keyer(pivots, most: float, dim: int):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(v)), near]),
                  pa.array(dq.argmin(1).astype(np.int32)), pa.array(dq.min(1)),
-                 pa.array([x.tobytes() for x in v.astype("<i4")], pa.binary())],
+                 pa.array([x.tobytes() for x in v.astype("<f8")], pa.binary())],
                 ["vec_id", "pivot", "r", "qpivot", "qr", "v"])
     return run
 
@@ -150,16 +163,16 @@ def _reach(pivots, most: float, dim: int, first: bool):
         p = pivots.value
         for b in batches:
             for cell, vs, taus in zip(*(b.column(i).to_pylist() for i in range(3))):
-                q = np.frombuffer(vs, "<i4").reshape(-1, dim).astype(float)
+                q = np.frombuffer(vs, "<f8").reshape(-1, dim)
                 d = _distances(np.hstack([q, np.zeros((len(q), 1))]), p)
                 if first:
                     lo = hi = d.mean(0)
                 else:
-                    tau = np.frombuffer(taus, "<f8")
-                    sq = (q ** 2).sum(1) + most - 2 * tau
-                    radius = np.where(np.isfinite(tau), np.sqrt(np.maximum(sq, 0)), np.inf)
+                    tau = np.frombuffer(taus, "<i8").reshape(-1, 2)[:, 0]
+                    all_ = (q ** 2).sum(1) + most
+                    radius = np.where(tau > NONE, np.sqrt(np.maximum(all_ - 2.0 * tau, 0)), np.inf)
                     # Slack for rounding: a larger radius only visits more.
-                    radius = radius * (1 + 1e-9) + 1e-3
+                    radius = radius + 1e-6 * np.sqrt(all_) + 1e-3
                     lo = (d - radius[:, None]).min(0)
                     hi = (d + radius[:, None]).max(0)
                 yield pa.RecordBatch.from_arrays(
@@ -168,23 +181,35 @@ def _reach(pivots, most: float, dim: int, first: bool):
     return run
 
 
+def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers of any size, held to 64 bits."""
+    x, y = (np.array([[int(e) for e in row] for row in m], object).reshape(m.shape) for m in (q, c))
+    most = 2 ** 63 - 1
+    return np.array([[max(-most, min(most, int(v))) for v in row] for row in x @ y.T],
+                    np.int64).reshape(len(q), len(c))
+
+
 def _visit(k: int, dim: int):
     """(ids, vs) of a query block with (ids, vs) of a cell -> its best products
-    that reach tau, at most k a query."""
+    that come before the query's k-th result so far, at most k a query."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for qi, qv, taus, ci, cv in zip(*(b.column(i) for i in range(5))):
                 qid = np.frombuffer(qi.as_buffer(), "<i8")
                 cid = np.frombuffer(ci.as_buffer(), "<i8")
-                tau = np.frombuffer(taus.as_buffer(), "<f8")
-                q = np.frombuffer(qv.as_buffer(), "<i4").reshape(-1, dim)
-                c = np.frombuffer(cv.as_buffer(), "<i4").reshape(-1, dim)
+                tau, last = np.frombuffer(taus.as_buffer(), "<i8").reshape(-1, 2).T
+                q = np.frombuffer(qv.as_buffer(), "<f8").reshape(-1, dim)
+                c = np.frombuffer(cv.as_buffer(), "<f8").reshape(-1, dim)
                 order = np.argsort(cid, kind="stable")  # ties: smaller vec_id first
                 cid, c = cid[order], c[order]
                 big = np.abs(q).max(initial=0) * 1.0 * np.abs(c).max(initial=0) * dim
-                s = (q.astype(float) @ c.astype(float).T if big < 2.0 ** 52
-                     else (q.astype(np.int64) @ c.astype(np.int64).T))
-                take = s >= tau[:, None]
+                if big < 2.0 ** 52:
+                    s = (q @ c.T).astype(np.int64)
+                elif big < 2.0 ** 62:
+                    s = q.astype(np.int64) @ c.astype(np.int64).T
+                else:
+                    s = _products(q, c)
+                take = (s > tau[:, None]) | ((s == tau[:, None]) & (cid[None, :] < last[:, None]))
                 take &= qid[:, None] != cid[None, :]
                 rows, cols, vals = [], [], []
                 for i in np.flatnonzero(take.any(1)):
@@ -193,7 +218,7 @@ def _visit(k: int, dim: int):
                         j = j[np.argsort(-s[i, j], kind="stable")[:k]]
                     rows.append(np.full(len(j), qid[i]))
                     cols.append(cid[j])
-                    vals.append(s[i, j].astype(np.int64))
+                    vals.append(s[i, j])
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in (rows, cols, vals)],
@@ -207,16 +232,15 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def _with_taus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """block, ids, vs, [query ids], [taus] -> block, ids, vs, taus in id order."""
+    """block, ids, vs, [(query id, score, vec_id of its k-th result)] -> block, ids,
+    vs, taus: (score, vec_id) in id order."""
     for b in batches:
         out = []
-        for ids, qs, ts in zip(*(b.column(i) for i in (1, 3, 4))):
+        for ids, kth in zip(b.column(1), b.column(3)):
             own = np.frombuffer(ids.as_buffer(), "<i8")
-            tau = np.full(len(own), -np.inf)
-            if qs.is_valid:
-                at = dict(zip(qs.as_py(), ts.as_py()))
-                tau = np.array([at.get(int(x), -np.inf) for x in own], float)
-            out.append(tau.astype("<f8").tobytes())
+            at = {x["query_id"]: (x["score"], x["vec_id"]) for x in kth.as_py() or []}
+            tau = [at.get(int(x), (NONE, NONE)) for x in own]
+            out.append(np.array(tau, "<i8").tobytes())
         yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.binary())],
                                          ["block", "ids", "vs", "taus"])
 
@@ -247,6 +271,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     n = width(spark)
     cells = stored(keyed.select("vec_id", "pivot", "r", "v")
                    .repartitionByRange(n, "pivot", "r", "vec_id")
+                   # Full cells, however many partitions the session deals rows to.
+                   .coalesce(max(1, -(-size["n"] // (4 * CELL))))
                    .sortWithinPartitions("pivot", "r", "vec_id")
                    .mapInArrow(_packer(CELL), _CELL), "cells")
     asked = keyed.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
@@ -277,16 +303,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     def with_taus(found: DataFrame | None) -> DataFrame:
         if found is None:
-            known = blocks.select("block", "ids", "vs", F.lit(None).cast("array<bigint>").alias("q"),
-                                  F.lit(None).cast("array<double>").alias("t"))
+            known = blocks.select("block", "ids", "vs", F.lit(None).cast(
+                "array<struct<query_id:bigint,score:bigint,vec_id:bigint>>").alias("kth"))
         else:
-            tau = (_best(found, k).groupBy("query_id")
-                   .agg(F.count("*").alias("m"), F.min("score").cast("double").alias("tau"))
-                   .where(F.col("m") >= k))
+            kth = _best(found, k).where(F.col("rank") == k).select("query_id", "score", "vec_id")
             home = blocks.select("block", "ids").mapInArrow(_unpack, "block long, query_id long")
-            per = (home.join(tau, "query_id").groupBy("block")
-                   .agg(F.collect_list("query_id").alias("q"), F.collect_list("tau").alias("t")))
-            known = blocks.join(per, "block", "left").select("block", "ids", "vs", "q", "t")
+            per = (home.join(kth, "query_id").groupBy("block")
+                   .agg(F.collect_list(F.struct("query_id", "score", "vec_id")).alias("kth")))
+            known = blocks.join(per, "block", "left").select("block", "ids", "vs", "kth")
         return known.mapInArrow(_with_taus, "block long, ids binary, vs binary, taus binary")
 
     found = stored(_best(visit(start, with_taus(None)), k).drop("rank"), "first-found")

@@ -45,6 +45,38 @@ def test_top_k_against_brute_force(spark, monkeypatch, cell, block):
     assert got == _brute_top(rows, ids, 6)
 
 
+@pytest.mark.parametrize("large", [4e7, 1e8, 1e12, 1e300])
+def test_top_k_of_large_components(spark, large):
+    """Scores within 64 bits are exact, others leave as the nearest long."""
+    r = np.random.default_rng(2)
+    rows = [(i, r.normal(size=4).tolist()) for i in range(50)]
+    rows += [(100, [large, 0.5, 0.0, 0.0]), (101, [-large, 1.0, 2.0, large / 2]), (102, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids = [0, 20, 40, 100, 102]
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in topk.top_k(
+        topk.integer_vectors(df), spark.createDataFrame([(i,) for i in ids], "vec_id long"), 5).collect())
+    most = 2 ** 63 - 1
+    v = {i: [int(x) * 64 if abs(x) >= 2 ** 53 else int(np.floor(64 * x))
+             for x in np.clip(xs, -1e140, 1e140).tolist()] for i, xs in rows}
+    want = []
+    for q in ids:
+        s = sorted((-max(-most, min(most, sum(a * b for a, b in zip(v[q], v[i])))), i) for i in v if i != q)
+        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s[:5])]
+    assert got == want
+
+
+def test_ties_at_the_last_place_stay_in_their_cells(spark):
+    """A visit gives only rows before the query's k-th result."""
+    import pyarrow as pa
+    q = pa.RecordBatch.from_arrays(
+        [pa.array([x], pa.binary()) for x in (
+            np.array([7], "<i8").tobytes(), np.ones((1, 2), "<f8").tobytes(),
+            np.array([[6, 50]], "<i8").tobytes(), np.arange(100, dtype="<i8").tobytes(),
+            np.full((100, 2), 3, "<f8").tobytes())], ["ids", "vs", "taus", "cids", "cvs"])
+    out = [x for b in topk._visit(60, 2)(iter([q])) for x in b.to_pylist()]
+    assert [x["vec_id"] for x in out] == [i for i in range(50) if i != 7]
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (20, [2.0]), (5, [-1.0])],
                                "vec_id long, embedding array<float>")
@@ -243,6 +275,11 @@ def test_templates(spark, documents, prose):
                                    (1, ITEM)], ITEMS)
     got = {x.doc_id: x.items for x in decontam.flagged(documents(docs), bench).collect()}
     assert got == {1: [1], 2: [1], 8: [1], None: [1]}
+    short = spark.createDataFrame([(1, "Yes"), (2, "The red one.")], ITEMS)
+    said = documents([(1, "I said yes to them."), (2, "Is it so? Yes! It is."), (3, "no\nyes\nno"),
+                      (4, "Take the red one there"), (5, "Which? The red one."), (6, "yes")])
+    assert {x.doc_id: x.items for x in decontam.flagged(said, short).collect()} == {
+        2: [1], 3: [1], 5: [2], 6: [1]}
     left = decontam.decontaminate(documents(docs), bench)
     assert sorted(x.doc_id for x in left.collect()) == [3, 4, 5, 6, 7]
     assert left.columns == documents(docs).columns
