@@ -6,14 +6,20 @@ highest sum, and that run is the content region.  The weights are learned
 from labelled pages: pages with an ``article`` or ``main`` element (or
 itemprop articleBody) say which words and tags lie inside the content.  A
 tag's weight is the smoothed log ratio of its frequency inside and outside,
-at most 0; words weigh ``WORD``, or as much below 0 inside boilerplate
-elements.  Counts are summed over all labelled pages in Spark.
+at most 0.  A word weighs ``WORD`` plus the weights of where it stands: the block
+element it stands in, the boilerplate elements of HTML around it, the words of
+their class, id and role values.  Each weighs the log odds of words there to be
+content, at most 0, at least ``LOW``; so a word in a menu scores negative.
+Elements and names that no labelled page shows have the weights ``PRIOR``,
+which count as ``PSEUDO`` words seen.  Counts are summed over all labelled pages
+in Spark.  The labelled element itself is no feature, so pages without it are
+read alike.
 
 The region is widened to the smallest element that holds all of it, unless
-that is the page itself, so short paragraphs at its ends are not lost; blocks
-inside menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments are left out.  Character references are decoded, white space inside a
-block becomes one blank, blocks are joined in page order by an empty line.
+that is the page itself, so short paragraphs at its ends are not lost; runs of
+negative words inside (menus, notices, adverts, forms, reader comments) leave.
+Character references are decoded, white space inside a block becomes one blank,
+blocks are joined in page order by an empty line.
 
 Defined results: null, empty or textless pages give an empty text; without any
 labelled page the weights are ``DEFAULT_TAG`` for every tag; broken markup
@@ -34,6 +40,9 @@ from pyspark.sql import functions as F
 from citystream.llm.common import read, small_batches
 
 WORD, DEFAULT_TAG = 1.0, -3.25
+#: Weights of boilerplate elements and names (``marked``) that were not learned, the
+#: words that these count for in learning, and the least weight.
+PRIOR, MARKED, PSEUDO, LOW = -3.0, -6.0, 20, -8.0
 #: Open elements at most; deeper ones count as their parent's, as in browsers.
 DEPTH = 512
 
@@ -94,21 +103,50 @@ def _is_boiler(tag: str, attrs: str, in_content: bool) -> bool:
 
 class Block:
     """A text block: its words' text, the tags since the block before it, the
-    open elements (numbers) around it, and what those mean."""
-    __slots__ = ("parts", "tags", "path", "boiler", "inside")
+    open elements (numbers) around it, what those mean, and the features of
+    its place."""
+    __slots__ = ("parts", "tags", "path", "boiler", "inside", "place")
 
-    def __init__(self, tags, path, boiler, inside):
+    def __init__(self, tags, path, boiler, inside, place):
         self.parts, self.tags, self.path = [], tags, path
-        self.boiler, self.inside = boiler, inside
+        self.boiler, self.inside, self.place = boiler, inside, place
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
+def _features(tag: str, attrs: str, boiler: bool, own: bool) -> tuple[str, ...]:
+    """What an element says about the words in it; ``own``: it is boilerplate
+    itself, ``boiler``: it is or stands in boilerplate."""
+    out = []
+    if own and (tag in BOILER or tag == "header"):
+        out.append(f"in:{tag}")
+    elif own:
+        out.append("marked")
+    for m in _NAMES.finditer(attrs) if attrs and tag not in CONTENT else ():
+        for name in (m.group(1) or m.group(2) or m.group(3) or "").split():
+            out += [f"name:{p.lower()}" for p in _PART.findall(name)]
+    return tuple(out)
+
+
+def _place(stack: list[tuple]) -> tuple[str, ...]:
+    """Features of a text: its nearest block element's tag and all around it."""
+    near = next((x[0] for x in reversed(stack) if x[0] in BLOCKS), "")
+    own = (f"at:{near}",) if near and near not in CONTENT | {"body", "html"} else ()
+    return own + (stack[-1][4] if stack else ())
+
+
+def word_weight(b: "Block", weights: dict[str, float]) -> float:
+    """Score of one word of a block."""
+    total = sum(weights.get(f, PRIOR if f[:3] == "in:" else MARKED if f == "marked" else 0.0)
+                for f in set(b.place))
+    return WORD + max(LOW, min(0.0, total))
+
+
 def blocks(page: str) -> list[Block]:
     """All text blocks of a page in page order."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (tag, number, boilerplate, content)
+    stack: list[tuple] = []  # (tag, number, boilerplate, content, features)
     number, at, n = 0, 0, len(page)
     tags: list[str] = []
     now: Block | None = None
@@ -161,8 +199,9 @@ def blocks(page: str) -> list[Block]:
                 continue
             if tag in ("html", "body") and any(s[0] == tag for s in stack):
                 continue
-            stack.append((tag, number, up_boiler or _is_boiler(tag, attrs or "", up_content),
-                          content))
+            mine = _is_boiler(tag, attrs or "", up_content)
+            stack.append((tag, number, up_boiler or mine, content,
+                          (stack[-1][4] if stack else ()) + _features(tag, attrs or "", up_boiler, mine)))
         elif text is not None or lone:
             raw = text or lone
             if now is None and raw.isspace():
@@ -170,15 +209,16 @@ def blocks(page: str) -> list[Block]:
             if now is None:
                 boiler, inside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
                 now = Block(tags, tuple(s[1] for s in stack if s[0] not in ("html", "body")),
-                            boiler, inside)
+                            boiler, inside, _place(stack))
                 tags = []
                 out.append(now)
             elif (stack[-1][2] if stack else False) != now.boiler:
                 if raw.strip():  # an inline boilerplate element inside a block
-                    side = Block(tags, now.path, stack[-1][2] if stack else False, now.inside)
+                    side = Block(tags, now.path, stack[-1][2] if stack else False, now.inside,
+                                 _place(stack))
                     side.parts.append(html.unescape(raw))
                     out.append(side)
-                    now = Block([], now.path, now.boiler, now.inside)
+                    now = Block([], now.path, now.boiler, now.inside, now.place)
                     out.append(now)
                     tags = []
                 continue
@@ -187,8 +227,8 @@ def blocks(page: str) -> list[Block]:
 
 
 def count_tags(pages: list[str]) -> dict[str, list[int]]:
-    """tag -> [inside content, outside] over the labelled pages of a batch;
-    ``#word`` and ``#page`` count words and labelled pages."""
+    """Tag or feature -> [inside content, outside] over the labelled pages of a
+    batch, features by words; ``#word`` and ``#page`` count words and pages."""
     total: dict[str, list[int]] = {"#page": [0, 0], "#word": [0, 0]}
     for page in pages:
         found = blocks(page)
@@ -197,7 +237,10 @@ def count_tags(pages: list[str]) -> dict[str, list[int]]:
         total["#page"][0] += 1
         for b in found:
             side = 0 if b.inside and not b.boiler else 1
-            total["#word"][side] += len(b.text().split())
+            words = len(b.text().split())
+            total["#word"][side] += words
+            for f in set(b.place):
+                total.setdefault(f, [0, 0])[side] += words
             for t in b.tags:
                 if t.lstrip("/") in BLOCKS or t.lstrip("/") in ("a", "b", "i", "span", "em",
                                                                  "strong", "br", "img", "input"):
@@ -206,25 +249,31 @@ def count_tags(pages: list[str]) -> dict[str, list[int]]:
 
 
 def weights_from(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Log ratio of each tag's rate inside and outside the content, at most 0."""
+    """Log ratio of each tag's rate inside and outside the content, and log odds
+    of words in each place to be content; at most 0."""
     import math
     if counts.get("#page", (0, 0))[0] == 0:
         return {}
-    rows = {k: v for k, v in counts.items() if k[0] != "#"}
+    places = {k: v for k, v in counts.items() if ":" in k or k == "marked"}
+    rows = {k: v for k, v in counts.items() if k[0] != "#" and k not in places}
     inside = sum(v[0] for v in rows.values()) + len(rows) + 1
     outside = sum(v[1] for v in rows.values()) + len(rows) + 1
-    return {k: min(0.0, math.log((v[0] + 1) / inside) - math.log((v[1] + 1) / outside))
-            for k, v in rows.items()}
+    out = {k: min(0.0, math.log((v[0] + 1) / inside) - math.log((v[1] + 1) / outside))
+           for k, v in rows.items()}
+    for k, v in places.items():
+        known = PSEUDO if k[:3] == "in:" or k == "marked" else 0
+        out[k] = max(LOW, min(0.0, math.log((v[0] + 0.5) / (v[1] + known + 0.5))))
+    return out
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The main text of one page."""
     found = blocks(page or "")
     texts = [b.text() for b in found]
+    score = [word_weight(b, weights) for b in found]
     best, best_at, run, start = 0.0, None, 0.0, 0
     for i, b in enumerate(found):
-        words = len(texts[i].split())
-        worth = -WORD * words if b.boiler else WORD * words
+        worth = score[i] * len(texts[i].split())
         cost = sum(weights.get(t.lstrip("/"), DEFAULT_TAG if not weights else 0.0) for t in b.tags)
         # Tags before a region do not count against it: extend the run over
         # them, or begin behind them, whichever is worth more.
@@ -238,8 +287,8 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     lo, hi = best_at
     path = found[lo].path
-    for b in found[lo:hi + 1]:
-        if not b.boiler:
+    for b, own in zip(found[lo:hi + 1], score[lo:hi + 1]):
+        if own > 0:
             same = 0
             for x, y in zip(path, b.path):
                 if x != y:
@@ -252,7 +301,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         keep = [i for i, b in enumerate(found) if b.path[:len(path)] == path]
     else:
         keep = range(lo, hi + 1)
-    return "\n\n".join(texts[i] for i in keep if not found[i].boiler)
+    return "\n\n".join(texts[i] for i in keep if score[i] > 0)
 
 
 # ---- Spark ------------------------------------------------------------------

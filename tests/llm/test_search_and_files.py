@@ -239,6 +239,37 @@ def test_best_region_against_all_regions(prose):
         assert htmlmain.main_text(page, w) == "\n\n".join(b.text() for b in found[lo:hi + 1])
 
 
+def _pages(n=120):
+    import duckdb
+    return [h for (h,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet' "
+                                     f"ORDER BY page_id LIMIT {n}").fetchall()]
+
+
+def _inside(page):
+    return "\n\n".join(b.text() for b in htmlmain.blocks(page) if b.inside)
+
+
+def test_held_out_pages_without_the_labelled_element():
+    """Weights of one half read the other half's articles, named div there."""
+    pages = _pages()
+    w = htmlmain.weights_from(htmlmain.count_tags(pages[::2]))
+    hidden = [p.replace("<article", "<div").replace("</article", "</div") for p in pages[1::2]]
+    same = [htmlmain.main_text(h, w) == _inside(p) for h, p in zip(hidden, pages[1::2])]
+    assert np.mean(same) >= 0.95
+    assert np.mean([htmlmain.main_text(p, w) == _inside(p) for p in pages[1::2]]) >= 0.95
+
+
+def test_weights_decide_and_names_do_not():
+    import re
+    pages = _pages()
+    w = htmlmain.weights_from(htmlmain.count_tags(pages))
+    text = [htmlmain.main_text(p, w) for p in pages]
+    flat = [htmlmain.main_text(p, dict.fromkeys(w, 0.0)) for p in pages]
+    assert np.mean([a != b for a, b in zip(text, flat)]) >= 0.9
+    named = [re.sub(r'class="[^"]*"', 'class="zq"', p) for p in pages]
+    assert np.mean([a == htmlmain.main_text(p, w) for a, p in zip(text, named)]) >= 0.95
+
+
 def test_html_query(spark, tables):
     rows = [(1, "u", FULL), (1, "u", FULL), (2, None, None), (None, "v", "<article>x y</article>"),
             (3, "w", "<article><p>" + "word " * 200_000 + "</p></article>")]
