@@ -397,6 +397,40 @@ SELECT sensor_id, zone, CAST(aqi AS BIGINT) AS aqi, event_id,
 FROM air_quality""", "air_quality")
 
 
+def _q_text_timestamps() -> str:
+    return with_views("""
+SELECT event_id, bus_id,
+       CASE WHEN event_id % 6 = 0 THEN epoch_us(event_time) // 1000
+            WHEN event_id % 6 IN (1, 2, 3) THEN epoch_us(date_trunc('second', event_time)) // 1000
+       END AS event_ms FROM bus_gps""", "bus_gps")
+
+
+def _q_dead_letters_now() -> str:
+    return with_views("""
+SELECT original_topic, error_reason, event_id, true AS stamped_now
+FROM validated WHERE error_reason IS NOT NULL AND original_topic = 'air_quality'""",
+                      "air_quality", "bus_gps", extra=_VALIDATED.strip())
+
+
+def _q_stream_scan_totals() -> str:
+    return with_views("""
+SELECT (SELECT count(*) FROM validated WHERE original_topic = 'air_quality') AS scanned,
+       (SELECT count(error_reason) FROM validated WHERE original_topic = 'air_quality') AS failed,
+       (SELECT count(DISTINCT zone) FROM air_quality) AS zones""",
+                      "air_quality", "bus_gps", extra=_VALIDATED.strip())
+
+
+def _q_stream_rolling_aqi() -> str:
+    """Windows whose end the watermark (newest reading less 5 minutes) has passed."""
+    return with_views("""
+SELECT CAST(ws AS VARCHAR) AS window_start, r.zone, round(avg(r.aqi), 6) AS rolling_avg_aqi,
+       count(r.aqi) AS readings
+FROM rolling_src r GROUP BY ws, r.zone
+HAVING ws + INTERVAL '10 minutes' <= (SELECT max(event_time) FROM air_quality WHERE aqi IS NOT NULL)
+                                     - INTERVAL '5 minutes'""",
+                      "air_quality", extra=_rolling(10, 1).strip())
+
+
 def _q_latest_positions() -> str:
     return with_views("""
 SELECT route_id, bus_id, lat, lon, event_id, epoch_us(event_time) // 1000 AS event_ms
@@ -449,6 +483,10 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_bunching_ordered": _q_bunching(),
         "q_stream_bunching_state": _q_bunching(forget_s=12 * 3600),
         "q_paced_stream": _q_paced_stream(),
+        "q_text_timestamps": _q_text_timestamps(),
+        "q_dead_letters_now": _q_dead_letters_now(),
+        "q_stream_scan_totals": _q_stream_scan_totals(),
+        "q_stream_rolling_aqi": _q_stream_rolling_aqi(),
         "q_paced_backlog": _q_paced_backlog(),
         "q_stored_generations": _q_stored_generations(),
         "q_stream_late_rows": "SELECT count(*) AS input_rows, true AS some_dropped FROM events",

@@ -9,6 +9,8 @@ doubles from sums/means of inexact inputs are rounded to 6 places.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -123,6 +125,31 @@ def q_topic_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_dead_letters(Q.validate_messages(raw))
 
 
+def q_text_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as the producers write them: epoch milliseconds, text without a
+    zone, ISO text with Z or an offset, and text that is no time."""
+    g = Fixtures(spark, sf_dir).gps()
+    k, t = F.col("event_id") % 6, F.date_trunc("second", "event_time")
+    text = (F.when(k == 0, epoch_millis("event_time").cast("string"))
+            .when(k == 1, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+            .when(k == 2, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(k == 3, F.date_format(t + F.expr("interval 330 minutes"), "yyyy-MM-dd HH:mm:ss'+05:30'"))
+            .when(k == 4, F.date_format(t, "dd/MM/yyyy HH:mm")))
+    sent = g.select("event_id", F.to_json(F.struct("bus_id", text.alias("timestamp"))).alias("value"))
+    back = sent.select("event_id", F.from_json("value", "bus_id string, timestamp string").alias("d"))
+    return back.select("event_id", F.col("d.bus_id").alias("bus_id"),
+                       epoch_millis(event_time("d.timestamp")).alias("event_ms"))
+
+
+def q_dead_letters_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters stamped with the time of processing, not of the event."""
+    air = Q.validate(Fixtures(spark, sf_dir).air(), Q.AIR_QUALITY)
+    begin = F.lit(int(time.time() * 1000))
+    return Q.dead_letters(air, Q.AIR_QUALITY, time_col=None).select(
+        "original_topic", "error_reason", "event_id",
+        ((F.col("failed_at") >= begin) & (F.col("failed_at") < begin + 3_600_000)).alias("stamped_now"))
+
+
 def q_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _validated(Fixtures(spark, sf_dir))
     return Q.valid_records(v).select("original_topic", "entity_id", "event_id")
@@ -312,6 +339,8 @@ QUERIES = {
     "q_dead_letters": q_dead_letters,
     "q_topic_dead_letters": q_topic_dead_letters,
     "q_incident_messages": q_incident_messages,
+    "q_text_timestamps": q_text_timestamps,
+    "q_dead_letters_now": q_dead_letters_now,
     "q_valid_events": q_valid_events,
     "q_error_counts": q_error_counts,
     "q_route_enrichment": q_route_enrichment,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from citystream.functions.time import epoch_micros, ntz_to_utc, utc_to_ntz
 from citystream.operators import quality as Q
 from citystream.operators.advisories import advisories_sql, zone_advisories
-from citystream.operators.windows import ward_energy
+from citystream.operators.windows import rolling_aqi, ward_energy
 from citystream.session import scratch_path
 from citystream.sources import fixtures as fx
 from citystream.sources.streams import read_stream
@@ -25,6 +25,7 @@ from citystream.streaming.progress import ProgressLog, file_backlog
 from citystream.streaming.sinks import (EpochManifest, await_all, epoch_writer, fan_out,
                                         fan_out_committed, kv_json_writer, kv_sink, parquet_sink,
                                         to_parquet)
+from citystream.streaming.merged import count_by_epoch, merged_counts
 from citystream.streaming.ordered import bunching_ordered, gridlock_ordered
 from citystream.streaming.stateful import bunching_stream, gridlock_stream
 
@@ -394,6 +395,37 @@ def q_stream_periodic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.coalesce("error_reason", F.lit("TOTAL_SCANNED")).alias("error_reason"), "records"))
 
 
+def q_stream_scan_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings scanned and failed and distinct zones, from partials of every
+    epoch of a job that is stopped and started again half way."""
+    days = scratch_path(spark, "scan_days")
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    _write_slots(ev.where("event_id % 2 = 0"), F.floor(epoch_micros("ts") / (10 * 86_400_000_000)), days)
+    path, checkpoint = scratch_path(spark, "scan_totals"), scratch_path(spark, "scan_totals_ckpt")
+
+    def run() -> None:
+        stream = read_stream(spark, "file", path=days, schema=ev.schema, fmt="parquet",
+                             recursiveFileLookup=True, maxFilesPerTrigger=2 * SLOT_BUCKETS)
+        air = Q.validate(fx.air_quality(stream), Q.AIR_QUALITY)
+        _run(count_by_epoch(air, F.regexp_extract("zone", "([0-9]+)$", 1), path, checkpoint))
+    run()
+    _write_slots(ev.where("event_id % 2 = 1"), F.lit(99), days)
+    run()
+    return merged_counts(spark, path).select("scanned", "failed", F.col("keys").alias("zones"))
+
+
+def q_stream_rolling_aqi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10/1-minute rolling means behind a 5-minute watermark, append mode: only
+    windows that the watermark has closed."""
+    air = _utc(fx.air_quality(event_stream(spark, sf_dir)))
+    agg = rolling_aqi(air, "10 minutes", "1 minute", delay="5 minutes")
+    out = agg.select(utc_to_ntz("window_start").cast("string").alias("window_start"), "zone",
+                     F.round("rolling_avg_aqi", 6).alias("rolling_avg_aqi"), "readings")
+    path = scratch_path(spark, "rolling")
+    _run(to_parquet(out, path, scratch_path(spark, "rolling_ckpt")))
+    return spark.read.schema(out.schema).parquet(path)
+
+
 STREAM_QUERIES = {
     "q_stream_ward_energy": q_stream_ward_energy,
     "q_stream_advisories": q_stream_advisories,
@@ -402,6 +434,8 @@ STREAM_QUERIES = {
     "q_stream_gridlock_ordered": q_stream_gridlock_ordered,
     "q_stream_bunching_ordered": q_stream_bunching_ordered,
     "q_stream_bunching_state": q_stream_bunching_state,
+    "q_stream_scan_totals": q_stream_scan_totals,
+    "q_stream_rolling_aqi": q_stream_rolling_aqi,
     "q_paced_stream": q_paced_stream,
     "q_paced_backlog": q_paced_backlog,
     "q_stream_late_rows": q_stream_late_rows,
