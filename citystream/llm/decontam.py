@@ -16,8 +16,8 @@ Items shorter than a window are one window of their own length, as templates
 from ``SHORTEST`` words on.  Verbatim copies (but for case and punctuation) are
 found whatever the templates say: an item's first window and every window that
 is no template join by the words themselves, and an item is found too if
-windows of both sorts cover ``COVER`` of all its windows.  Items below
-``SHORTEST`` words say too little inside other text: they are found where they
+windows of both sorts cover ``COVER`` of all its windows.  One word says too
+little inside other text: items below ``ALONE`` words are found where they
 stand as a sentence or a line of their own.  Whether an item's first word is a name
 cannot be told, so its first window is indexed with a plain word and with a
 name.  Before the join, documents' windows pass a bit table
@@ -43,7 +43,7 @@ from citystream.llm.bpe import slices
 from citystream.llm.common import mix64, read, small_batches, stored, trimmed
 from citystream.llm.langid import unicode_tables
 
-WINDOW, LITERALS, SHORTEST = 8, 5, 4
+WINDOW, LITERALS, SHORTEST, ALONE = 8, 5, 4, 2
 COVER = 0.3
 #: Consecutive words of an item that contaminate a document by themselves.
 PASSAGE = 13
@@ -240,7 +240,7 @@ def _hits(bits, power: int, sizes: list[tuple[int, bool]]):
                     w, pos = windows(value if exact else h, slot, doc, size, exact)
                     code = (w >> np.uint64(64 - power)).astype(np.int64)
                     ok = (table[code >> 3] >> (code & 7).astype(np.uint8)) & 1 == 1
-                    if size < SHORTEST:
+                    if size < ALONE:
                         ok &= (edges[pos] & 1 > 0) & (edges[pos + size - 1] & 2 > 0)
                     w, pos = w[ok], pos[ok]
                     if not len(w):

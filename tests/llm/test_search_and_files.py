@@ -310,7 +310,7 @@ def test_templates(spark, documents, prose):
     said = documents([(1, "I said yes to them."), (2, "Is it so? Yes! It is."), (3, "no\nyes\nno"),
                       (4, "Take the red one there"), (5, "Which? The red one."), (6, "yes")])
     assert {x.doc_id: x.items for x in decontam.flagged(said, short).collect()} == {
-        2: [1], 3: [1], 5: [2], 6: [1]}
+        2: [1], 3: [1], 4: [2], 5: [2], 6: [1]}
     left = decontam.decontaminate(documents(docs), bench)
     assert sorted(x.doc_id for x in left.collect()) == [3, 4, 5, 6, 7]
     assert left.columns == documents(docs).columns
