@@ -97,7 +97,7 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         extra = []
         for i in short:
             ws = w[first[i]:first[i] + n_words[i]]
-            extra.append((ws * _WORD[:len(ws)]).sum() + _BYTE[len(ws)])
+            extra.append(np.append(ws * _WORD[:len(ws)], _BYTE[len(ws)]).sum(dtype=np.uint64))
         h = np.concatenate([h, mix64(np.array(extra, np.uint64))])
         own = np.concatenate([own, short])
         order = np.argsort(own, kind="stable")
@@ -365,17 +365,20 @@ def _rest_links(live: DataFrame, labels: DataFrame, sigs: DataFrame, sets: DataF
                     .select("cls", "label", "sig", "sh").mapInArrow(trimmed(_pack_blocks), _BLOCK_TYPE),
                     "blocks")
     of = blocks.select("block", "cs").mapInArrow(_members, "block long, cls long")
-    spots = at.where("packed").select("key", "cls").join(of, "cls").select("key", "block").distinct()
-    info = blocks.select("block", "lo", "hi")
-
-    def side(name: str) -> DataFrame:
-        return info.select(F.col("block").alias(name), F.col("lo").alias(f"{name}_lo"),
-                           F.col("hi").alias(f"{name}_hi"))
-    pairs = (spots.withColumnRenamed("block", "x")
-             .join(spots.withColumnRenamed("block", "y"), "key").where("x <= y")
-             .select("x", "y").distinct().join(side("x"), "x").join(side("y"), "y")
-             # Blocks of one and the same component have nothing to add.
-             .where("not (x_lo = x_hi and y_lo = y_hi and x_lo = y_lo)").select("x", "y"))
+    packed = at.where("packed").select("key", "cls", "label")
+    # Blocks of a bucket's main component alone have nothing to add to each
+    # other, so they meet only the others: rows grow with the stragglers.
+    main = (packed.groupBy("key", "label").agg(F.count("*").alias("k"))
+            .groupBy("key").agg(F.max_by("label", F.struct("k", "label")).alias("main")))
+    spots = stored(packed.select("key", "cls").join(of, "cls").select("key", "block").distinct()
+                   .join(main, "key").join(blocks.select("block", "lo", "hi"), "block")
+                   .select("key", "block", "lo", "hi", F.expr("lo = hi and lo = main").alias("pure")),
+                   "spots")
+    x, y = spots.where("not pure").alias("x"), spots.alias("y")
+    pairs = (x.join(y, F.col("x.key") == F.col("y.key"))
+             .where("not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)")
+             .select(F.least("x.block", "y.block").alias("x"),
+                     F.greatest("x.block", "y.block").alias("y")).distinct())
 
     def load(name: str) -> DataFrame:
         return blocks.select(F.col("block").alias(name),

@@ -81,6 +81,28 @@ def test_large_group_of_near_copies(spark, documents, prose, monkeypatch, small)
     assert got == brute(rows)
 
 
+def test_block_pairs_grow_with_stragglers(spark, documents, prose, monkeypatch):
+    """Blocks of a bucket's main component do not meet each other."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    seen, stored = [], neardup.stored
+
+    def spy(df, name):
+        out = stored(df, name)
+        if name == "spots":
+            seen.append((out.select("block").distinct().count(),
+                         out.where("not pure").select("block").distinct().count()))
+        return out
+    monkeypatch.setattr(neardup, "stored", spy)
+    base = prose(4, 300)
+    rows = [(i, _edited(base, 150 + i % 5, f"e{i}x")) for i in range(120)]
+    rows += [(900, _edited(base, 27, "z")), (901, _edited(base, 30, "y"))]
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept)
+           for x in near_duplicates(documents(rows)).collect()}
+    assert got == brute(rows)
+    assert all(mixed <= 3 for _, mixed in seen)
+
+
 def test_every_pair_within_radius_shares_a_key():
     r = np.random.default_rng(3)
     a = r.integers(0, 2 ** 16, neardup.SYMBOLS).astype("<u2")
