@@ -41,7 +41,7 @@ CELL, BLOCK = 2048, 256
 #: Anchors scored at once: their tables stay in the processor's cache.
 STRIPE = 32
 GROUP = 8
-_MOST = Decimal(10) ** 38 - 1
+_MOST, _LEAST = Decimal(10 ** 38 - 1), Decimal(-(10 ** 38 - 1))
 
 
 def labelled_vectors(table: DataFrame, label: str | Column = "label", id_col: str = "vec_id",
@@ -186,7 +186,7 @@ def _scored(row, dim: int):
 def _number(values: list, wide: bool) -> pa.Array:
     if not wide:
         return pa.array(values, pa.int64())
-    return pa.array([max(-_MOST, min(_MOST, Decimal(int(v)))) for v in values],
+    return pa.array([max(_LEAST, min(_MOST, Decimal(int(v)))) for v in values],
                     pa.decimal128(38, 0))
 
 
