@@ -90,7 +90,7 @@ def _encoder(tokenizer: str, end_id: int, bounds: list[int], dtype: str):
         tab = bpe.table(tokenizer)
         for b in batches:
             docs = b.column(0)
-            texts = [t or "" for t in b.column(1).to_pylist()]
+            texts = b.column(1).fill_null("")
             for lo, hi in bpe.slices(texts):
                 ids, n = tab.encode(texts[lo:hi])
                 ids = np.insert(ids, np.cumsum(n), end_id).astype(dtype)

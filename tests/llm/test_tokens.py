@@ -35,6 +35,41 @@ def test_piecewise_encoding_is_exact(path, limit, prose, monkeypatch):
     check()
 
 
+def test_words_are_encoded_once_with_any_mark_behind():
+    """The library gets a word once, not once for each mark and line behind it."""
+    table = bpe.PieceTable(BYTE)
+    tok, given = table.tok, []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(texts)
+            return tok.encode_batch_fast(texts, **kw)
+
+    table.tok = Spy()
+    words = [f"{a}{b}ème" for a in "ofthandlestre" for b in "qwertyuiop"]
+    behind = ["", ".", ",", "!", "?)", ".\nOf", ",\nof", "\nThe"]
+    texts = [" ".join(w + b for w in ["x", *words]) for b in behind]
+    ids, n = table.encode(texts)
+    for t, own in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert own.tolist() == tok.encode(t, add_special_tokens=False).ids
+    assert sum(map(len, given)) < 2 * len(texts[0])
+
+
+@pytest.mark.parametrize("limit", [400_000, 40])
+def test_cut_words_are_exact(limit, monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PIECES", limit)
+    table, tok = bpe.PieceTable(BYTE), bpe.load(BYTE)
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(st.text(alphabet=" \n\n\t\r.,'sléÿ×9_<|>\uffff\x1c\x85٣字", max_size=24), max_size=8))
+    def check(texts):
+        texts = texts + ODD + ["a\nb\nc.\nd", "\uffff", "a \uffffb", "\uffff\n x", "x.\n's", "x\n\ny.\n", "l'été, n'a."]
+        ids, n = table.encode(texts)
+        for t, own in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+            assert own.tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    check()
+
+
 def test_perfect_hash():
     keys = np.arange(-500, 5000)
     h = tokens.key_hash(keys, np.zeros(len(keys), np.int32))
