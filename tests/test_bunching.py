@@ -1,5 +1,6 @@
 """Bus bunching: batch (cell join + islands + doubling) equals the event fold."""
 import datetime as dt
+import math
 import random
 
 from citystream.operators.bunching import bunching
@@ -137,6 +138,69 @@ def test_silent_bus_costs_no_all_pairs_join(spark):
     assert 0 < made[1] <= 12 * made[0]
 
 
+def test_silent_bus_spreads_no_short_interval(spark):
+    """Short intervals go once into a silent bus's buckets, not once for each
+    neighbour cell, and a copy goes only to cells that can hold a near position."""
+    from citystream.operators.bunching import near_segments, positioned
+    n = 600
+    rows = [("R1", "B0", 0, 0, 19.0, 72.9)]
+    rows += [("R1", f"B{i % 6 + 1}", 20_000_000 * i, i, 19.0 + (i % 40) * 60 * M_LAT, 72.9)
+             for i in range(1, n)]
+    g = positioned(_frame(spark, rows)).selectExpr(
+        "route_id", "bus_id", "lat", "lon", "event_time as t", "event_id as e")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seg = near_segments(g, pair_seconds=240)
+        plan = seg._jdf.queryExecution()
+        seg.collect()
+        moved, todo = 0, [plan.executedPlan()]
+        while todo:
+            node = todo.pop()
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                todo.append(node.executedPlan())
+                continue
+            if name.endswith("QueryStage"):
+                todo.append(node.plan())
+                continue
+            if name == "Exchange":
+                moved += int(node.metrics().get("shuffleRecordsWritten").get().value())
+            kids = node.children()
+            todo += [kids.apply(k) for k in range(kids.size())]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert 0 < moved < 16 * n
+
+
+def test_cells_in_reach_keep_every_near_point(spark):
+    from pyspark.sql import functions as F
+
+    from citystream.functions.geo import (cell_in_reach, haversine_m, neighbour_cells,
+                                          sphere_cells, unit_vector)
+    rnd = random.Random(5)
+    pairs = []
+    for i in range(3000):
+        la, lo = rnd.uniform(-90, 90), rnd.uniform(-180, 180)
+        if i % 10 == 0:
+            la, lo = rnd.choice([0.0, 90.0, -90.0, 45.0]), rnd.choice([0.0, 90.0, 180.0, -45.0])
+        d = rnd.choice([0, 1, 199.99]) * M_LAT
+        turn = rnd.uniform(0, 6.3)
+        pairs.append((i, la, lo, la + d * math.sin(turn), lo + d * math.cos(turn)))
+    df = spark.createDataFrame(pairs, "i int, la double, lo double, lb double, lc double")
+    a = sphere_cells(F.col("la"), F.col("lo"), 200.0)
+    b = F.struct(*[c.alias(n) for c, n in zip(sphere_cells(F.col("lb"), F.col("lc"), 200.0),
+                                              ("cx", "cy", "cz"))])
+    cells = (df.where(haversine_m(F.col("la"), F.col("lo"), F.col("lb"), F.col("lc")) <= 200.0)
+             .withColumn("n", F.explode(neighbour_cells(*a)))
+             .where(cell_in_reach([F.col(f"n.{c}") for c in ("cx", "cy", "cz")],
+                                  unit_vector(F.col("la"), F.col("lo")), 200.0)))
+    per = cells.groupBy("i").agg(F.sum((F.struct("n.cx", "n.cy", "n.cz") == b).cast("int")).alias("hit"),
+                                 F.count("*").alias("kept")).collect()
+    assert len(per) > 2500 and all(r.hit == 1 for r in per)
+    assert sum(r.kept for r in per) < 16 * len(per)
+
+
 def test_stream_form_matches_fold(spark, tmp_path):
     from citystream.functions.time import ntz_to_utc
     from citystream.streaming.stateful import bunching_stream
